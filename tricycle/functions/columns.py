@@ -1,39 +1,32 @@
-"""Column expressions shared by the operators."""
+"""SQL column expressions shared by the operators."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def edge_fields(line: str, sep: str = ",") -> tuple[str, str]:
+    """Follower and user of a text edge line; a bad or missing id is NULL.
 
-def edge_fields(line: Column | str, sep: str = ",") -> tuple[Column, Column]:
-    """Follower and user of a text edge line; a bad or missing id is NULL."""
-    parts = F.split(line, sep, -1)
-    return tuple(F.get(parts, F.lit(i)).try_cast("long") for i in (0, 1))
+    ``sep`` is a regular expression, as in ``split``.
+    """
+    parts = f"split({line}, r'{sep}', -1)"
+    return f"try_cast(get({parts}, 0) AS LONG)", f"try_cast(get({parts}, 1) AS LONG)"
 
 
-def edge_line(first: Column | str, second: Column | str, sep: str = ",") -> Column:
-    """One text line ``first<sep>second``."""
-    return F.concat_ws(sep, first, second)
+def third(closed_paths: str) -> str:
+    """Closed paths div 3, as LONG: each 3-cycle is met from 3 nodes."""
+    return f"{closed_paths} div 3"
 
 
-def third(closed_paths: str) -> Column:
-    """Column ``closed_paths`` div 3 as LONG: each 3-cycle is met from 3 nodes."""
-    return F.expr(f"{closed_paths} div 3")
+def cells(rows: str, cell_rows: int) -> str:
+    """Number of join cells for a key with ``rows`` rows: 1 for a small or NULL one."""
+    return f"int(1 + coalesce({rows}, 0) div {cell_rows})"
 
 
-def cells(rows: Column, cell_rows: int) -> Column:
-    """Number of join cells for a key with ``rows`` rows, 1 for a small key."""
-    return (F.lit(1) + F.floor(rows / F.lit(cell_rows))).cast("int")
-
-
-def cell_of(spread: list[str], n_cells: Column | str) -> Column:
+def cell_of(spread: str, n_cells: str) -> str:
     """Cell of a row, from its own values, so that a retried task agrees."""
-    n = F.col(n_cells) if isinstance(n_cells, str) else n_cells
-    return F.pmod(F.xxhash64(*spread), n).cast("int")
+    return f"int(pmod(xxhash64({spread}), {n_cells}))"
 
 
-def every_cell(n_cells: Column | str) -> Column:
+def every_cell(n_cells: str) -> str:
     """One row per cell."""
-    n = F.col(n_cells) if isinstance(n_cells, str) else n_cells
-    return F.explode(F.sequence(F.lit(0), n - F.lit(1)))
+    return f"explode(sequence(0, {n_cells} - 1))"

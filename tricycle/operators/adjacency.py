@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells
 from tricycle.operators.pairs import weighted_edges
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, coalesced, hot_keys
+from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, hot_keys
 
-# Copies of one followee that one array entry group may hold.
+# Copies of one followee that are placed together.
 SLICE = 1_024
 
 
@@ -17,28 +17,27 @@ def adjacency(edges: DataFrame, block_size: int = CELL_ROWS, limit: int = HOT_KE
     """``(follower, block, followees ARRAY<LONG>)``, sorted, duplicates kept.
 
     One row with block 0 per follower, except that a list of more than
-    ``block_size`` entries is split into blocks of about that size: no array
-    grows with the data, and together the blocks hold the whole list.
+    ``block_size`` entries (or, if that is more, a ``limit``-th of all entries) is
+    split into blocks of about ``block_size``. No array grows with the data, and
+    the blocks of a follower together hold the whole list.
     """
-    slice_size = min(SLICE, block_size)
+    part = min(SLICE, block_size)
     weighted = weighted_edges(edges)
-    lists = weighted.groupBy("follower").agg(F.sum("n_edges").alias("n_followees"))
+    lists = weighted.groupBy("follower").agg(F.expr("sum(n_edges) AS n_followees"))
     long_lists = hot_keys(lists, "n_followees", limit, floor=block_size)
-    slices = weighted.withColumn(
-        "slice", F.explode(F.expr(f"sequence(0L, (n_edges - 1) div {slice_size}L)"))
-    ).withColumn("n", F.least(F.lit(slice_size).cast("long"), F.col("n_edges") - F.col("slice") * slice_size))
     return (
-        slices.join(F.broadcast(long_lists), "follower", "left")
-        .withColumn("block", cell_of(["user", "slice"], cells(coalesced("n_followees"), block_size)))
-        .groupBy("follower", "block")
-        .agg(
-            F.sort_array(F.flatten(F.collect_list(F.array_repeat("user", F.col("n").cast("int"))))).alias(
-                "followees"
-            )
+        weighted.selectExpr("*", f"explode(sequence(0L, (n_edges - 1) div {part})) AS part")
+        .join(F.broadcast(long_lists), "follower", "left")
+        .selectExpr(
+            "follower",
+            f"{cell_of('user, part', cells('n_followees', block_size))} AS block",
+            f"array_repeat(user, int(least({part}L, n_edges - part * {part}))) AS copies",
         )
+        .groupBy("follower", "block")
+        .agg(F.expr("sort_array(flatten(collect_list(copies))) AS followees"))
     )
 
 
 def adjacency_edges(lists: DataFrame) -> DataFrame:
     """Adjacency lists back to edges, one per list entry."""
-    return lists.select("follower", F.explode("followees").alias("user"))
+    return lists.selectExpr("follower", "explode(followees) AS user")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tricycle.operators.cycles import weighted_cycles
 from tricycle.operators.pairs import looped_neighbours, pair_table, self_loops
@@ -42,31 +41,28 @@ def _closed_paths(
     resolved = resolve(strategy, edges, broadcast_edges)
     table = pair_table(edges)
     bag = semantics == "bag"
-
-    def path(nodes: str, copies: str):
-        x, y, z = nodes.split()
-        return F.struct(
-            F.col(x).alias("x"), F.col(y).alias("y"), F.col(z).alias("z"), F.expr(copies).alias("copies")
-        )
-
-    views = [
-        path("x y z", "xy * yz * zx" if bag else "xy * yz"),
-        path("y z x", "yz * zx * xy" if bag else "yz * zx"),
-        path("z x y", "zx * xy * yz" if bag else "zx * xy"),
-    ]
-    rows = weighted_cycles(table, resolved, cell_rows, limit).select(F.inline(F.array(*views)))
-
+    # Each view of a cycle or of a loop with its neighbour: x, y, z, copies.
+    cycle_views = (
+        ("x, y, z", "xy * yz", "zx"),
+        ("y, z, x", "yz * zx", "xy"),
+        ("z, x, y", "zx * xy", "yz"),
+    )
+    rows = _views(weighted_cycles(table, resolved, cell_rows, limit), cycle_views, bag)
     loop_views = [
-        path("node node other", "n_loops * n_out * n_in" if bag else "n_loops * n_out"),
-        path("other node node", "n_in * n_loops * n_out" if bag else "n_in * n_loops"),
+        ("node, node, other", "n_loops * n_out", "n_in"),
+        ("other, node, node", "n_in * n_loops", "n_out"),
     ]
     if semantics == "walk":
-        loop_views.append(path("node other node", "n_out * n_in"))
-    rows = rows.unionByName(
-        looped_neighbours(table, limit, cell_rows).select(F.inline(F.array(*loop_views)))
-    )
+        loop_views.append(("node, other, node", "n_out * n_in", "n_loops"))
+    rows = rows.unionByName(_views(looped_neighbours(table, limit, cell_rows), loop_views, bag))
     if semantics == "walk":
         rows = rows.unionByName(
-            self_loops(table).select(F.inline(F.array(path("node node node", "n_loops * n_loops"))))
+            self_loops(table).selectExpr("node AS x", "node AS y", "node AS z", "n_loops * n_loops AS copies")
         )
     return expand_copies(rows)
+
+
+def _views(df: DataFrame, views, bag: bool) -> DataFrame:
+    """A row per view ``(nodes, product of the two hops, closing edges)``."""
+    rows = (f"{nodes}, {hops} * {closing}" if bag else f"{nodes}, {hops}" for nodes, hops, closing in views)
+    return df.selectExpr(f"stack({len(views)}, {', '.join(rows)}) AS (x, y, z, copies)")

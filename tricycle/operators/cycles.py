@@ -10,7 +10,6 @@ touch is no more work than another. Two-paths through hubs are never built.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
 from tricycle.operators.pairs import pair_table, ranked_pairs
@@ -23,29 +22,24 @@ def wedges(ranked: DataFrame, strategy: str) -> DataFrame:
     of a lowest-ranked ``u``, with the edge counts u→a, a→u, u→b, b→u. Only those
     that one closing edge can make a cycle.
     """
-    swap = F.col("degree_a") > F.col("degree_b")
-
-    def low(if_kept: str, if_swapped: str):
-        return F.when(swap, F.col(if_swapped)).otherwise(F.col(if_kept))
-
-    upward = ranked.select(
-        low("a", "b").alias("u"),
-        low("b", "a").alias("v"),
-        low("fwd", "bwd").alias("uv"),
-        low("bwd", "fwd").alias("vu"),
-        low("degree_b", "degree_a").alias("degree_v"),
+    swap = "degree_a > degree_b"
+    upward = ranked.selectExpr(
+        f"if({swap}, b, a) AS u",
+        f"if({swap}, a, b) AS v",
+        f"if({swap}, bwd, fwd) AS uv",
+        f"if({swap}, fwd, bwd) AS vu",
+        f"if({swap}, degree_a, degree_b) AS degree_v",
     )
     one = upward.toDF("u", "v1", "ua", "au", "degree_a")
     two = upward.toDF("u", "v2", "ub", "bu", "degree_b")
-    closable = ((F.col("au") > 0) & (F.col("ub") > 0)) | ((F.col("ua") > 0) & (F.col("bu") > 0))
     return (
         one.join(hinted(two, strategy), "u")
-        .where((F.col("v1") < F.col("v2")) & closable)
+        .where("v1 < v2 AND (au > 0 AND ub > 0 OR ua > 0 AND bu > 0)")
         # v1 and v2 behind least and greatest: else a < b would be inferred for
         # the closing pairs and pushed below their shuffle, which is shared.
-        .withColumn("a", F.least("v1", "v2"))
-        .withColumn("b", F.greatest("v1", "v2"))
-        .drop("v1", "v2")
+        .selectExpr(
+            "u", "least(v1, v2) AS a", "greatest(v1, v2) AS b", "ua", "au", "ub", "bu", "degree_a", "degree_b"
+        )
     )
 
 
@@ -59,21 +53,24 @@ def weighted_cycles(
     are split over several join cells by their lowest-ranked node.
     """
     ranked = ranked_pairs(table, limit)
-    shared = cells(F.least("degree_a", "degree_b"), cell_rows)
-    closing = ranked.select("a", "b", "fwd", "bwd", every_cell(shared).alias("cell"))
-    opened = wedges(ranked, strategy).withColumn("cell", cell_of(["u"], shared)).drop("degree_a", "degree_b")
-    triples = opened.join(hinted(closing, strategy), ["a", "b", "cell"])
-    u_first = F.col("u") < F.col("a")
-
-    def cycle(nodes: str, sides: str):
-        columns = zip(("x", "y", "z", "xy", "yz", "zx"), (*nodes.split(), *sides.split()))
-        return F.struct(*(F.col(value).alias(name) for name, value in columns))
-
-    # a < b always, so the smallest node is u or a.
-    via_a = F.when(u_first, cycle("u a b", "ua fwd bu")).otherwise(cycle("a b u", "fwd bu ua"))
-    via_b = F.when(u_first, cycle("u b a", "ub bwd au")).otherwise(cycle("a u b", "au ub bwd"))
-    return triples.select(F.inline(F.array(via_a, via_b))).where(
-        (F.col("xy") > 0) & (F.col("yz") > 0) & (F.col("zx") > 0)
+    n_cells = cells("least(degree_a, degree_b)", cell_rows)
+    closing = ranked.selectExpr("a", "b", "fwd", "bwd", f"{every_cell(n_cells)} AS cell")
+    opened = wedges(ranked, strategy).selectExpr(
+        "u", "a", "b", "ua", "au", "ub", "bu", f"{cell_of('u', n_cells)} AS cell"
+    )
+    # u→a→b→u and u→b→a→u. As a < b, the smallest node is u or a.
+    turns = (
+        ("u a b ua fwd bu", "a b u fwd bu ua"),
+        ("u b a ub bwd au", "a u b au ub bwd"),
+    )
+    rows = (
+        ", ".join(f"if(u < a, {kept}, {turned})" for kept, turned in zip(from_u.split(), from_a.split()))
+        for from_u, from_a in turns
+    )
+    return (
+        opened.join(hinted(closing, strategy), ["a", "b", "cell"])
+        .selectExpr(f"stack(2, {', '.join(rows)}) AS (x, y, z, xy, yz, zx)")
+        .where("xy > 0 AND yz > 0 AND zx > 0")
     )
 
 

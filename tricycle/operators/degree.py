@@ -14,7 +14,7 @@ def follower_count(edges: DataFrame, sort: bool = False) -> DataFrame:
     Duplicate edges count, and a NULL user forms a group. Counts are partial
     before the shuffle, so a hub sends one row per map task.
     """
-    counts = edges.groupBy("user").agg(F.count(F.lit(1)).alias("n_followers"))
+    counts = edges.groupBy("user").agg(F.expr("count(*) AS n_followers"))
     return _ranked(counts) if sort else counts
 
 
@@ -26,15 +26,13 @@ def follower_count_all(nodes: DataFrame, edges: DataFrame, sort: bool = True) ->
     neither a hub nor an often repeated node row gathers in one task. Repeated
     node rows are kept, a NULL node has 0, users outside ``nodes`` are dropped.
     """
-    tagged = nodes.select("user", F.lit(1).alias("copies"), F.lit(0).alias("n_followers")).unionByName(
-        edges.where(F.col("user").isNotNull()).select(
-            "user", F.lit(0).alias("copies"), F.lit(1).alias("n_followers")
-        )
+    tagged = nodes.selectExpr("user", "1 AS copies", "0 AS n_followers").unionByName(
+        edges.where("user IS NOT NULL").selectExpr("user", "0 AS copies", "1 AS n_followers")
     )
     counts = (
         tagged.groupBy("user")
-        .agg(F.sum("copies").alias("copies"), F.sum("n_followers").alias("n_followers"))
-        .where(F.col("copies") > 0)
+        .agg(F.expr("sum(copies) AS copies"), F.expr("sum(n_followers) AS n_followers"))
+        .where("copies > 0")
     )
     counts = expand_copies(counts)
     return _ranked(counts) if sort else counts

@@ -13,16 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, coalesced, hot_keys
+from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, hot_keys
+
+NO_NULL_ID = "follower IS NOT NULL AND user IS NOT NULL"
 
 
 def weighted_edges(edges: DataFrame) -> DataFrame:
     """Distinct edges ``(follower, user, n_edges)``; edges with a NULL id drop out."""
-    return (
-        edges.where(F.col("follower").isNotNull() & F.col("user").isNotNull())
-        .groupBy("follower", "user")
-        .agg(F.count(F.lit(1)).alias("n_edges"))
-    )
+    return edges.where(NO_NULL_ID).groupBy("follower", "user").agg(F.expr("count(*) AS n_edges"))
 
 
 def pair_table(edges: DataFrame) -> DataFrame:
@@ -30,31 +28,28 @@ def pair_table(edges: DataFrame) -> DataFrame:
 
     ``fwd`` counts a→b, ``bwd`` b→a; ``loops`` counts a→a on the rows ``a = b``.
     """
-    follower, user = F.col("follower"), F.col("user")
     return (
-        edges.where(follower.isNotNull() & user.isNotNull())
-        .groupBy(F.least("follower", "user").alias("a"), F.greatest("follower", "user").alias("b"))
+        edges.where(NO_NULL_ID)
+        .groupBy(F.expr("least(follower, user) AS a"), F.expr("greatest(follower, user) AS b"))
         .agg(
-            F.count_if(follower < user).alias("fwd"),
-            F.count_if(follower > user).alias("bwd"),
-            F.count_if(follower == user).alias("loops"),
+            F.expr("count_if(follower < user) AS fwd"),
+            F.expr("count_if(follower > user) AS bwd"),
+            F.expr("count_if(follower = user) AS loops"),
         )
         # Already true. Joins on a and b would infer it on one side only and
         # push it below the shuffle, which would then not be shared.
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
+        .where("a IS NOT NULL AND b IS NOT NULL")
     )
 
 
 def linked_pairs(table: DataFrame) -> DataFrame:
     """Pairs of two nodes. Reads all counts, so that pruning drops none of them."""
-    return table.where(F.col("fwd") + F.col("bwd") > F.col("loops"))
+    return table.where("fwd + bwd > loops")
 
 
 def self_loops(table: DataFrame) -> DataFrame:
     """``(node, n_loops)``."""
-    return table.where(F.col("loops") > F.col("fwd") + F.col("bwd")).select(
-        F.col("a").alias("node"), F.col("loops").alias("n_loops")
-    )
+    return table.where("loops > fwd + bwd").selectExpr("a AS node", "loops AS n_loops")
 
 
 def hub_degrees(table: DataFrame, limit: int = HOT_KEYS) -> DataFrame:
@@ -65,9 +60,9 @@ def hub_degrees(table: DataFrame, limit: int = HOT_KEYS) -> DataFrame:
     """
     degrees = (
         linked_pairs(table)
-        .select(F.explode(F.array("a", "b")).alias("node"))
+        .selectExpr("explode(array(a, b)) AS node")
         .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("degree"))
+        .agg(F.expr("count(*) AS degree"))
     )
     return hot_keys(degrees, "degree", limit)
 
@@ -75,12 +70,13 @@ def hub_degrees(table: DataFrame, limit: int = HOT_KEYS) -> DataFrame:
 def ranked_pairs(table: DataFrame, limit: int = HOT_KEYS) -> DataFrame:
     """Linked pairs with ``degree_a`` and ``degree_b``, 0 for a node that is no hub."""
     hubs = F.broadcast(hub_degrees(table, limit))
-    ranked = linked_pairs(table)
-    for end in ("a", "b"):
-        of_end = hubs.select(F.col("node").alias(end), F.col("degree").alias(f"degree_{end}"))
-        ranked = ranked.join(of_end, end, "left")
-    return ranked.select(
-        "a", "b", "fwd", "bwd", coalesced("degree_a").alias("degree_a"), coalesced("degree_b").alias("degree_b")
+    return (
+        linked_pairs(table)
+        .join(hubs.toDF("a", "degree_a"), "a", "left")
+        .join(hubs.toDF("b", "degree_b"), "b", "left")
+        .selectExpr(
+            "a", "b", "fwd", "bwd", "coalesce(degree_a, 0) AS degree_a", "coalesce(degree_b, 0) AS degree_b"
+        )
     )
 
 
@@ -88,26 +84,19 @@ def looped_neighbours(table: DataFrame, limit: int = HOT_KEYS, cell_rows: int =
     """``(node, other, n_out, n_in, n_loops)``: nodes with a self-loop and their
     neighbours linked both ways. A hub's rows are split over several join cells.
     """
-    mutual = ranked_pairs(table, limit).where((F.col("fwd") > 0) & (F.col("bwd") > 0))
-    ends = mutual.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("a").alias("node"), F.col("b").alias("other"), F.col("fwd").alias("n_out"),
-                    F.col("bwd").alias("n_in"), cells(F.col("degree_a"), cell_rows).alias("n_cells"),
-                ),
-                F.struct(
-                    F.col("b").alias("node"), F.col("a").alias("other"), F.col("bwd").alias("n_out"),
-                    F.col("fwd").alias("n_in"), cells(F.col("degree_b"), cell_rows).alias("n_cells"),
-                ),
-            )
+    columns = "node, other, n_out, n_in, n_cells"
+    ends = (
+        ranked_pairs(table, limit)
+        .where("fwd > 0 AND bwd > 0")
+        .selectExpr(
+            f"stack(2, a, b, fwd, bwd, {cells('degree_a', cell_rows)},"
+            f" b, a, bwd, fwd, {cells('degree_b', cell_rows)}) AS ({columns})"
         )
+        .selectExpr("node", "other", "n_out", "n_in", f"{cell_of('other', 'n_cells')} AS cell")
     )
-    ends = ends.withColumn("cell", cell_of(["other"], "n_cells")).drop("n_cells")
     loops = (
         self_loops(table)
         .join(F.broadcast(hub_degrees(table, limit)), "node", "left")
-        .withColumn("cell", every_cell(cells(coalesced("degree"), cell_rows)))
-        .drop("degree")
+        .selectExpr("node", "n_loops", f"{every_cell(cells('degree', cell_rows))} AS cell")
     )
     return ends.join(loops, ["node", "cell"]).drop("cell")

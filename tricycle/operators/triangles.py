@@ -43,8 +43,8 @@ def triangle_count(
     parts = _cycle_paths(table, semantics, resolved, limit)
     if semantics != "cycle":
         parts = parts.unionByName(_loop_paths(table, semantics))
-    closed = parts.agg(F.coalesce(F.sum("closed_paths"), F.lit(0).cast("long")).alias("closed_paths"))
-    return closed.select("closed_paths", third("closed_paths").alias("triangles"))
+    closed = parts.agg(F.expr("coalesce(sum(closed_paths), 0L) AS closed_paths"))
+    return closed.selectExpr("closed_paths", f"{third('closed_paths')} AS triangles")
 
 
 def _cycle_paths(table: DataFrame, semantics: str, strategy: str, limit: int) -> DataFrame:
@@ -73,32 +73,29 @@ def _cycle_paths(table: DataFrame, semantics: str, strategy: str, limit: int) ->
         closed = "if(fwd > 0, ab + fwd * ab_sum, 0L) + if(bwd > 0, ba + bwd * ba_sum, 0L)"
     if strategy == "broadcast":
         # The closing pairs are at hand in every task: no shuffle of wedges.
-        opened = opened.select("a", "b", *(F.expr(e).alias(n) for n, e in sides.items()))
+        opened = opened.selectExpr("a", "b", *(f"{e} AS {name}" for name, e in sides.items()))
     else:
-        opened = opened.groupBy("a", "b").agg(*(F.sum(F.expr(e)).alias(n) for n, e in sides.items()))
+        opened = opened.groupBy("a", "b").agg(*(F.expr(f"sum({e}) AS {name}") for name, e in sides.items()))
     return opened.join(hinted(linked_pairs(table), strategy), ["a", "b"]).agg(
-        F.sum(F.expr(closed)).alias("closed_paths")
+        F.expr(f"sum({closed}) AS closed_paths")
     )
 
 
 def _loop_paths(table: DataFrame, semantics: str) -> DataFrame:
     """One row: closed paths that use a self-loop, from per-node sums."""
     nodes = (
-        table.where(((F.col("fwd") > 0) & (F.col("bwd") > 0)) | (F.col("loops") > 0))
-        .select(
-            F.explode(F.array_distinct(F.array("a", "b"))).alias("node"),
-            "loops",
-            F.expr("fwd * bwd").alias("both"),
-            # On a self-loop row fwd and bwd are 0.
-            F.expr("fwd + bwd").alias("either"),
+        table.where("fwd > 0 AND bwd > 0 OR loops > 0")
+        # On a self-loop row a = b, and fwd and bwd are 0.
+        .selectExpr(
+            "explode(array_distinct(array(a, b))) AS node", "loops", "fwd * bwd AS both", "fwd + bwd AS either"
         )
         .groupBy("node")
-        .agg(F.sum("loops").alias("loops"), F.sum("both").alias("both"), F.sum("either").alias("either"))
-        .where(F.col("loops") > 0)
+        .agg(*(F.expr(f"sum({c}) AS {c}") for c in ("loops", "both", "either")))
+        .where("loops > 0")
     )
     closed = {
         "bag": "2 * loops * both",
         "semi": "loops * either",
         "walk": "loops * either + both + loops * loops",
     }[semantics]
-    return nodes.agg(F.sum(F.expr(closed)).alias("closed_paths"))
+    return nodes.agg(F.expr(f"sum({closed}) AS closed_paths"))

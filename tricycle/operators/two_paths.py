@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
 from tricycle.operators.pairs import pair_table, weighted_edges
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, coalesced, expand_copies, hot_keys
+from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, expand_copies, hot_keys
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
 
 
@@ -28,33 +28,23 @@ def two_paths(
     """
     resolved = resolve(strategy, edges, broadcast_edges)
     weighted = weighted_edges(edges)
-    first = weighted.select(
-        F.col("follower").alias("x"), F.col("user").alias("y"), F.col("n_edges").alias("n_first")
-    )
-    second = weighted.select(
-        F.col("follower").alias("y"), F.col("user").alias("z"), F.col("n_edges").alias("n_second")
-    )
+    first = weighted.toDF("x", "y", "n_first")
+    second = weighted.toDF("y", "z", "n_second")
     keys = ["y"]
     if resolved != "broadcast":
         hubs = F.broadcast(_middle_hubs(weighted, cell_rows, limit))
-        first = (
-            _with_grid(first, hubs, cell_rows)
-            .withColumn("row", cell_of(["x"], "n_rows"))
-            .withColumn("column", every_cell("n_columns"))
+        n_rows, n_columns = cells("n_in", cell_rows), cells("n_out", cell_rows)
+        first = first.join(hubs, "y", "left").selectExpr(
+            "x", "y", "n_first", f"{cell_of('x', n_rows)} AS row", f"{every_cell(n_columns)} AS column"
         )
-        second = (
-            _with_grid(second, hubs, cell_rows)
-            .withColumn("row", every_cell("n_rows"))
-            .withColumn("column", cell_of(["z"], "n_columns"))
+        second = second.join(hubs, "y", "left").selectExpr(
+            "y", "z", "n_second", f"{every_cell(n_rows)} AS row", f"{cell_of('z', n_columns)} AS column"
         )
-        first, second = (side.drop("n_rows", "n_columns") for side in (first, second))
         keys += ["row", "column"]
     joined = first.join(hinted(second, resolved), keys)
     if not keep_degenerate:
-        joined = joined.where(F.col("x") != F.col("z"))
-    return expand_copies(
-        joined.select("x", "y", "z", (F.col("n_first") * F.col("n_second")).alias("copies"))
-    )
+        joined = joined.where("x <> z")
+    return expand_copies(joined.selectExpr("x", "y", "z", "n_first * n_second AS copies"))
 
 
 def two_path_count(edges: DataFrame, keep_degenerate: bool = False) -> DataFrame:
@@ -64,29 +54,16 @@ def two_path_count(edges: DataFrame, keep_degenerate: bool = False) -> DataFrame
     go back to their start. Aggregations only, so hubs need no care.
     """
     table = pair_table(edges)
-    ends = table.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("a").alias("node"),
-                    (F.col("fwd") + F.col("loops")).alias("n_out"),
-                    (F.col("bwd") + F.col("loops")).alias("n_in"),
-                ),
-                F.struct(
-                    F.col("b").alias("node"), F.col("bwd").alias("n_out"), F.col("fwd").alias("n_in")
-                ),
-            )
-        )
-    )
     totals = (
-        ends.groupBy("node")
-        .agg((F.sum("n_in") * F.sum("n_out")).alias("n_paths"))
-        .agg(F.sum("n_paths").alias("n_paths"))
+        table.selectExpr("stack(2, a, fwd + loops, bwd + loops, b, bwd, fwd) AS (node, n_out, n_in)")
+        .groupBy("node")
+        .agg(F.expr("sum(n_in) * sum(n_out) AS n_paths"))
+        .agg(F.expr("sum(n_paths) AS n_paths"))
     )
     if not keep_degenerate:
-        returning = table.agg(F.sum(F.expr("-(2 * fwd * bwd + loops * loops)")).alias("n_paths"))
+        returning = table.agg(F.expr("-sum(2 * fwd * bwd + loops * loops) AS n_paths"))
         totals = totals.unionByName(returning)
-    return totals.agg(F.coalesce(F.sum("n_paths"), F.lit(0).cast("long")).alias("n_paths"))
+    return totals.agg(F.expr("coalesce(sum(n_paths), 0L) AS n_paths"))
 
 
 def close_two_paths(
@@ -104,27 +81,24 @@ def close_two_paths(
     """
     if how not in ("semi", "bag"):
         raise ValueError(f"unknown closing {how!r}, expected 'semi' or 'bag'")
-    open_paths = paths.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("n_paths"))
+    open_paths = paths.groupBy("x", "y", "z").agg(F.expr("count(*) AS n_paths"))
     ends = open_paths.groupBy("z", "x").agg(
-        F.count(F.lit(1)).alias("n_middles"), F.sum("n_paths").alias("n_paths")
+        F.expr("count(*) AS n_middles"), F.expr("sum(n_paths) AS n_paths")
     )
     # n_paths keeps the pre-aggregation's columns alive, so its shuffle is shared.
-    hot = F.broadcast(
-        hot_keys(ends.where(F.col("n_paths") > 0), "n_middles", limit, floor=cell_rows).select(
-            "z", "x", cells(F.col("n_middles"), cell_rows).alias("n_cells")
-        )
+    shared_ends = hot_keys(ends.where("n_paths > 0"), "n_middles", limit, floor=cell_rows)
+    shared_ends = F.broadcast(shared_ends.select("z", "x", "n_middles"))
+    closing = weighted_edges(edges).toDF("z", "x", "n_edges")
+    n_cells = cells("n_middles", cell_rows)
+    open_paths = open_paths.join(shared_ends, ["z", "x"], "left").selectExpr(
+        "x", "y", "z", "n_paths", f"{cell_of('y', n_cells)} AS cell"
     )
-    closing = weighted_edges(edges).select(
-        F.col("follower").alias("z"), F.col("user").alias("x"), F.col("n_edges")
+    closing = closing.join(shared_ends, ["z", "x"], "left").selectExpr(
+        "z", "x", "n_edges", f"{every_cell(n_cells)} AS cell"
     )
-    n_cells = coalesced("n_cells", 1)
-    open_paths = open_paths.join(hot, ["z", "x"], "left").withColumn("cell", cell_of(["y"], n_cells))
-    closing = closing.join(hot, ["z", "x"], "left").withColumn("cell", every_cell(n_cells))
-    copies = F.col("n_paths") * F.col("n_edges") if how == "bag" else F.col("n_paths")
+    copies = "n_paths * n_edges" if how == "bag" else "n_paths"
     return expand_copies(
-        open_paths.drop("n_cells")
-        .join(closing.drop("n_cells"), ["z", "x", "cell"])
-        .select("x", "y", "z", copies.alias("copies"))
+        open_paths.join(closing, ["z", "x", "cell"]).selectExpr("x", "y", "z", f"{copies} AS copies")
     )
 
 
@@ -135,16 +109,13 @@ def closing_counts(path_ends: DataFrame, edges: DataFrame) -> DataFrame:
     only the columns ``z, x``. The closed two-paths are the sum of ``n_paths``
     where ``n_edges > 0``.
     """
-    tagged = edges.select(
-        F.col("follower").alias("z"), F.col("user").alias("x"), F.lit("A").alias("source")
-    ).unionByName(path_ends.select("z", "x", F.lit("B").alias("source")))
+    tagged = edges.selectExpr("follower AS z", "user AS x", "'A' AS source").unionByName(
+        path_ends.selectExpr("z", "x", "'B' AS source")
+    )
     return (
-        tagged.where(F.col("z").isNotNull() & F.col("x").isNotNull())
+        tagged.where("z IS NOT NULL AND x IS NOT NULL")
         .groupBy("z", "x")
-        .agg(
-            F.count_if(F.col("source") == "A").alias("n_edges"),
-            F.count_if(F.col("source") == "B").alias("n_paths"),
-        )
+        .agg(F.expr("count_if(source = 'A') AS n_edges"), F.expr("count_if(source = 'B') AS n_paths"))
     )
 
 
@@ -152,25 +123,9 @@ def _middle_hubs(weighted: DataFrame, cell_rows: int, limit: int) -> DataFrame:
     """``(y, n_in, n_out)`` of the middle nodes whose join needs splitting."""
     degrees = (
         # True for every row; keeps n_edges, so that the shuffle below is shared.
-        weighted.where(F.col("n_edges") > 0)
-        .select(
-            F.inline(
-                F.array(
-                    F.struct(F.col("user").alias("y"), F.lit(1).alias("n_in"), F.lit(0).alias("n_out")),
-                    F.struct(F.col("follower").alias("y"), F.lit(0).alias("n_in"), F.lit(1).alias("n_out")),
-                )
-            )
-        )
+        weighted.where("n_edges > 0")
+        .selectExpr("stack(2, user, 1, 0, follower, 0, 1) AS (y, n_in, n_out)")
         .groupBy("y")
-        .agg(F.sum("n_in").alias("n_in"), F.sum("n_out").alias("n_out"))
-        .withColumn("degree", F.col("n_in") + F.col("n_out"))
+        .agg(F.expr("sum(n_in) AS n_in"), F.expr("sum(n_out) AS n_out"), F.expr("count(*) AS degree"))
     )
     return hot_keys(degrees, "degree", limit, floor=cell_rows).select("y", "n_in", "n_out")
-
-
-def _with_grid(side: DataFrame, hubs: DataFrame, cell_rows: int) -> DataFrame:
-    return side.join(hubs, "y", "left").select(
-        *side.columns,
-        cells(coalesced("n_in"), cell_rows).alias("n_rows"),
-        cells(coalesced("n_out"), cell_rows).alias("n_columns"),
-    )

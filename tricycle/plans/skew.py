@@ -7,7 +7,7 @@ bound on its rows whatever the data, and can be broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Most rows of a broadcast hot-key table (a few LONGs each).
@@ -26,29 +26,26 @@ def hot_keys(counts: DataFrame, weight: str, limit: int = HOT_KEYS, floor: int =
     Fewer than ``limit`` rows can exceed that share, so the result is safe to
     broadcast. On a graph of up to ``limit`` nodes every node can qualify.
     """
-    share = counts.agg((F.sum(weight) / F.lit(float(limit))).alias("share")).scalar()
-    return counts.where((F.col(weight) > share) & (F.col(weight) > F.lit(floor)))
+    bound = counts.select(F.expr(f"greatest(sum({weight}) / {limit}, double({floor}))")).scalar()
+    return counts.where(F.col(weight) > bound)
 
 
-def expand_copies(rows: DataFrame, copies: str = "copies", chunk: int = CHUNK_COPIES) -> DataFrame:
-    """Each row ``copies`` times, without the ``copies`` column.
+def expand_copies(rows: DataFrame, chunk: int = CHUNK_COPIES) -> DataFrame:
+    """Each row as often as its column ``copies`` says, without that column.
 
     A row with very many copies is first cut into chunks, and the chunks are
     shuffled, so that no task writes all copies of one row.
     """
-    names = [c for c in rows.columns if c != copies]
-    n = F.col(copies)
-    few = rows.where(n <= chunk)
+    names = [c for c in rows.columns if c != "copies"]
+    few = rows.where(f"copies <= {chunk}")
     many = (
-        rows.where(n > chunk)
-        .withColumn("chunk", F.explode(F.expr(f"sequence(0L, ({copies} - 1) div {chunk}L)")))
+        rows.where(f"copies > {chunk}")
+        .selectExpr("*", f"explode(sequence(0L, (copies - 1) div {chunk})) AS chunk")
         .repartition(*names, "chunk")
-        .withColumn(copies, F.least(F.lit(chunk).cast("long"), n - F.col("chunk") * chunk))
-        .select(*names, copies)
+        .selectExpr(*names, f"least({chunk}L, copies - chunk * {chunk}) AS copies")
+    )
+    return (
+        few.unionByName(many)
+        .selectExpr(*names, "explode(sequence(1, int(copies))) AS copy")
+        .drop("copy")
     )
-    spread = few.unionByName(many)
-    return spread.select(*names, F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("copy")).select(*names)
-
-
-def coalesced(column: str, default: int = 0) -> Column:
-    return F.coalesce(F.col(column), F.lit(default))

@@ -38,7 +38,7 @@ def read_edges(spark: SparkSession, path: str, mode: str = "PERMISSIVE", sep: st
 def read_edge_lines(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Edges split out of raw text lines; fields after the second are ignored."""
     follower, user = edge_fields("value", sep)
-    return edge_table(spark.read.text(path), follower, user)
+    return spark.read.text(path).selectExpr(f"{follower} AS follower", f"{user} AS user")
 
 
 def read_nodes(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
