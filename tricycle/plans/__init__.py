@@ -1,4 +1,5 @@
 from tricycle.plans.report import explain_text, with_metrics
+from tricycle.plans.shared import shared_path
 from tricycle.plans.skew import expand_copies, hot_keys
 from tricycle.plans.strategy import STRATEGIES, hinted, resolve
 
@@ -9,5 +10,6 @@ __all__ = [
     "hinted",
     "hot_keys",
     "resolve",
+    "shared_path",
     "with_metrics",
 ]
