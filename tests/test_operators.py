@@ -76,22 +76,33 @@ def test_adjacency(edges_of, block_size):
     assert graphs.bag(tc.adjacency_edges(tc.adjacency(edges_of(edges), block_size=block_size))) == Counter(edges)
 
 
-# limit=2 leaves at most one hub, limit=10**6 makes every node one; cell_rows=2
-# splits nearly every join.
-SPLITS = [{}, {"cell_rows": 2}, {"cell_rows": 2, "limit": 6}, {"limit": 2}]
+# With cell_rows=2 nearly every join is split; one slot ranks nodes by id only, and
+# a hot-key table of below 6 rows leaves most nodes unsplit.
+@pytest.mark.parametrize("slots, limit", [(2_000_000, 1_000_000), (1, 1_000_000), (3, 6)])
+@pytest.mark.parametrize("cell_rows", [2, 1_000_000])
+def test_listings_against_brute_force(edges_of, cell_rows, slots, limit):
+    raw = graphs.random_edges(cell_rows + slots)
+    edges = edges_of(raw)
+    ranked, hot = {"cell_rows": cell_rows, "slots": slots}, {"cell_rows": cell_rows, "limit": limit}
+    assert graphs.bag(tc.two_paths(edges, **hot)) == graphs.paths(raw)
+    assert graphs.bag(tc.closed_paths_bag(edges, **ranked)) == graphs.closed(raw, "bag")
+    assert graphs.bag(tc.closed_paths_semi(edges, keep_degenerate=True, **ranked)) == graphs.closed(raw, "walk")
+    assert graphs.bag(tc.cycle_list(edges, **ranked)) == graphs.cycles(raw)
+    given = tc.two_paths(edges, keep_degenerate=True)
+    assert graphs.bag(tc.close_two_paths(given, edges, **hot)) == graphs.closed(raw, "walk")
 
 
-@pytest.mark.parametrize("splits", SPLITS, ids=str)
-@pytest.mark.parametrize("seed", [1, 2])
-def test_listings_against_brute_force(edges_of, seed, splits):
-    raw = graphs.random_edges(seed)
+def test_many_duplicates(edges_of):
+    raw = [(1, 2)] * 700 + [(2, 3)] * 300 + [(3, 1)] * 2
     edges = edges_of(raw)
-    assert graphs.bag(tc.two_paths(edges, **splits)) == graphs.paths(raw)
-    assert graphs.bag(tc.closed_paths_bag(edges, **splits)) == graphs.closed(raw, "bag")
-    assert graphs.bag(tc.closed_paths_semi(edges, keep_degenerate=True, **splits)) == graphs.closed(raw, "walk")
-    assert graphs.bag(tc.cycle_list(edges, **splits)) == graphs.cycles(raw)
-    given = tc.two_paths(edges, keep_degenerate=True)
-    assert graphs.bag(tc.close_two_paths(given, edges, **splits)) == graphs.closed(raw, "walk")
+    expected = Counter({(1, 2, 3): 210_000, (2, 3, 1): 600, (3, 1, 2): 1_400})
+    listed = tc.two_paths(edges, cell_rows=2).groupBy("x", "y", "z").count()
+    assert Counter({(r.x, r.y, r.z): r["count"] for r in listed.collect()}) == expected
+    listed = tc.closed_paths_semi(edges).groupBy("x", "y", "z").count()
+    assert Counter({(r.x, r.y, r.z): r["count"] for r in listed.collect()}) == expected
+    listed = tc.close_two_paths(tc.two_paths(edges), edges, "bag").groupBy("x", "y", "z").count()
+    assert {r["count"] for r in listed.collect()} == {420_000}
+    assert tuple(tc.triangle_count(edges, "bag").first()) == (3 * 420_000, 420_000)
 
 
 @pytest.mark.parametrize("strategy", ["auto", "merge", "broadcast"])
@@ -103,16 +114,15 @@ def test_listings_by_strategy(edges_of, strategy):
     assert graphs.bag(tc.cycle_list(edges, strategy)) == graphs.cycles(raw)
 
 
-@pytest.mark.parametrize("limit", [2, 6, 1_000_000])
-@pytest.mark.parametrize("seed", [4, 5, 6])
-def test_counts_against_brute_force(edges_of, seed, limit):
-    raw = graphs.random_edges(seed, nodes=12, edges=70)
+@pytest.mark.parametrize("slots", [1, 4, 2_000_000])
+def test_counts_against_brute_force(edges_of, slots):
+    raw = graphs.random_edges(slots, nodes=12, edges=70)
     edges = edges_of(raw)
     for semantics in ("bag", "semi", "walk"):
         n = sum(graphs.closed(raw, semantics).values())
-        assert tuple(tc.triangle_count(edges, semantics, limit=limit).first()) == (n, n // 3)
+        assert tuple(tc.triangle_count(edges, semantics, slots=slots).first()) == (n, n // 3)
     n = sum(graphs.cycles(raw).values())
-    assert tuple(tc.triangle_count(edges, "cycle", limit=limit).first()) == (3 * n, n)
+    assert tuple(tc.triangle_count(edges, "cycle", slots=slots).first()) == (3 * n, n)
     for keep in (False, True):
         n = sum(graphs.paths(raw, keep).values())
         assert tc.two_path_count(edges, keep_degenerate=keep).first().n_paths == n

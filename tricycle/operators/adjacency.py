@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells
 from tricycle.operators.pairs import weighted_edges
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, hot_keys
+from tricycle.plans.skew import HOT_KEYS, SLICE_COPIES, hot_keys, sliced
 
-# Copies of one followee that are placed together.
-SLICE = 1_024
+# Entries of one array.
+BLOCK_SIZE = 100_000
 
 
-def adjacency(edges: DataFrame, block_size: int = CELL_ROWS, limit: int = HOT_KEYS) -> DataFrame:
+def adjacency(edges: DataFrame, block_size: int = BLOCK_SIZE, limit: int = HOT_KEYS) -> DataFrame:
     """``(follower, block, followees ARRAY<LONG>)``, sorted, duplicates kept.
 
     One row with block 0 per follower, except that a list of more than
@@ -21,17 +21,16 @@ def adjacency(edges: DataFrame, block_size: int = CELL_ROWS, limit: int = HOT_KE
     split into blocks of about ``block_size``. No array grows with the data, and
     the blocks of a follower together hold the whole list.
     """
-    part = min(SLICE, block_size)
     weighted = weighted_edges(edges)
     lists = weighted.groupBy("follower").agg(F.expr("sum(n_edges) AS n_followees"))
     long_lists = hot_keys(lists, "n_followees", limit, floor=block_size)
     return (
-        weighted.selectExpr("*", f"explode(sequence(0L, (n_edges - 1) div {part})) AS part")
+        sliced(weighted, "n_edges", min(SLICE_COPIES, block_size))
         .join(F.broadcast(long_lists), "follower", "left")
         .selectExpr(
             "follower",
-            f"{cell_of('user, part', cells('n_followees', block_size))} AS block",
-            f"array_repeat(user, int(least({part}L, n_edges - part * {part}))) AS copies",
+            f"{cell_of('user, slice', cells('n_followees', block_size))} AS block",
+            "array_repeat(user, int(n_edges)) AS copies",
         )
         .groupBy("follower", "block")
         .agg(F.expr("sort_array(flatten(collect_list(copies))) AS followees"))

@@ -1,10 +1,12 @@
 """Directed 3-cycles.
 
-Each cycle is found from its node of lowest rank, where rank is the hub degree
-and then the id. Only neighbours of higher rank are paired there. A hub's
-neighbours of higher rank are themselves hubs, so with ``n`` linked pairs no node
-has more than about ``sqrt(2n)`` of them, and a node that a third of all edges
-touch is no more work than another. Two-paths through hubs are never built.
+Each cycle is found from its node of lowest rank, where rank is the slot degree
+and then the id. Only neighbours of higher rank are paired there. Few nodes can
+outrank a hub: with ``n`` linked pairs a node of degree ``d`` has at most ``2n / d``
+neighbours of its degree or more (about ``sqrt(2n)`` in the worst case), so a node
+that a third of all edges touch is no more work than another. Two-paths through
+hubs are never built. Any ranking gives the same cycles; it only has to be the same
+everywhere, which a degree per slot is.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tricycle.functions import cell_of, cells, every_cell
-from tricycle.operators.pairs import pair_table, ranked_pairs
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS
+from tricycle.operators.pairs import SLOTS, pair_table, ranked_pairs
+from tricycle.plans.skew import CELL_ROWS
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
 
 
@@ -44,7 +46,7 @@ def wedges(ranked: DataFrame, strategy: str) -> DataFrame:
 
 
 def weighted_cycles(
-    table: DataFrame, strategy: str, cell_rows: int = CELL_ROWS, limit: int = HOT_KEYS
+    table: DataFrame, strategy: str, cell_rows: int = CELL_ROWS, slots: int = SLOTS
 ) -> DataFrame:
     """``(x, y, z, xy, yz, zx)``: each directed 3-cycle of distinct nodes once, the
     smallest node first, with the number of edges on each of its sides.
@@ -52,7 +54,7 @@ def weighted_cycles(
     A closing pair of two hubs can have a wedge at almost every node; its wedges
     are split over several join cells by their lowest-ranked node.
     """
-    ranked = ranked_pairs(table, limit)
+    ranked = ranked_pairs(table, slots)
     n_cells = cells("least(degree_a, degree_b)", cell_rows)
     closing = ranked.selectExpr("a", "b", "fwd", "bwd", f"{every_cell(n_cells)} AS cell")
     opened = wedges(ranked, strategy).selectExpr(
@@ -78,9 +80,9 @@ def cycle_list(
     edges: DataFrame,
     strategy: str = "auto",
     cell_rows: int = CELL_ROWS,
-    limit: int = HOT_KEYS,
+    slots: int = SLOTS,
     broadcast_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
     """Each directed 3-cycle x→y→z→x of distinct nodes once, with ``x < y, x < z``."""
     resolved = resolve(strategy, edges, broadcast_edges)
-    return weighted_cycles(pair_table(edges), resolved, cell_rows, limit).select("x", "y", "z")
+    return weighted_cycles(pair_table(edges), resolved, cell_rows, slots).select("x", "y", "z")

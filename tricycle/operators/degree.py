@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tricycle.plans.skew import expand_copies
+from tricycle.plans.skew import CHUNK_COPIES, expand_copies, repeated, sliced
 
 
 def follower_count(edges: DataFrame, sort: bool = False) -> DataFrame:
@@ -34,9 +34,12 @@ def follower_count_all(nodes: DataFrame, edges: DataFrame, sort: bool = True) ->
         .agg(F.expr("sum(copies) AS copies"), F.expr("sum(n_followers) AS n_followers"))
         .where("copies > 0")
     )
-    counts = expand_copies(counts)
-    return _ranked(counts) if sort else counts
+    if not sort:
+        return expand_copies(counts)
+    # Sorted while compact; the slices of a repeated node row sort apart.
+    ranked = _ranked(sliced(counts, "copies", CHUNK_COPIES), "slice")
+    return repeated(ranked, "user", "n_followers")
 
 
-def _ranked(counts: DataFrame) -> DataFrame:
-    return counts.orderBy(F.desc("n_followers"), F.asc("user"))
+def _ranked(counts: DataFrame, *then: str) -> DataFrame:
+    return counts.orderBy(F.desc("n_followers"), F.asc("user"), *then)

@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, hot_keys
+from tricycle.plans.skew import CELL_ROWS
+
+# Rows of the broadcast degree table, at most: two LONGs each.
+SLOTS = 2_097_152
 
 NO_NULL_ID = "follower IS NOT NULL AND user IS NOT NULL"
 
@@ -52,41 +55,49 @@ def self_loops(table: DataFrame) -> DataFrame:
     return table.where("loops > fwd + bwd").selectExpr("a AS node", "loops AS n_loops")
 
 
-def hub_degrees(table: DataFrame, limit: int = HOT_KEYS) -> DataFrame:
-    """``(node, degree)`` of the nodes with over a ``limit``-th of all pair ends.
+def slot_of(node: str, slots: int) -> str:
+    return f"pmod(xxhash64({node}), {slots}L)"
+
+
+def slot_degrees(table: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``(slot, degree)``: nodes hashed to ``slots`` slots, with the highest number
+    of neighbours in each slot. At most ``slots`` rows, whatever the graph.
 
-    Below ``limit`` rows by construction. With ``n`` pairs a node left out has at
-    most ``2n / limit`` neighbours.
+    The slot's degree is never below that of its nodes, and on a graph with fewer
+    nodes than slots it is nearly always the node's own.
     """
-    degrees = (
+    return (
         linked_pairs(table)
         .selectExpr("explode(array(a, b)) AS node")
         .groupBy("node")
         .agg(F.expr("count(*) AS degree"))
+        .groupBy(F.expr(f"{slot_of('node', slots)} AS slot"))
+        .agg(F.expr("max(degree) AS degree"))
     )
-    return hot_keys(degrees, "degree", limit)
 
 
-def ranked_pairs(table: DataFrame, limit: int = HOT_KEYS) -> DataFrame:
-    """Linked pairs with ``degree_a`` and ``degree_b``, 0 for a node that is no hub."""
-    hubs = F.broadcast(hub_degrees(table, limit))
+def ranked_pairs(table: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """Linked pairs with the slot degrees ``degree_a`` and ``degree_b`` of their ends."""
+    degrees = F.broadcast(slot_degrees(table, slots))
     return (
         linked_pairs(table)
-        .join(hubs.toDF("a", "degree_a"), "a", "left")
-        .join(hubs.toDF("b", "degree_b"), "b", "left")
         .selectExpr(
-            "a", "b", "fwd", "bwd", "coalesce(degree_a, 0) AS degree_a", "coalesce(degree_b, 0) AS degree_b"
+            "a", "b", "fwd", "bwd", f"{slot_of('a', slots)} AS slot_a", f"{slot_of('b', slots)} AS slot_b"
         )
+        # Every slot is found. An inner join would infer a filter on the slots and
+        # push it below the shuffle, which would then not be shared.
+        .join(degrees.toDF("slot_a", "degree_a"), "slot_a", "left")
+        .join(degrees.toDF("slot_b", "degree_b"), "slot_b", "left")
     )
 
 
-def looped_neighbours(table: DataFrame, limit: int = HOT_KEYS, cell_rows: int = CELL_ROWS) -> DataFrame:
+def looped_neighbours(table: DataFrame, slots: int = SLOTS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``(node, other, n_out, n_in, n_loops)``: nodes with a self-loop and their
     neighbours linked both ways. A hub's rows are split over several join cells.
     """
     columns = "node, other, n_out, n_in, n_cells"
     ends = (
-        ranked_pairs(table, limit)
+        ranked_pairs(table, slots)
         .where("fwd > 0 AND bwd > 0")
         .selectExpr(
             f"stack(2, a, b, fwd, bwd, {cells('degree_a', cell_rows)},"
@@ -96,7 +107,8 @@ def looped_neighbours(table: DataFrame, limit: int = HOT_KEYS, cell_rows: int =
     )
     loops = (
         self_loops(table)
-        .join(F.broadcast(hub_degrees(table, limit)), "node", "left")
+        .selectExpr("node", "n_loops", f"{slot_of('node', slots)} AS slot")
+        .join(F.broadcast(slot_degrees(table, slots)), "slot", "left")
         .selectExpr("node", "n_loops", f"{every_cell(cells('degree', cell_rows))} AS cell")
     )
     return ends.join(loops, ["node", "cell"]).drop("cell")

@@ -7,44 +7,51 @@ from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
 from tricycle.operators.pairs import pair_table, weighted_edges
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, expand_copies, hot_keys
+from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, SLICE_COPIES, hot_keys, repeated, sliced
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
 
+# In- or out-edges of a middle node that one join cell pairs. Splitting repeats an
+# edge once per this many edges on the other side.
+GRID_ROWS = 20_000
+
 
 def two_paths(
     edges: DataFrame,
     strategy: str = "auto",
     keep_degenerate: bool = False,
-    cell_rows: int = CELL_ROWS,
+    cell_rows: int = GRID_ROWS,
     limit: int = HOT_KEYS,
     broadcast_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
     """Every two-path ``(x, y, z)`` as a bag: each pair of edges x→y, y→z gives a
     row. Paths back to their start (``x = z``) only with ``keep_degenerate``.
 
-    Duplicate edges are joined once and multiplied out afterwards. At a middle
-    node with more than ``cell_rows`` distinct in- or out-edges the join is split
-    into a grid of cells, so that no task pairs all of a hub's edges.
+    Duplicate edges travel and join as one row per 256 copies and are multiplied
+    out afterwards. At a middle node with more than ``cell_rows`` such rows the join
+    is split into a grid of cells, so that no task pairs all of a hub's edges.
     """
     resolved = resolve(strategy, edges, broadcast_edges)
-    weighted = weighted_edges(edges)
-    first = weighted.toDF("x", "y", "n_first")
-    second = weighted.toDF("y", "z", "n_second")
+    weighted = sliced(weighted_edges(edges), "n_edges", SLICE_COPIES)
+    columns = ("follower", "user", "slice", "n_edges")
+    first = weighted.select(*columns).toDF("x", "y", "slice", "n_first")
+    second = weighted.select(*columns).toDF("y", "z", "slice", "n_second")
     keys = ["y"]
-    if resolved != "broadcast":
+    if resolved == "broadcast":
+        first, second = first.drop("slice"), second.drop("slice")
+    else:
         hubs = F.broadcast(_middle_hubs(weighted, cell_rows, limit))
         n_rows, n_columns = cells("n_in", cell_rows), cells("n_out", cell_rows)
         first = first.join(hubs, "y", "left").selectExpr(
-            "x", "y", "n_first", f"{cell_of('x', n_rows)} AS row", f"{every_cell(n_columns)} AS column"
+            "x", "y", "n_first", f"{cell_of('x, slice', n_rows)} AS row", f"{every_cell(n_columns)} AS column"
         )
         second = second.join(hubs, "y", "left").selectExpr(
-            "y", "z", "n_second", f"{every_cell(n_rows)} AS row", f"{cell_of('z', n_columns)} AS column"
+            "y", "z", "n_second", f"{every_cell(n_rows)} AS row", f"{cell_of('z, slice', n_columns)} AS column"
         )
         keys += ["row", "column"]
     joined = first.join(hinted(second, resolved), keys)
     if not keep_degenerate:
         joined = joined.where("x <> z")
-    return expand_copies(joined.selectExpr("x", "y", "z", "n_first * n_second AS copies"))
+    return repeated(joined.selectExpr("x", "y", "z", "n_first * n_second AS copies"), "x", "y", "z")
 
 
 def two_path_count(edges: DataFrame, keep_degenerate: bool = False) -> DataFrame:
@@ -81,25 +88,29 @@ def close_two_paths(
     """
     if how not in ("semi", "bag"):
         raise ValueError(f"unknown closing {how!r}, expected 'semi' or 'bag'")
-    open_paths = paths.groupBy("x", "y", "z").agg(F.expr("count(*) AS n_paths"))
+    open_paths = sliced(
+        paths.groupBy("x", "y", "z").agg(F.expr("count(*) AS n_paths")), "n_paths", SLICE_COPIES
+    )
     ends = open_paths.groupBy("z", "x").agg(
-        F.expr("count(*) AS n_middles"), F.expr("sum(n_paths) AS n_paths")
+        F.expr("count(*) AS n_rows"), F.expr("sum(n_paths) AS n_paths")
     )
     # n_paths keeps the pre-aggregation's columns alive, so its shuffle is shared.
-    shared_ends = hot_keys(ends.where("n_paths > 0"), "n_middles", limit, floor=cell_rows)
-    shared_ends = F.broadcast(shared_ends.select("z", "x", "n_middles"))
-    closing = weighted_edges(edges).toDF("z", "x", "n_edges")
-    n_cells = cells("n_middles", cell_rows)
+    shared_ends = hot_keys(ends.where("n_paths > 0"), "n_rows", limit, floor=cell_rows)
+    shared_ends = F.broadcast(shared_ends.select("z", "x", "n_rows"))
+    closing = weighted_edges(edges)
+    if how == "bag":
+        closing = sliced(closing, "n_edges", SLICE_COPIES)
+    closing = closing.select("follower", "user", "n_edges").toDF("z", "x", "n_edges")
+    n_cells = cells("n_rows", cell_rows)
     open_paths = open_paths.join(shared_ends, ["z", "x"], "left").selectExpr(
-        "x", "y", "z", "n_paths", f"{cell_of('y', n_cells)} AS cell"
+        "x", "y", "z", "n_paths", f"{cell_of('y, slice', n_cells)} AS cell"
     )
     closing = closing.join(shared_ends, ["z", "x"], "left").selectExpr(
         "z", "x", "n_edges", f"{every_cell(n_cells)} AS cell"
     )
     copies = "n_paths * n_edges" if how == "bag" else "n_paths"
-    return expand_copies(
-        open_paths.join(closing, ["z", "x", "cell"]).selectExpr("x", "y", "z", f"{copies} AS copies")
-    )
+    closed = open_paths.join(closing, ["z", "x", "cell"])
+    return repeated(closed.selectExpr("x", "y", "z", f"{copies} AS copies"), "x", "y", "z")
 
 
 def closing_counts(path_ends: DataFrame, edges: DataFrame) -> DataFrame:

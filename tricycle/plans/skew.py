@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1_000_000
 
 # Rows of one key that may meet in one join cell before the key is split.
-CELL_ROWS = 100_000
+CELL_ROWS = 1_000_000
 
-# Copies of one row that one task writes.
+# Copies of one row that one task writes, and the slice of a duplicate that keeps
+# the product of two slices within it.
 CHUNK_COPIES = 65_536
+SLICE_COPIES = 256
 
 
 def hot_keys(counts: DataFrame, weight: str, limit: int = HOT_KEYS, floor: int = 0) -> DataFrame:
@@ -30,22 +32,27 @@ def hot_keys(counts: DataFrame, weight: str, limit: int = HOT_KEYS, floor: int =
     return counts.where(F.col(weight) > bound)
 
 
+def sliced(rows: DataFrame, copies: str, size: int) -> DataFrame:
+    """Rows with more than ``size`` copies as several rows of at most ``size``
+    copies, numbered by a new column ``slice``.
+    """
+    kept = [c for c in rows.columns if c != copies]
+    return rows.selectExpr("*", f"explode(sequence(0L, ({copies} - 1) div {size})) AS slice").selectExpr(
+        *kept, "slice", f"least({size}L, {copies} - slice * {size}) AS {copies}"
+    )
+
+
+def repeated(rows: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of each row as often as its column ``copies`` says."""
+    each = "explode(if(copies = 1, array(1), sequence(1, int(copies)))) AS copy"
+    return rows.selectExpr(*columns, each).drop("copy")
+
+
 def expand_copies(rows: DataFrame, chunk: int = CHUNK_COPIES) -> DataFrame:
     """Each row as often as its column ``copies`` says, without that column.
 
-    A row with very many copies is first cut into chunks, and the chunks are
-    shuffled, so that no task writes all copies of one row.
+    The rows are still compact when they are shuffled, and a row with very many
+    copies travels as several, so that no task writes all copies of one row.
     """
-    names = [c for c in rows.columns if c != "copies"]
-    few = rows.where(f"copies <= {chunk}")
-    many = (
-        rows.where(f"copies > {chunk}")
-        .selectExpr("*", f"explode(sequence(0L, (copies - 1) div {chunk})) AS chunk")
-        .repartition(*names, "chunk")
-        .selectExpr(*names, f"least({chunk}L, copies - chunk * {chunk}) AS copies")
-    )
-    return (
-        few.unionByName(many)
-        .selectExpr(*names, "explode(sequence(1, int(copies))) AS copy")
-        .drop("copy")
-    )
+    columns = [c for c in rows.columns if c != "copies"]
+    return repeated(sliced(rows, "copies", chunk).repartition(*columns, "slice"), *columns)
