@@ -9,16 +9,23 @@ FORMATS = ("csv", "text", "parquet")
 
 
 def write_counts(
-    df: DataFrame, path: str, format: str = "csv", sep: str = ",", mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    format: str = "csv",
+    sep: str = ",",
+    mode: str = "errorifexists",
+    order_by: str | None = None,
 ) -> None:
     """Write a result table.
 
     ``text`` joins the columns with ``sep`` (any length) into one line per row;
     a NULL becomes an empty field. An existing ``path`` is an error unless
-    ``mode='overwrite'``.
+    ``mode='overwrite'``. ``order_by`` sorts within each part file, without a shuffle.
     """
     if format not in FORMATS:
         raise ValueError(f"unknown format {format!r}, expected one of {FORMATS}")
+    if order_by is not None:
+        df = df.sortWithinPartitions(order_by)
     if format == "parquet":
         df.write.mode(mode).parquet(path)
     elif format == "csv":
