@@ -1,9 +1,11 @@
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 
 import tricycle as tc
 from tests import graphs
+from tricycle.plans import shared_path
 
 
 def write_lines(tmp_path, name, lines):
@@ -73,3 +75,24 @@ def test_edge_table(spark):
     table = spark.createDataFrame([(1, "2")], "a INT, b STRING")
     edges = tc.edge_table(table, "a", "b")
     assert edges.dtypes == [("follower", "bigint"), ("user", "bigint")] and tuple(edges.first()) == (1, 2)
+
+
+def test_shared_path_follows_the_session():
+    def session(settings, master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    named = session({"spark.checkpoint.dir": "hdfs:///shared/"}, "yarn")
+    assert shared_path(named, "edges").startswith("hdfs:///shared/edges-")
+    assert shared_path(named, "edges") != shared_path(named, "edges")
+    with pytest.raises(ValueError):
+        shared_path(session({}, "yarn"), "edges")
+
+
+def test_text_sorted_within_files(spark, edges_of, tmp_path):
+    path = str(tmp_path / "sorted")
+    tc.write_counts(tc.follower_count(edges_of(graphs.TRI10)).coalesce(1), path, "text", order_by="user")
+    users = [int(r.value.split(",")[0]) for r in spark.read.text(path).collect()]
+    assert users == sorted(users)

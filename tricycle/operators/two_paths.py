@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
 from tricycle.operators.pairs import pair_table, weighted_edges
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, SLICE_COPIES, hot_keys, repeated, sliced
+from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, SLICE_COPIES, expand_copies, hot_keys, repeated, sliced
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
 
 # In- or out-edges of a middle node that one join cell pairs. Splitting repeats an
@@ -27,8 +27,9 @@ def two_paths(
     row. Paths back to their start (``x = z``) only with ``keep_degenerate``.
 
     Duplicate edges travel and join as one row per 256 copies and are multiplied
-    out afterwards. At a middle node with more than ``cell_rows`` such rows the join
-    is split into a grid of cells, so that no task pairs all of a hub's edges.
+    out afterwards. At a middle node with more than ``cell_rows`` such rows (or a
+    ``limit``-th of all, if that is more) the join is split into a grid of cells, so
+    that no task pairs all of a hub's edges.
     """
     resolved = resolve(strategy, edges, broadcast_edges)
     weighted = sliced(weighted_edges(edges), "n_edges", SLICE_COPIES)
@@ -97,10 +98,7 @@ def close_two_paths(
     # n_paths keeps the pre-aggregation's columns alive, so its shuffle is shared.
     shared_ends = hot_keys(ends.where("n_paths > 0"), "n_rows", limit, floor=cell_rows)
     shared_ends = F.broadcast(shared_ends.select("z", "x", "n_rows"))
-    closing = weighted_edges(edges)
-    if how == "bag":
-        closing = sliced(closing, "n_edges", SLICE_COPIES)
-    closing = closing.select("follower", "user", "n_edges").toDF("z", "x", "n_edges")
+    closing = weighted_edges(edges).toDF("z", "x", "n_edges")
     n_cells = cells("n_rows", cell_rows)
     open_paths = open_paths.join(shared_ends, ["z", "x"], "left").selectExpr(
         "x", "y", "z", "n_paths", f"{cell_of('y, slice', n_cells)} AS cell"
@@ -108,9 +106,10 @@ def close_two_paths(
     closing = closing.join(shared_ends, ["z", "x"], "left").selectExpr(
         "z", "x", "n_edges", f"{every_cell(n_cells)} AS cell"
     )
-    copies = "n_paths * n_edges" if how == "bag" else "n_paths"
     closed = open_paths.join(closing, ["z", "x", "cell"])
-    return repeated(closed.selectExpr("x", "y", "z", f"{copies} AS copies"), "x", "y", "z")
+    if how == "bag":
+        return expand_copies(closed.selectExpr("x", "y", "z", "n_paths * n_edges AS copies"))
+    return repeated(closed.selectExpr("x", "y", "z", "n_paths AS copies"), "x", "y", "z")
 
 
 def closing_counts(path_ends: DataFrame, edges: DataFrame) -> DataFrame:
