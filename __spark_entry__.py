@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -243,7 +244,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return tc.triangle_count(events_edges(spark, "/root/testdata/sf0.001"), "bag")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def graph_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator and graph; each takes (spark, sf_dir)."""
 
     def on(operator, graph):
@@ -257,8 +258,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return found
 
 
-def oracle_sql() -> dict[str, str]:
-    """For each query the same result in SQL over the given tables."""
+def graph_sql() -> dict[str, str]:
+    """For each graph query the same result in SQL over the given tables."""
     found = {
         f"{name}_{graph}": sql.format(edges=SQL_EDGES[graph]) for name, sql in SQL_ON_EDGES.items() for graph in GRAPHS
     }
@@ -271,3 +272,26 @@ def oracle_sql() -> dict[str, str]:
         SELECT CAST(NULL AS BIGINT) AS follower, user_id AS "user" FROM events
         UNION ALL SELECT user_id, CAST(NULL AS BIGINT) FROM events"""
     return found
+
+
+def _text_queries() -> ModuleType | None:
+    """The registered queries of the text subpackage, where that is installed."""
+    try:
+        from tricycle.llm import registered
+    except ModuleNotFoundError as missing:
+        if missing.name and missing.name.startswith(("tricycle.llm", "corpus_pipeline")):
+            return None
+        raise
+    return registered
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every registered query: the graph operators, and the text operators if there."""
+    text = _text_queries()
+    return graph_queries() | (text.queries() if text else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL of the registered queries that SQL can express."""
+    text = _text_queries()
+    return graph_sql() | (text.oracle_sql() if text else {})

@@ -26,14 +26,15 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registered.graph_queries()) == set(registered.graph_sql())
+    assert set(registered.graph_queries()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in registered.queries() if not n.endswith("_events")])
+@pytest.mark.parametrize("name", [n for n in registered.graph_queries() if not n.endswith("_events")])
 def test_query_equals_sql(spark, sql, name):
-    found = registered.queries()[name](spark, SF_DIR)
+    found = registered.graph_queries()[name](spark, SF_DIR)
     columns = sorted(found.columns)
-    relation = sql.sql(registered.oracle_sql()[name])
+    relation = sql.sql(registered.graph_sql()[name])
     assert sorted(relation.columns) == columns
     picked = ", ".join(f'"{c}"' for c in columns)
     expected = Counter(relation.project(picked).fetchall())

@@ -78,17 +78,17 @@ def test_edge_table(spark):
 
 
 def test_shared_path_follows_the_session():
-    def session(settings, master):
+    def session(**settings):
         return SimpleNamespace(
             conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
-            sparkContext=SimpleNamespace(master=master),
+            sparkContext=SimpleNamespace(applicationId="app-1"),
         )
 
-    named = session({"spark.checkpoint.dir": "hdfs:///shared/"}, "yarn")
-    assert shared_path(named, "edges").startswith("hdfs:///shared/edges-")
+    named = session(**{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert shared_path(named, "edges").startswith("hdfs:///shared/app-1/edges-")
     assert shared_path(named, "edges") != shared_path(named, "edges")
-    with pytest.raises(ValueError):
-        shared_path(session({}, "yarn"), "edges")
+    unnamed = session(**{"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+    assert shared_path(unnamed, "edges").startswith("hdfs:///warehouse/shared/app-1/edges-")
 
 
 def test_text_sorted_within_files(spark, edges_of, tmp_path):

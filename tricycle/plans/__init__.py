@@ -1,5 +1,5 @@
 from tricycle.plans.report import explain_text, with_metrics
-from tricycle.plans.shared import shared_path
+from tricycle.plans.shared import materialize, shared_path
 from tricycle.plans.skew import expand_copies, hot_keys
 from tricycle.plans.strategy import STRATEGIES, hinted, resolve
 
@@ -9,6 +9,7 @@ __all__ = [
     "explain_text",
     "hinted",
     "hot_keys",
+    "materialize",
     "resolve",
     "shared_path",
     "with_metrics",

@@ -1,22 +1,31 @@
-"""A folder that every executor can reach."""
+"""Tables in a folder that every executor can reach."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under the session's ``spark.checkpoint.dir``.
-
-    Without that setting a temporary folder serves in local mode only; a cluster
-    must name a shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or where it is unset a folder in the session's
+    warehouse, which the executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="run-")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, under a folder of this application."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: it is made once, and
+    neither its lineage nor an executor that is lost later matters to a reader.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
