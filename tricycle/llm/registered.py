@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tricycle.llm import sql
+from tricycle.llm.decontaminate import contamination
 from tricycle.llm.minhash import near_duplicates
+from tricycle.llm.mixing import sampled_mix
+from tricycle.llm.secrets import secrets, span_text
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +22,43 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[
+            F.expr(f"CAST(size(filter(spans, s -> s.kind = {k})) AS LONG)").alias(f"n_{name}")
+            for k, name in enumerate(("assign", "access", "hex"))
+        ],
+        F.sha2(span_text("spans", 3), 256).alias("base_sha256"),
+        span_text("spans").alias("spans"),
+    )
+
+
+def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_mix(_table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op4_minhash_near_dedup,)
+    found = (op4_minhash_near_dedup, op6_secret_scan, op9_pareto_mix, op10_benchmark_decontamination)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        op6_secret_scan.__name__: sql.secret_scan(),
+        op9_pareto_mix.__name__: sql.mixing(),
+        op10_benchmark_decontamination.__name__: sql.decontamination(),
+    }
