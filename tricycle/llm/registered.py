@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tricycle.llm import quality as ranking
 from tricycle.llm import sql
+from tricycle.llm import toxicity as toxic
 from tricycle.llm.decontaminate import contamination
 from tricycle.llm.minhash import near_duplicates
 from tricycle.llm.mixing import sampled_mix
@@ -18,6 +20,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ranking.fit(docs, _table(spark, sf_dir, "labels"))
+    return ranking.quality(docs, model).select(
+        "doc_id", ranking.held_out().alias("held_out"), "score", F.expr("int(score >= 0.3)").alias("predicted")
+    )
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -35,6 +45,19 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxic.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxic.toxicity(docs, model).select(
+        "doc_id",
+        toxic.held_out().alias("held_out"),
+        "score",
+        F.expr("int(score >= 0.3)").alias("predicted"),
+        "threshold",
+        "rejected",
+    )
+
+
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampled_mix(_table(spark, sf_dir, "documents")).drop("copies")
 
@@ -52,7 +75,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op4_minhash_near_dedup, op6_secret_scan, op9_pareto_mix, op10_benchmark_decontamination)
+    found = (
+        op3_quality_ranking,
+        op4_minhash_near_dedup,
+        op6_secret_scan,
+        op8_toxicity_cnn,
+        op9_pareto_mix,
+        op10_benchmark_decontamination,
+    )
     return {f.__name__: f for f in found}
 
 

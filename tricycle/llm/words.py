@@ -22,6 +22,8 @@ PIECE_BYTES = 1 << 20
 _BYTES = np.arange(256, dtype=np.uint8)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 _SPACE = (_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13))
+# Bytes that are neither letters nor digits of ASCII nor part of other characters.
+NOT_ALPHANUMERIC = (_BYTES < 48) | ((_BYTES > 57) & (_BYTES < 97)) | ((_BYTES > 122) & (_BYTES < 128))
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -88,16 +90,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return found
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    texts: pa.Array, prefixes: tuple[int, ...] = (), gaps: np.ndarray = _SPACE
+) -> tuple[np.ndarray, ...]:
     """A 64-bit hash of each lower-cased word, text after text, and where each text
     starts among them (one offset more than texts). Words are equal if and, but for
     a collision of 64 bits, only if their hashes are.
+
+    For each length in ``prefixes`` the hashes of the words' first so many bytes
+    follow. ``gaps`` marks the bytes between words.
     """
     data, offsets = text_bytes(texts)
-    hashes, starts = [], []
+    hashes, starts = [[] for _ in range(1 + len(prefixes))], []
     for start, stop in _pieces(data, offsets):
         piece = _LOWER[data[start:stop]]
-        space = _SPACE[piece]
+        space = gaps[piece]
         first = np.zeros(len(piece) + 1, bool)
         inside = offsets[(offsets >= start) & (offsets <= stop)] - start
         first[inside] = True
@@ -108,12 +115,15 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         power, inverse = _powers(len(piece))
         total = np.zeros(len(piece) + 1, np.uint64)
         np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * power[: len(piece)], out=total[1:])
-        found = (total[ends] - total[begins]) * inverse[begins]
-        hashes.append(mix(found + (ends - begins).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+        for k, length in enumerate((None, *prefixes)):
+            after = ends if length is None else np.minimum(ends, begins + length)
+            found = (total[after] - total[begins]) * inverse[begins]
+            hashes[k].append(mix(found + (after - begins).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
         starts.append(begins + start)
-    if not hashes:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets).astype(np.int64)
+    if not starts:
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), *([np.empty(0, np.uint64)] * len(prefixes))
+    words, *more = map(np.concatenate, hashes)
+    return words, np.searchsorted(np.concatenate(starts), offsets).astype(np.int64), *more
 
 
 def shingle_hashes(hashes: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
