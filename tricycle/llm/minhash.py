@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tricycle.llm.components import components
@@ -257,3 +257,15 @@ def near_duplicates(
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """One document of each component of ``near_duplicates``, with all its columns: the
+    one with the smallest doc_id. Of rows with that doc_id one stays, in order of a hash
+    of the text; rows with a null doc_id and documents without words all stay.
+    """
+    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    place = F.row_number().over(Window.partitionBy("kept_id").orderBy(F.xxhash64(F.col("doc.text")), F.col("doc.text")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("kept_id"), F.struct("*").alias("doc"))
+    named = rows.join(kept, "kept_id", "left_semi").withColumn("place", place).where("place = 1").select("doc.*")
+    return named.union(docs.where("doc_id IS NULL"))

@@ -22,7 +22,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2.0
 SLICES = 4096  # of a source's ranks, at each of the two levels
-SLICE_ROWS = 1 << 20
 
 
 def unit_hash(*columns: Column | str) -> Column:
@@ -99,6 +98,13 @@ def sampled_mix(
     those at the cut all or, if they are more than half over, none are taken. Further
     columns are ignored; an empty table gives an empty result.
     """
+    return _planned(docs, weights, share, limit, slices).select(
+        "doc_id", "size", "source_size", "target", "copies", "taken"
+    )
+
+
+def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, limit: float, slices: int) -> DataFrame:
+    """The mix with each row's number ``u`` and its source's ``name``."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
@@ -166,5 +172,26 @@ def sampled_mix(
     return (
         keyed.join(start, by, "left")
         .withColumn("copies", F.expr(taken).cast("long"))
-        .select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+        .withColumn("taken", F.col("size") * F.col("copies"))
+    )
+
+
+def mixed(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, limit: float = LIMIT
+) -> DataFrame:
+    """The documents that ``sampled_mix`` takes, with all their columns, and ``copies``
+    (1 or more), ``size`` and ``taken`` in words. Columns of these names are replaced.
+    """
+    def keys(doc_id: str, text: str) -> list[Column]:
+        return [
+            F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("id"),
+            unit_hash(F.col(doc_id).cast("string"), F.when(F.col(doc_id).isNull(), F.col(text).cast("string"))).alias("u"),
+            F.coalesce(F.col(doc_id.replace("doc_id", "source")).cast("string"), F.lit("")).alias("name"),
+        ]
+
+    own = [F.col(f"doc.{c}").alias(c) for c in docs.columns if c.lower() not in ("copies", "size", "taken")]
+    rows = docs.select(F.struct("*").alias("doc")).select(*keys("doc.doc_id", "doc.text"), "doc")
+    plan = _planned(docs, weights, share, limit, SLICES).where("copies > 0").select(
+        F.coalesce("doc_id", F.lit(0)).alias("id"), "u", "name", "copies", "size", "taken"
     )
+    return rows.join(plan.dropDuplicates(["id", "u", "name"]), ["id", "u", "name"]).select(*own, "copies", "size", "taken")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tricycle.llm import quality as ranking
 from tricycle.llm import sql
 from tricycle.llm import toxicity as toxic
@@ -83,7 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_pareto_mix,
         op10_benchmark_decontamination,
     )
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
