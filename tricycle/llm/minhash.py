@@ -3,9 +3,9 @@
 Signatures are minima of universal hash functions over a text's word shingles.
 Texts that agree in all rows of a band meet in a bucket; there each is compared
 with the bucket's smallest member, and what that leaves unconnected is compared
-pair by pair inside blocks of bounded size. A pair whose signatures agree well
-enough is confirmed on the full shingle sets, and confirmed links are joined into
-components by alternating large-star and small-star.
+inside blocks of bounded size. A pair whose signatures agree well enough is confirmed
+on the full shingle sets, and confirmed links are joined into components by
+alternating large-star and small-star.
 
 Equal sets are folded first, so copies cost one row each. With 32 bands of 4 rows a
 pair at the threshold of 0.75 shares no bucket with probability 6e-6, and its
@@ -31,7 +31,7 @@ THRESHOLD = 75  # percent of the union that two sets share
 BANDS = 32
 ROWS = 4
 MARGIN = 0.17  # 4.5 standard deviations of the estimate at the threshold
-BLOCK = 256  # members of a bucket that are compared with each other at once
+BLOCK = 512  # members of a bucket that are compared with each other at once
 # Ids of candidate texts that are broadcast; beyond it the lookup is a shuffle join.
 BROADCAST_IDS = 1_000_000
 
@@ -87,7 +87,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE_WORDS, count: int = BANDS *
 
 
 def band_keys(groups: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``(bucket, node)``: one row for each band of each signature."""
+    """``(bucket, band, node)``: one row for each band of each signature."""
 
     def keys(batches):
         factors = mix(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
@@ -97,12 +97,13 @@ def band_keys(groups: DataFrame, bands: int, rows: int) -> DataFrame:
             minima = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32)
             minima = minima.reshape(batch.num_rows, bands, rows).astype(np.uint64)
             keyed = mix((mix(minima + np.uint64(1)) * factors).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64))
+            band = np.tile(np.arange(bands, dtype=np.int32), batch.num_rows)
             nodes = np.repeat(batch.column("node").to_numpy(), bands)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keyed.ravel().astype(np.int64)), pa.array(nodes)], ["bucket", "node"]
+                [pa.array(keyed.ravel().astype(np.int64)), pa.array(band), pa.array(nodes)], ["bucket", "band", "node"]
             )
 
-    return groups.select("node", "signature").mapInArrow(keys, "bucket long, node long")
+    return groups.select("node", "signature").mapInArrow(keys, "bucket long, band int, node long")
 
 
 def _likely(pairs: DataFrame, groups: DataFrame, least: float) -> DataFrame:
@@ -122,42 +123,70 @@ def _likely(pairs: DataFrame, groups: DataFrame, least: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(share("one", "two") >= least).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose full shingle sets share ``threshold`` percent of their union."""
-    nodes = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "candidates")
+def _shingle_sets(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``(node, shingles)``: the sorted shingle hashes of each node, 8 bytes each."""
+    nodes = materialize(nodes.distinct(), "nodes")
     lookup = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
 
     def sets(batches):
         for batch in batches:
-            found = [s.astype(np.int64) for s in shingle_hashes(*word_hashes(batch.column("text")), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
+            found = [s.tobytes() for s in shingle_hashes(*word_hashes(batch.column("text")), size)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
 
     full = (
         docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
         .join(lookup, "node", "left_semi")
-        .mapInArrow(sets, "node long, shingles array<long>")
+        .mapInArrow(sets, "node long, shingles binary")
         .dropDuplicates(["node"])
     )
-    full = materialize(full, "shingles")
-    one, two = full.toDF("a", "one"), full.toDF("b", "two")
+    return materialize(full, "shingles")
+
+
+def linked_sets(one: np.ndarray, two: np.ndarray, threshold: int) -> bool:
+    """Whether two sorted sets share ``threshold`` percent of their union or more."""
+    if 100 * min(len(one), len(two)) < threshold * max(len(one), len(two)):
+        return False
+    shared = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * shared >= threshold * (len(one) + len(two) - shared)
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Pairs ``(a, b)`` whose full shingle sets are linked."""
+    full = _shingle_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), docs, size)
+
+    def check(one: pd.Series, two: pd.Series) -> pd.Series:
+        both = zip(one, two, strict=True)
+        return pd.Series(
+            [linked_sets(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), threshold) for a, b in both], dtype="bool"
+        )
+
+    checked = F.pandas_udf(check, "boolean")
     return (
-        pairs.join(one, "a")
-        .join(two, "b")
-        .withColumn("shared", F.size(F.array_intersect("one", "two")))
-        .where(f"100 * shared >= {threshold} * (size(one) + size(two) - shared)")
-        .select("a", "b")
+        pairs.join(full.toDF("a", "one"), "a").join(full.toDF("b", "two"), "b").where(checked("one", "two")).select("a", "b")
     )
 
 
-def _across(shared: DataFrame, groups: DataFrame, labels: DataFrame, least: float, block: int) -> DataFrame:
-    """Likely pairs ``(a, b)`` of nodes that share a bucket but, so far, no component.
+def _across(
+    shared: DataFrame,
+    groups: DataFrame,
+    labels: DataFrame,
+    docs: DataFrame,
+    size: int,
+    threshold: int,
+    least: float,
+    rows: int,
+    block: int,
+) -> DataFrame:
+    """Links ``(a, b)`` between nodes that share a bucket but, so far, no component.
 
-    A bucket's members are dealt into blocks of about ``block``; two blocks at a time
-    meet in a task, so that no task holds a whole large bucket.
+    A bucket's members are dealt into blocks of about ``block``, and two blocks at a
+    time meet in a task, so that no task holds a whole large bucket. There each pair
+    is looked at in the first band that it shares, if signatures agree well enough and
+    no other link has connected it, and confirmed on the full sets.
     """
     member = (
         shared.join(labels, "node", "left")
-        .select("bucket", "node", F.coalesce("component", "node").alias("component"))
+        .select("bucket", "band", "node", F.coalesce("component", "node").alias("component"))
     )
     mixed = (
         member.groupBy("bucket")
@@ -165,30 +194,42 @@ def _across(shared: DataFrame, groups: DataFrame, labels: DataFrame, least: floa
         .where("low < high")
         .select("bucket", F.expr(f"int(1 + (n - 1) div {block})").alias("blocks"))
     )
+    member = materialize(member.join(mixed, "bucket"), "mixed")
+    full = _shingle_sets(member.select("node"), docs, size)
     cells = (
-        member.join(mixed, "bucket")
-        .join(groups.select("node", "signature"), "node")
+        member.join(groups.select("node", "signature"), "node")
+        .join(full, "node")
         .withColumn("own", F.expr("int(pmod(xxhash64(node), blocks))"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "signature")
-    )
+        .select(
+            "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            "own", "band", "node", "component", "signature", "shingles",
+        )
+    )
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        width = len(frame.signature.iloc[0]) // 4
-        first, second = (frame[frame.own == k].reset_index(drop=True) for k in (key[1], key[2]))
-        if first.empty or second.empty:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        one, two = (np.frombuffer(b"".join(x.signature), np.uint32).reshape(-1, width) for x in (first, second))
-        out = []
-        for k in range(len(one)):
-            near = (two == one[k]).mean(axis=1) >= least
-            near &= second.component.to_numpy() != first.component[k]
-            other = second.node.to_numpy()[near]
-            out.append(np.stack((np.minimum(first.node[k], other), np.maximum(first.node[k], other))))
-        a, b = np.concatenate(out, axis=1)
-        return pd.DataFrame({"a": a, "b": b})
-
-    return cells.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+        frame = frame.sort_values("node", ignore_index=True)
+        signs = np.frombuffer(b"".join(frame.signature), np.uint32).reshape(len(frame), -1)
+        band, need = int(frame.band[0]), least * signs.shape[1]
+        earlier = signs[:, : band * rows].reshape(len(frame), band, rows)
+        sets = [np.frombuffer(x, np.uint64) for x in frame.shingles]
+        own, node = frame.own.to_numpy(), frame.node.to_numpy()
+        root, part = np.unique(frame.component.to_numpy(), return_inverse=True)
+        found = []
+        for k in range(len(frame)):
+            # Within one block each pair once, between two blocks only across.
+            other = np.arange(k + 1, len(frame))
+            other = other[(part[other] != part[k]) & ((own[other] != own[k]) | (key[1] == key[2]))]
+            other = other[~(earlier[other] == earlier[k]).all(axis=2).any(axis=1)]
+            agree = (signs[other] == signs[k]).sum(axis=1)
+            other = other[agree >= need][np.argsort(-agree[agree >= need], kind="stable")]
+            for m in other:
+                if part[m] != part[k] and linked_sets(sets[k], sets[m], threshold):
+                    found.append((node[k], node[m]))
+                    part[part == part[m]] = part[k]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return cells.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -220,7 +261,7 @@ def near_duplicates(
 
     keys = materialize(band_keys(groups, bands, rows), "bands")
     heads = keys.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last")
-    shared = materialize(keys.join(heads, "bucket").select("bucket", "node", "head"), "shared")
+    shared = materialize(keys.join(heads, "bucket").select("bucket", "band", "node", "head"), "shared")
 
     members = groups.select("high", "low", "node")
     # Different texts under one doc_id are one document to the links.
@@ -238,11 +279,8 @@ def near_duplicates(
     first = materialize(_confirmed(likely, docs, size, threshold).union(same), "confirmed")
     labels = materialize(components(first), "labels")
 
-    rest = materialize(_across(shared, groups, labels, least, block), "across")
-    tried = rest.join(likely, ["a", "b"], "left_anti")
-    second = _confirmed(materialize(tried, "untried"), docs, size, threshold)
-    links = materialize(first.union(second), "links")
-    labels = components(links)
+    second = materialize(_across(shared, groups, labels, docs, size, threshold, least, rows, block), "across")
+    labels = components(first.union(second))
 
     placed = (
         members.join(labels, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
