@@ -11,6 +11,7 @@ import corpus_pipeline
 from tricycle.llm import quality as ranking
 from tricycle.llm import sql
 from tricycle.llm import toxicity as toxic
+from tricycle.llm.ann import nearest_neighbours
 from tricycle.llm.decontaminate import contamination
 from tricycle.llm.minhash import near_duplicates
 from tricycle.llm.mixing import sampled_mix
@@ -21,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_adaptive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = ranking.fit(docs, _table(spark, sf_dir, "labels"))
@@ -77,6 +82,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op2_adaptive_ann,
         op3_quality_ranking,
         op4_minhash_near_dedup,
         op6_secret_scan,
