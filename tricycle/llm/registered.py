@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import public_tokenizers
 from tricycle.llm import quality as ranking
 from tricycle.llm import sql
 from tricycle.llm import toxicity as toxic
@@ -16,6 +17,7 @@ from tricycle.llm.decontaminate import contamination
 from tricycle.llm.minhash import near_duplicates
 from tricycle.llm.mixing import sampled_mix
 from tricycle.llm.secrets import secrets, span_text
+from tricycle.llm.tokens import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +40,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -85,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_adaptive_ann,
         op3_quality_ranking,
         op4_minhash_near_dedup,
+        op5_token_counts,
         op6_secret_scan,
         op8_toxicity_cnn,
         op9_pareto_mix,
