@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
+from tricycle.llm import lm
 from tricycle.llm import quality as ranking
 from tricycle.llm import sql
 from tricycle.llm import toxicity as toxic
@@ -24,6 +25,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.language_scores(_table(spark, sf_dir, "documents"), lm.held_out())
+
+
 def op2_adaptive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -88,6 +93,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op1_backoff_automaton,
         op2_adaptive_ann,
         op3_quality_ranking,
         op4_minhash_near_dedup,
