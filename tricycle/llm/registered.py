@@ -19,6 +19,7 @@ from tricycle.llm.minhash import near_duplicates
 from tricycle.llm.mixing import sampled_mix
 from tricycle.llm.secrets import secrets, span_text
 from tricycle.llm.tokens import token_counts
+from tricycle.llm.warc import captures, header_text, resolved_revisits
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +63,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolved_revisits(captures(_table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", header_text("headers"))
+
+
 def op8_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = toxic.fit(docs, _table(spark, sf_dir, "labels"))
@@ -99,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_minhash_near_dedup,
         op5_token_counts,
         op6_secret_scan,
+        op7_revisit_resolution,
         op8_toxicity_cnn,
         op9_pareto_mix,
         op10_benchmark_decontamination,
@@ -109,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         op6_secret_scan.__name__: sql.secret_scan(),
+        op7_revisit_resolution.__name__: sql.revisits(),
         op9_pareto_mix.__name__: sql.mixing(),
         op10_benchmark_decontamination.__name__: sql.decontamination(),
     }

@@ -13,6 +13,7 @@ from tricycle.llm.secrets import (
     most_sum,
     weights,
 )
+from tricycle.llm.warc import CAPTURES, SCHEME, TRACKING
 from tricycle.llm.words import LOWER_SQL, UPPER
 
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER_SQL}')"
@@ -112,3 +113,39 @@ def secret_scan() -> str:
     SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
         coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base_text, '')) AS base_sha256, coalesce(spans, '') AS spans
     FROM d LEFT JOIN joined USING (r)"""
+
+
+def revisits() -> str:
+    number = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT)".format
+    bare = "regexp_replace(trim(url), '#.*$', '')"
+    host = f"lower(regexp_extract({bare}, '^{SCHEME}([^/?]*)', 1))"
+    host = f"regexp_replace(regexp_replace({host}, '^([^@]*@)?(www[0-9]*[.])?', ''), ':(80|443)$', '')"
+    path = f"regexp_replace(regexp_extract({bare}, '^{SCHEME}[^/?]*([^?]*)', 1), '/+$', '')"
+    query = f"""array_to_string(list_sort([q for q in string_split(regexp_extract({bare}, '[?](.*)$', 1), '&')
+        if q <> '' AND NOT regexp_matches(q, '{TRACKING}')]), '&')"""
+    return f"""
+    WITH p AS (SELECT page_id, md5(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS n_bytes,
+            {host} || {path} AS place, {query} AS query,
+            unnest(generate_series(0, {CAPTURES - 1})) AS visit FROM pages WHERE page_id IS NOT NULL),
+    h AS (SELECT *, place || CASE WHEN query = '' THEN '' ELSE '?' || query END AS canonical,
+            {number("page_id || ':' || visit")} AS h, 1700000000 + {number("CAST(page_id AS VARCHAR)")} % 2592000 AS start FROM p),
+    r AS (SELECT page_id * {CAPTURES} + visit AS record_id, canonical, start + visit * (3600 + h % 7200) AS ts, h, start, n_bytes,
+            (visit = 0 AND h % 16 > 0) OR (visit > 0 AND h % 8 = 0) AS is_full,
+            '"' || CASE WHEN h % 8 = 5 THEN 'x' ELSE '' END || substr(digest, 1, 16) || '"' AS etag FROM h
+        WHERE canonical IS NOT NULL),
+    o AS (SELECT *, max(CASE WHEN is_full THEN {{'ts': ts, 'record_id': record_id, 'etag': etag, 'start': start, 'n_bytes': n_bytes}} END)
+            OVER (PARTITION BY canonical ORDER BY ts, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS f FROM r),
+    v AS (SELECT *, CASE WHEN f IS NULL THEN 'missing'
+            WHEN h % 8 < 6 THEN CASE WHEN etag = f.etag THEN 'resolved' ELSE 'changed' END
+            WHEN h % 8 < 7 THEN CASE WHEN start = f.start THEN 'resolved' ELSE 'changed' END
+            ELSE 'unchecked' END AS outcome FROM o WHERE NOT is_full)
+    SELECT record_id, canonical, f.record_id AS original_id, outcome, CASE
+        WHEN outcome IN ('missing', 'changed') THEN
+            'connection: close' || chr(10) || 'content-length: 0' || chr(10) || 'date: ' || ts
+            || CASE WHEN h % 8 < 6 THEN chr(10) || 'etag: W/' || etag ELSE '' END
+            || CASE WHEN h % 8 < 7 THEN chr(10) || 'last-modified: ' || start ELSE '' END || chr(10) || 'x-cache: ' || (h % 3)
+        ELSE 'cache-control: max-age=60' || chr(10) || 'content-length: ' || f.n_bytes || chr(10) || 'content-type: text/html'
+            || chr(10) || 'date: ' || ts || chr(10)
+            || 'etag: ' || CASE WHEN h % 8 < 6 THEN 'W/' || etag ELSE f.etag END || chr(10)
+            || 'last-modified: ' || CASE WHEN h % 8 < 7 THEN start ELSE f.start END || chr(10) || 'x-cache: ' || (h % 3)
+        END AS headers FROM v"""
