@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tricycle.llm.components import components
-from tricycle.llm.words import mix, shingle_hashes, word_hashes
+from tricycle.llm.words import mix, shingle_hashes, slices, word_hashes
 from tricycle.plans import materialize
 
 SHINGLE_WORDS = 5
@@ -58,7 +58,7 @@ def signature(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) ->
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int, count: int) -> Iterator[pa.RecordBatch]:
     functions = universal_functions(count)
-    for batch in batches:
+    for batch in slices(batches):
         sets = shingle_hashes(*word_hashes(batch.column("text")), size)
         high = [int(mix(s).sum(dtype=np.uint64).astype(np.int64)) if len(s) else None for s in sets]
         low = [int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else None for s in sets]
@@ -129,7 +129,7 @@ def _shingle_sets(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     lookup = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
 
     def sets(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [s.tobytes() for s in shingle_hashes(*word_hashes(batch.column("text")), size)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
 

@@ -47,6 +47,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that what is made of long
+    texts stays small beside them.
+    """
+    for batch in batches:
+        for start in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(start, rows)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts, and where each text starts; one offset more than texts."""
     if isinstance(texts, pa.ChunkedArray):
