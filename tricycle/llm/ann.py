@@ -34,7 +34,8 @@ LIST_ROWS = 1_024  # of a list, on average, while the number of lists allows
 RECALL = 0.96  # of the sample's neighbours, that the probed lists hold
 CHUNK = 4_096  # vectors of a list, or queries that probe it, in one task
 COLUMNS = 16  # of a block
-BATCH = 512  # candidates between updates of the bound
+HEAD = 256  # vectors of a list that are compared in full, for the bound
+QUERIES = 64  # that are compared with a list at a time
 SIGNIFICANCE = 2.1  # standard deviations of the test
 
 
@@ -117,36 +118,49 @@ def fit(rows: DataFrame, nearest: int = NEAREST, seed: int = 1) -> Index | None:
     return index
 
 
-def _scan(x: np.ndarray, rotated: np.ndarray, ids: np.ndarray, q: np.ndarray, turned: np.ndarray, own: int, nearest: int):
-    """The ``nearest`` of one list for one query: their places in it and scores."""
-    width = rotated.shape[1]
-    places, scores = np.empty(0, np.int64), np.empty(0)
-    bound, base = np.inf, None
-    for start in range(0, len(x), BATCH):
-        alive = np.arange(start, min(start + BATCH, len(x)))
-        alive = alive[ids[alive] != own]
-        far = np.zeros(len(alive))
-        for first in range(0, width, COLUMNS):
-            after = min(first + COLUMNS, width)
-            step = rotated[alive, first:after] - turned[first:after]
-            far += np.einsum("ij,ij->i", step, step)
-            if np.isfinite(bound):
-                # The scaled partial distance strays by about 1 / sqrt(columns).
-                slack = 1.0 if after == width else (1 + SIGNIFICANCE / np.sqrt(after)) ** 2
-                keep = far * (width / after) <= bound * slack * (1 + 1e-9)
-                alive, far = alive[keep], far[keep]
-                if not len(alive):
-                    break
-        if not len(alive):
-            continue
-        exact = (x[alive] * q).sum(axis=1)
-        places, scores = np.concatenate((places, alive)), np.concatenate((scores, exact))
-        order = np.lexsort((ids[places], -scores))[:nearest]
-        places, scores = places[order], scores[order]
-        if len(places) == nearest:
-            step = rotated[places[-1]] - turned
-            bound = max(float(step @ step), 1e-12)
-    return places, scores
+class _List:
+    """Vectors of one list, rotated and in blocks of columns."""
+
+    def __init__(self, index: Index, ids: np.ndarray, x: np.ndarray):
+        self.index, self.ids, self.x = index, ids, x
+        rotated = index.extended(x) @ index.rotation
+        self.width = rotated.shape[1]
+        self.blocks = [np.ascontiguousarray(rotated[:, k : k + COLUMNS]) for k in range(0, self.width, COLUMNS)]
+        self.first = (self.blocks[0] ** 2).sum(axis=1)
+        self.head = np.ascontiguousarray(rotated[:HEAD])
+
+    def search(self, own: np.ndarray, q: np.ndarray, nearest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query its nearest: their places in the list and scores."""
+        turned = self.index.extended(q, query=True) @ self.index.rotation
+        # The bound: the worst of the nearest among the list's first vectors.
+        bound = np.full(len(q), np.inf)
+        if len(self.head) > nearest:
+            far = (self.head**2).sum(axis=1) + (turned**2).sum(axis=1)[:, None] - 2 * turned @ self.head.T
+            far[own[:, None] == self.ids[None, : len(self.head)]] = np.inf
+            bound = np.partition(far, nearest - 1, axis=1)[:, nearest - 1]
+        bound = np.maximum(bound, 0) * (1 + 1e-9) + 1e-9 * self.index.longest**2
+        start = turned[:, :COLUMNS]
+        partial = self.first + (start**2).sum(axis=1)[:, None] - 2 * start @ self.blocks[0].T
+        for k in range(len(q)):
+            alive, seen = np.flatnonzero(self.ids != own[k]), self.blocks[0].shape[1]
+            far = partial[k, alive]
+            for block in self.blocks[1:]:
+                alive, far = self._promising(alive, far, seen, bound[k])
+                step = block[alive] - turned[k, seen : seen + block.shape[1]]
+                far = far + np.einsum("ij,ij->i", step, step)
+                seen += block.shape[1]
+            alive, far = self._promising(alive, far, seen, bound[k])
+            score = (self.x[alive] * q[k]).sum(axis=1)
+            order = np.lexsort((self.ids[alive], -score))[:nearest]
+            yield alive[order], score[order]
+
+    def _promising(self, alive: np.ndarray, far: np.ndarray, seen: int, bound: float) -> tuple[np.ndarray, np.ndarray]:
+        """Without the candidates whose distance in ``seen`` columns says, at the test's
+        significance, that they are beyond the bound; it strays by about 1 / sqrt(seen).
+        """
+        slack = 1.0 if seen == self.width else (1 + SIGNIFICANCE / np.sqrt(seen)) ** 2
+        keep = far * (self.width / seen) <= bound * slack
+        return alive[keep], far[keep]
 
 
 def nearest_neighbours(
@@ -210,14 +224,13 @@ def nearest_neighbours(
     def search(key: tuple, lists: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(lists) and len(asked):
-            known = cloudpickle.loads(shared.value)
             x, q = (np.frombuffer(b"".join(f.x), np.float64).reshape(-1, dimension) for f in (lists, asked))
-            ids = lists.vec_id.to_numpy()
-            rotated = known.extended(x) @ known.rotation
-            turned = known.extended(q, query=True) @ known.rotation
-            for k, own in enumerate(asked.vec_id):
-                places, scores = _scan(x, rotated, ids, q[k], turned[k], own, nearest)
-                found.append((own, key[1] // 64, ids[places].tolist(), scores.tolist()))
+            own = asked.vec_id.to_numpy()
+            scanned = _List(cloudpickle.loads(shared.value), lists.vec_id.to_numpy(), x)
+            for begin in range(0, len(q), QUERIES):
+                part = slice(begin, begin + QUERIES)
+                for query, (places, scores) in zip(own[part], scanned.search(own[part], q[part], nearest), strict=True):
+                    found.append((query, key[1] // 64, scanned.ids[places].tolist(), scores.tolist()))
         return pd.DataFrame(found, columns=["query_id", "part", "ids", "scores"])
 
     keys = ("list", "chunk", "block")
