@@ -22,6 +22,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2.0
 SLICES = 4096  # of a source's ranks, at each of the two levels
+# Sources whose table of a few numbers each is broadcast; beyond it joins are shuffled.
+BROADCAST_SOURCES = 100_000
 
 
 def unit_hash(*columns: Column | str) -> Column:
@@ -113,7 +115,10 @@ def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, limit: f
     )
     rows = materialize(rows, "sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = materialize(source_targets(sources, weights, share, limit), "targets").select(
+    targets = materialize(source_targets(sources, weights, share, limit), "targets")
+    # A table with a row for each source joins rows of which one source may have a third.
+    lookup = F.broadcast if targets.count() <= BROADCAST_SOURCES else (lambda table: table)
+    targets = targets.select(
         F.coalesce("source", F.lit("")).alias("name"),
         F.col("source").isNull().alias("unnamed"),
         "source_size",
@@ -123,7 +128,7 @@ def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, limit: f
     p = "(target - certain * source_size) / nullif(source_size, 0)"
     ranked = (
         rows.withColumns({"name": F.coalesce("source", F.lit("")), "unnamed": F.col("source").isNull()})
-        .join(targets, ["name", "unnamed"])
+        .join(lookup(targets), ["name", "unnamed"])
         .withColumn("left", F.expr("target - certain * source_size"))
         .withColumn("p", F.expr(f"coalesce({p}, 0D)"))
         .withColumn("q", F.expr("if(p > 0, (u / (1 - u)) / (p / (1 - p)), double('inf'))"))
@@ -144,7 +149,7 @@ def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, limit: f
     first = cut(keyed.groupBy(*by, "slice").agg(F.sum("size").alias("words"), F.first("left").alias("left")), by, "slice")
     at = first.where("before < left AND until >= left").select(*by, "slice", "before")
     inner = (
-        keyed.join(at.withColumnRenamed("before", "earlier"), [*by, "slice"])
+        keyed.join(lookup(at.withColumnRenamed("before", "earlier")), [*by, "slice"])
         .groupBy(*by, "slice", "part")
         .agg(F.sum("size").alias("words"), F.first("left").alias("left"), F.first("earlier").alias("earlier"))
     )
@@ -154,7 +159,7 @@ def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, limit: f
     )
     place = Window.partitionBy(*by).orderBy("q")
     edge = (
-        keyed.join(last, [*by, "slice", "part"])
+        keyed.join(lookup(last), [*by, "slice", "part"])
         .groupBy(*by, "q", "left", "earlier")
         .agg(F.sum("size").alias("words"))
         .withColumn("until", F.col("earlier") + F.sum("words").over(place))
@@ -170,7 +175,7 @@ def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, limit: f
         WHEN part <> cut_part THEN int(part < cut_part)
         ELSE int(coalesce(q <= bound, false)) END"""
     return (
-        keyed.join(start, by, "left")
+        keyed.join(lookup(start), by, "left")
         .withColumn("copies", F.expr(taken).cast("long"))
         .withColumn("taken", F.col("size") * F.col("copies"))
     )
