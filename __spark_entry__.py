@@ -12,12 +12,17 @@ from collections.abc import Callable
 from functools import partial
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 import tricycle as tc
-from tricycle.plans.shared import shared_path
+from tricycle.plans import materialize, shared_path
 
-MAX_ID = 1000  # id filter of the filtered follower count
+# Id filter of the filtered queries: it leaves about half of each graph.
+MAX_ID = {"events": 49, "orders": 700}
+# Sizes that split even small lists and joins, for the queries named ``_split``.
+SMALL = {"cell_rows": 50, "limit": 60}
+SMALL_BLOCK = 7
 TEXT_SEP = "\t\t :"  # key/value separator of the text count sink
 
 
@@ -70,6 +75,7 @@ def _counts_text(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 def _counts_csv(spark: SparkSession, edges: DataFrame) -> DataFrame:
     path = shared_path(spark, "counts-csv")
+    tc.write_counts(edges.select("user", "follower"), path, "csv")  # overwritten by the counts
     tc.write_counts(tc.follower_count(edges), path, "csv", mode="overwrite")
     return spark.read.schema("user LONG, n_followers LONG").csv(path)
 
@@ -103,18 +109,37 @@ def _closed_given_paths(spark: SparkSession, edges: DataFrame, how: str) -> Data
 
 
 def _observed_count(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    return tc.with_metrics(tc.follower_count(edges), "follower_count")[0]
+    """The metrics that writing the counts observes."""
+    total = F.sum("n_followers").alias("n_edges"), F.count(F.lit(1)).alias("n_users")
+    counts, observation = tc.with_metrics(tc.follower_count(edges), "follower_count", *total)
+    counts.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([observation.get], "n_edges LONG, n_users LONG")
+
+
+def _with_place(rows: DataFrame) -> DataFrame:
+    """Rows with their ``place`` in the order that the table has, from 1."""
+    numbered = materialize(rows.withColumn("at", F.monotonically_increasing_id()), "ordered")
+    numbered = numbered.withColumn("part", F.expr("shiftright(at, 33)"))
+    parts = numbered.groupBy("part").count()  # a row for each partition
+    before = parts.select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
+    return numbered.join(F.broadcast(before), "part").select(
+        *rows.columns, (F.expr("bigint(at & 8589934591)") + F.col("before") + 1).alias("place")
+    )
+
+
+def _stored_count(spark: SparkSession, edges: DataFrame, how: str) -> DataFrame:
+    path = shared_path(spark, "two-paths")
+    tc.write_two_paths(tc.two_paths(edges), path)
+    return tc.stored_path_count(tc.read_two_paths(spark, path, "FAILFAST"), edges, how)
 
 
 ON_EDGES: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     "edges": lambda s, e: e,
     "edges_csv": _edges_csv,
     "edges_lines": _edges_lines,
-    "induced_subgraph": lambda s, e: tc.induced_subgraph(e, MAX_ID),
     "prepared_edges": lambda s, e: tc.prepare_edges(e, partitions=16),
     "follower_count": lambda s, e: tc.follower_count(e),
-    "follower_count_sorted": lambda s, e: tc.follower_count(e, sort=True),
-    "follower_count_filtered": lambda s, e: tc.follower_count(tc.induced_subgraph(e, MAX_ID)),
+    "follower_count_sorted": lambda s, e: _with_place(tc.follower_count(e, sort=True)),
     "follower_count_observed": _observed_count,
     "counts_csv": _counts_csv,
     "counts_text": _counts_text,
@@ -125,6 +150,14 @@ ON_EDGES: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     "two_paths_merge": lambda s, e: tc.two_paths(e, strategy="merge"),
     "two_paths_broadcast": lambda s, e: tc.two_paths(e, strategy="broadcast"),
     "two_paths_degenerate": lambda s, e: tc.two_paths(e, keep_degenerate=True),
+    "adjacency_blocks": lambda s, e: _printable(tc.adjacency(e, SMALL_BLOCK, limit=60)),
+    "two_paths_split": lambda s, e: tc.two_paths(e, **SMALL),
+    "closed_paths_bag_split": lambda s, e: tc.closed_paths_bag(e, block_rows=5, chunk=3, **SMALL),
+    "cycle_list_split": lambda s, e: tc.cycle_list(e, block_rows=5, **SMALL),
+    "triangle_count_split": lambda s, e: tc.triangle_count(e, "bag", limit=60, block_rows=5),
+    "given_paths_closed_split": lambda s, e: tc.close_two_paths(tc.two_paths(e), e, "bag", limit=60),
+    "stored_two_paths_count": partial(_stored_count, how="semi"),
+    "stored_two_paths_count_bag": partial(_stored_count, how="bag"),
     "two_path_count": lambda s, e: tc.two_path_count(e),
     "stored_two_paths_closed": _stored_two_paths,
     "given_paths_closed_semi": partial(_closed_given_paths, how="semi"),
@@ -141,13 +174,23 @@ ON_EDGES: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     "triangle_count_merge": lambda s, e: tc.triangle_count(e, "bag", strategy="merge"),
     "triangle_count_broadcast": lambda s, e: tc.triangle_count(e, "bag", strategy="broadcast"),
     "triangle_count_semi_broadcast": lambda s, e: tc.triangle_count(e, "semi", strategy="broadcast"),
-    "triangle_count_max_id": lambda s, e: tc.triangle_count(tc.induced_subgraph(e, MAX_ID), "bag"),
     "cycle_list": lambda s, e: tc.cycle_list(e),
 }
 
 
 def _follower_count_all(spark: SparkSession, sf_dir: str, graph: str) -> DataFrame:
-    return tc.follower_count_all(customer_nodes(spark, sf_dir), GRAPHS[graph](spark, sf_dir))
+    return _with_place(tc.follower_count_all(customer_nodes(spark, sf_dir), GRAPHS[graph](spark, sf_dir)))
+
+
+FILTERED_BY_ID: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "induced_subgraph": lambda e: e,
+    "follower_count_filtered": tc.follower_count,
+    "triangle_count_max_id": lambda e: tc.triangle_count(e, "bag"),
+}
+
+
+def _filtered(spark: SparkSession, sf_dir: str, graph: str, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return operator(tc.induced_subgraph(GRAPHS[graph](spark, sf_dir), MAX_ID[graph]))
 
 
 def _nodes_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,13 +199,18 @@ def _nodes_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.read_nodes(spark, path)
 
 
-def _edges_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with a non-numeric follower, and lines without a second field."""
+def _edges_malformed(spark: SparkSession, sf_dir: str, read: Callable[..., DataFrame]) -> DataFrame:
+    """Lines with a bad or no second field, spaces, quotes, further fields, an id
+    beyond LONG, and blank lines.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    lines = events.selectExpr("explode(array(concat(event_type, ',', user_id), string(user_id))) AS value")
+    lines = events.selectExpr(
+        "explode(array(concat(event_type, ',', user_id), string(user_id), concat(' ', user_id, ',\t', event_id, ',9'),"
+        " concat('\"', user_id, '\",', event_id), concat(user_id, ',99999999999999999999'), ' ', '')) AS value"
+    )
     path = shared_path(spark, "edges-malformed")
     tc.write_counts(lines, path, "text")
-    return tc.read_edges(spark, path)
+    return read(spark, path)
 
 
 # ---------------------------------------------------------------- SQL equivalents
@@ -185,25 +233,32 @@ SEMI_TOTAL = f"WITH e AS ({{edges}}), {PATHS}, {DISTINCT_EDGES} " + TOTALS.forma
 )
 PATH_LIST = f"WITH e AS ({{edges}}), {PATHS} SELECT x, y, z FROM p WHERE x <> z"
 EDGE_LIST = 'WITH e AS ({edges}) SELECT follower, "user" FROM e'
-FILTERED = f'WITH g AS ({{edges}}), e AS (SELECT * FROM g WHERE follower <= {MAX_ID} AND "user" <= {MAX_ID})'
+FILTERED = 'WITH g AS ({edges}), e AS (SELECT * FROM g WHERE follower <= {max_id} AND "user" <= {max_id})'
+PLACE = 'row_number() OVER (ORDER BY n_followers DESC, "user" NULLS FIRST)'
+BLOCKS = """WITH e AS ({{edges}}), r AS (SELECT *, (row_number() OVER (PARTITION BY follower ORDER BY "user") - 1)
+        // {size} AS block FROM e WHERE follower IS NOT NULL AND "user" IS NOT NULL)
+    SELECT follower, CAST(block AS INTEGER) AS block, CAST(COUNT(*) AS INTEGER) AS n_followees,
+        array_to_string(list_sort(list("user")), ',') AS followees FROM r GROUP BY follower, block"""
 
 SQL_ON_EDGES = {
     "edges": EDGE_LIST,
     "edges_csv": EDGE_LIST,
     "edges_lines": EDGE_LIST,
-    "induced_subgraph": f'{FILTERED} SELECT follower, "user" FROM e',
     "prepared_edges": EDGE_LIST,
     "follower_count": f"WITH e AS ({{edges}}) {COUNT}",
-    "follower_count_sorted": f"WITH e AS ({{edges}}) {COUNT}",
-    "follower_count_filtered": f"{FILTERED} {COUNT}",
-    "follower_count_observed": f"WITH e AS ({{edges}}) {COUNT}",
+    "follower_count_sorted": f"WITH e AS ({{edges}}), n AS ({COUNT}) SELECT *, {PLACE} AS place FROM n",
+    "follower_count_observed": 'WITH e AS ({edges}) SELECT COUNT(*) AS n_edges, COUNT(DISTINCT "user") AS n_users FROM e',
     "counts_csv": f"WITH e AS ({{edges}}) {COUNT}",
     "counts_text": f"WITH e AS ({{edges}}) {COUNT}",
     "counts_parquet": f"WITH e AS ({{edges}}) {COUNT}",
-    # No list reaches the length at which it would be split, so the block is 0.
-    "adjacency": """WITH e AS ({edges}) SELECT follower, CAST(0 AS INTEGER) AS block,
-        CAST(COUNT(*) AS INTEGER) AS n_followees, array_to_string(list_sort(list("user")), ',') AS followees
-        FROM e GROUP BY follower""",
+    "adjacency": BLOCKS.format(size=100_000),
+    "adjacency_blocks": BLOCKS.format(size=SMALL_BLOCK),
+    "two_paths_split": PATH_LIST,
+    "closed_paths_bag_split": BAG_LIST,
+    "triangle_count_split": BAG_TOTAL,
+    "given_paths_closed_split": BAG_LIST,
+    "stored_two_paths_count": SEMI_TOTAL,
+    "stored_two_paths_count_bag": BAG_TOTAL,
     "adjacency_edges": EDGE_LIST,
     "two_paths": PATH_LIST,
     "two_paths_merge": PATH_LIST,
@@ -230,18 +285,24 @@ SQL_ON_EDGES = {
     "triangle_count_merge": BAG_TOTAL,
     "triangle_count_broadcast": BAG_TOTAL,
     "triangle_count_semi_broadcast": SEMI_TOTAL,
-    "triangle_count_max_id": f"{FILTERED}, {PATHS} " + TOTALS.format(f"SELECT COUNT(*) AS n {BAG_JOIN}"),
     "cycle_list": f"""WITH e AS ({{edges}}), {NO_LOOPS}
         SELECT a.follower AS x, b.follower AS y, c.follower AS z {CYCLES}""",
 }
+SQL_ON_EDGES["cycle_list_split"] = SQL_ON_EDGES["cycle_list"]
+
+SQL_FILTERED_BY_ID = {
+    "induced_subgraph": FILTERED + ' SELECT follower, "user" FROM e',
+    "follower_count_filtered": f"{FILTERED} {COUNT}",
+    "triangle_count_max_id": f"{FILTERED}, {PATHS} " + TOTALS.format(f"SELECT COUNT(*) AS n {BAG_JOIN}"),
+}
 
 
 # ---------------------------------------------------------------- driver contract
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """Flagship query: directed triangles of the events graph, bag semantics."""
-    return tc.triangle_count(events_edges(spark, "/root/testdata/sf0.001"), "bag")
+    return tc.triangle_count(events_edges(spark, sf_dir), "bag")
 
 
 def graph_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -253,8 +314,11 @@ def graph_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {f"{name}_{graph}": on(operator, graph) for name, operator in ON_EDGES.items() for graph in GRAPHS}
     for graph in GRAPHS:
         found[f"follower_count_all_{graph}"] = partial(_follower_count_all, graph=graph)
+        for name, operator in FILTERED_BY_ID.items():
+            found[f"{name}_{graph}"] = partial(_filtered, graph=graph, operator=operator)
     found["nodes_csv"] = _nodes_csv
-    found["edges_malformed"] = _edges_malformed
+    found["edges_malformed"] = partial(_edges_malformed, read=tc.read_edges)
+    found["edges_malformed_lines"] = partial(_edges_malformed, read=tc.read_edge_lines)
     return found
 
 
@@ -264,13 +328,20 @@ def graph_sql() -> dict[str, str]:
         f"{name}_{graph}": sql.format(edges=SQL_EDGES[graph]) for name, sql in SQL_ON_EDGES.items() for graph in GRAPHS
     }
     for graph in GRAPHS:
-        found[f"follower_count_all_{graph}"] = f"""WITH e AS ({SQL_EDGES[graph]})
-            SELECT c.c_custkey AS "user", COUNT(e."user") AS n_followers
-            FROM customer c LEFT JOIN e ON e."user" = c.c_custkey GROUP BY c.c_custkey"""
+        found[f"follower_count_all_{graph}"] = f"""WITH e AS ({SQL_EDGES[graph]}),
+            n AS (SELECT c.c_custkey AS "user", COUNT(e."user") AS n_followers
+            FROM customer c LEFT JOIN e ON e."user" = c.c_custkey GROUP BY c.c_custkey)
+            SELECT *, {PLACE} AS place FROM n"""
+        for name, sql in SQL_FILTERED_BY_ID.items():
+            found[f"{name}_{graph}"] = sql.format(edges=SQL_EDGES[graph], max_id=MAX_ID[graph])
     found["nodes_csv"] = 'SELECT c_custkey AS "user" FROM customer'
     found["edges_malformed"] = """
         SELECT CAST(NULL AS BIGINT) AS follower, user_id AS "user" FROM events
+        UNION ALL SELECT user_id, CAST(NULL AS BIGINT) FROM events
+        UNION ALL SELECT user_id, event_id FROM events
+        UNION ALL SELECT CAST(NULL AS BIGINT), event_id FROM events
         UNION ALL SELECT user_id, CAST(NULL AS BIGINT) FROM events"""
+    found["edges_malformed_lines"] = found["edges_malformed"]
     return found
 
 

@@ -9,7 +9,7 @@ from tricycle.jobs import run
 if __name__ == "__main__":
     spark = SparkSession.builder.appName("tricycle").getOrCreate()
     result = run(spark, sys.argv[1:])
-    if "triangle-count" in sys.argv[1:2]:
+    if sys.argv[1:2] != ["follower-count"]:
         row = result.first()
         print(f"closed paths: {row.closed_paths}, triangles: {row.triangles}")
     spark.stop()

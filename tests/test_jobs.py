@@ -29,6 +29,21 @@ def test_triangle_count_job(spark, edge_file):
     assert tuple(run(spark, ["triangle-count", edge_file, "--max-id", "4"]).first()) == (3, 1)
 
 
+def test_stored_count_job(spark, tmp_path, edge_file):
+    paths = tmp_path / "paths.csv"
+    paths.write_text("\n".join(f"{z},{x}" for (x, _, z), n in graphs.paths(graphs.TRI8).items() for _ in range(n)))
+    assert tuple(run(spark, ["stored-count", edge_file, "--paths", str(paths)]).first()) == (6, 2)
+
+
+def test_plan_and_metrics_are_printed(spark, tmp_path, edge_file, capsys):
+    run(spark, ["triangle-count", edge_file, "--explain", "--metrics"])
+    assert "AdaptiveSparkPlan" in capsys.readouterr().out
+    run(spark, ["follower-count", edge_file, str(tmp_path / "out"), "--metrics"])
+    assert "{'n_rows': 6}" in capsys.readouterr().out
+    back = spark.read.schema("user LONG, n_followers LONG").csv(str(tmp_path / "out"))
+    assert back.count() == 6
+
+
 def test_unknown_strategy(spark, edge_file):
     with pytest.raises(SystemExit):
         run(spark, ["triangle-count", edge_file, "--strategy", "REP"])

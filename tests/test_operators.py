@@ -66,30 +66,31 @@ def test_adjacency(edges_of, block_size):
     edges = graphs.random_edges(5) + [(0, 1)] * 20
     rows = tc.adjacency(edges_of(edges), block_size=block_size).collect()
     lists: dict[int, list[int]] = {}
-    for r in rows:
-        assert r.followees == sorted(r.followees)
+    for r in sorted(rows, key=lambda r: r.block):
+        assert r.followees == sorted(r.followees) and 0 < len(r.followees) <= block_size
         lists.setdefault(r.follower, []).extend(r.followees)
-    assert {f: sorted(us) for f, us in lists.items()} == {
+    assert lists == {
         f: sorted(u for g, u in edges if g == f) for f, _ in edges
     }
     assert (len(rows) == len(lists)) == (block_size > 3)
     assert graphs.bag(tc.adjacency_edges(tc.adjacency(edges_of(edges), block_size=block_size))) == Counter(edges)
 
 
-# With cell_rows=2 nearly every join is split; one slot ranks nodes by id only, and
-# a hot-key table of below 6 rows leaves most nodes unsplit.
-@pytest.mark.parametrize("slots, limit", [(2_000_000, 1_000_000), (1, 1_000_000), (3, 6)])
+# With cell_rows=2 nearly every join is split, with block_rows=2 every list; a hot-key
+# table of below 6 rows leaves most nodes to the shuffle lookup.
+@pytest.mark.parametrize("block_rows, limit", [(10_000, 1_000_000), (2, 1_000_000), (2, 6), (3, 1)])
 @pytest.mark.parametrize("cell_rows", [2, 1_000_000])
-def test_listings_against_brute_force(edges_of, cell_rows, slots, limit):
-    raw = graphs.random_edges(cell_rows + slots)
+def test_listings_against_brute_force(edges_of, cell_rows, block_rows, limit):
+    raw = graphs.random_edges(cell_rows + block_rows)
     edges = edges_of(raw)
-    ranked, hot = {"cell_rows": cell_rows, "slots": slots}, {"cell_rows": cell_rows, "limit": limit}
+    hot = {"cell_rows": cell_rows, "limit": limit}
+    ranked = hot | {"block_rows": block_rows}
     assert graphs.bag(tc.two_paths(edges, **hot)) == graphs.paths(raw)
     assert graphs.bag(tc.closed_paths_bag(edges, **ranked)) == graphs.closed(raw, "bag")
     assert graphs.bag(tc.closed_paths_semi(edges, keep_degenerate=True, **ranked)) == graphs.closed(raw, "walk")
     assert graphs.bag(tc.cycle_list(edges, **ranked)) == graphs.cycles(raw)
     given = tc.two_paths(edges, keep_degenerate=True)
-    assert graphs.bag(tc.close_two_paths(given, edges, **hot)) == graphs.closed(raw, "walk")
+    assert graphs.bag(tc.close_two_paths(given, edges, limit=limit)) == graphs.closed(raw, "walk")
 
 
 def test_many_duplicates(edges_of):
@@ -114,15 +115,16 @@ def test_listings_by_strategy(edges_of, strategy):
     assert graphs.bag(tc.cycle_list(edges, strategy)) == graphs.cycles(raw)
 
 
-@pytest.mark.parametrize("slots", [1, 4, 2_000_000])
-def test_counts_against_brute_force(edges_of, slots):
-    raw = graphs.random_edges(slots, nodes=12, edges=70)
+@pytest.mark.parametrize("limit, block_rows", [(1, 2), (4, 10_000), (1_000_000, 3)])
+def test_counts_against_brute_force(edges_of, limit, block_rows):
+    raw = graphs.random_edges(limit, nodes=12, edges=70)
+    sizes = {"limit": limit, "block_rows": block_rows}
     edges = edges_of(raw)
     for semantics in ("bag", "semi", "walk"):
         n = sum(graphs.closed(raw, semantics).values())
-        assert tuple(tc.triangle_count(edges, semantics, slots=slots).first()) == (n, n // 3)
+        assert tuple(tc.triangle_count(edges, semantics, **sizes).first()) == (n, n // 3)
     n = sum(graphs.cycles(raw).values())
-    assert tuple(tc.triangle_count(edges, "cycle", slots=slots).first()) == (3 * n, n)
+    assert tuple(tc.triangle_count(edges, "cycle", **sizes).first()) == (3 * n, n)
     for keep in (False, True):
         n = sum(graphs.paths(raw, keep).values())
         assert tc.two_path_count(edges, keep_degenerate=keep).first().n_paths == n
@@ -139,6 +141,25 @@ def test_closing_given_paths(edges_of):
     assert all(r.n_edges == times[(r.z, r.x)] for r in counts.collect())
 
 
+def test_stored_path_counts(edges_of):
+    raw = graphs.random_edges(13)
+    edges, ends = edges_of(raw), tc.two_paths(edges_of(raw)).select("z", "x")
+    for how in ("semi", "bag"):
+        n = sum(graphs.closed(raw, how).values())
+        assert tuple(tc.stored_path_count(ends, edges, how).first()) == (n, n // 3)
+    assert tuple(tc.stored_path_count(ends.limit(0), edges).first()) == (0, 0)
+    with pytest.raises(ValueError):
+        tc.stored_path_count(ends, edges, "walk")
+
+
+def test_blocks_of_negative_and_large_ids(edges_of):
+    ids = [-(2**62), -70_000, -1, 0, 1, 65_535, 65_536, 2**33, 2**48, 2**62]
+    raw = [(1, u) for u in ids for _ in range(3)] + [(2, 5)]
+    rows = tc.adjacency(edges_of(raw), block_size=4, limit=1).where("follower = 1").orderBy("block").collect()
+    assert [len(r.followees) for r in rows] == [4] * 7 + [2]
+    assert [u for r in rows for u in r.followees] == sorted(u for u in ids for _ in range(3))
+
+
 def test_negative_and_large_ids(edges_of):
     big = 2**62
     assert graphs.bag(tc.cycle_list(edges_of([(big, -5), (-5, 7), (7, big)]))) == Counter([(-5, 7, big)])

@@ -1,6 +1,7 @@
 """What the physical plans must keep to at scale."""
 
 import re
+import warnings
 
 import pytest
 
@@ -35,15 +36,31 @@ def test_join_follows_strategy(stored):
     assert "SortMergeJoin" not in broadcast and "BroadcastHashJoin" in broadcast
 
 
-def test_broadcast_gives_way_above_its_bound(stored):
-    n = stored.count()
-    at = tc.explain_text(tc.two_paths(stored, "broadcast", broadcast_edges=n), "simple")
-    above = tc.explain_text(tc.two_paths(stored, "broadcast", broadcast_edges=n - 1), "simple")
+def test_broadcast_gives_way_above_its_bound_and_says_so(stored):
+    n = tc.weighted_edges(stored).count()
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        at = tc.explain_text(tc.two_paths(stored, "broadcast", broadcast_edges=n), "simple")
+        # Duplicates of the same edges do not count.
+        more = stored.union(stored).union(stored)
+        assert tc.explain_text(tc.two_paths(more, "broadcast", broadcast_edges=n), "simple").count("SortMergeJoin") == 0
+    with pytest.warns(UserWarning, match="merge instead"):
+        above = tc.explain_text(tc.two_paths(stored, "broadcast", broadcast_edges=n - 1), "simple")
     assert "SortMergeJoin" not in at
     assert "SortMergeJoin" in above
-    assert tuple(tc.triangle_count(stored, "bag", "broadcast", broadcast_edges=n - 1).first()) == tuple(
-        tc.triangle_count(stored, "bag").first()
-    )
+    with pytest.warns(UserWarning, match="merge instead"):
+        found = tc.triangle_count(stored, "bag", "broadcast", broadcast_edges=10).first()
+    assert tuple(found) == tuple(tc.triangle_count(stored, "bag").first())
+
+
+def test_given_paths_are_shuffled_once(spark, stored, tmp_path):
+    path = str(tmp_path / "paths")
+    tc.two_paths(stored).write.parquet(path)
+    closed = tc.close_two_paths(spark.read.parquet(path), stored, limit=1)
+    plan = tc.explain_text(closed, "simple")
+    whole = [line for line in plan.splitlines() if re.search(r"FileScan parquet \[x#\d+L,y#\d+L,z#\d+L\]", line)]
+    # Rows with y: those that find their ends by broadcast, and those of one shuffle.
+    assert len(whole) == 2 and "CartesianProduct" not in plan
 
 
 @pytest.mark.parametrize(
@@ -64,7 +81,8 @@ def test_edges_are_scanned_and_shuffled_once(stored, build):
     df = build(stored)
     df.collect()
     plan = executed(tc.explain_text(df, "simple"))
-    assert plan.count("FileScan parquet") == 1, plan
+    # None is left where the scan's stage belonged to a branch that turned out empty.
+    assert plan.count("FileScan parquet") <= 1, plan
 
 
 def executed(text: str) -> str:

@@ -35,6 +35,32 @@ def test_malformed_edges(spark, tmp_path):
         tc.follower_count(strict).collect()
 
 
+AWKWARD = [" 3, 4", '"8","9"', "", "  \t", "1,2,3", "7,99999999999999999999", "5,\t6\r", ",2", "4"]
+PARSED = [(3, 4), (None, None), (1, 2), (7, None), (5, 6), (None, 2), (4, None)]
+
+
+def test_all_readers_follow_one_rule(spark, tmp_path):
+    path = write_lines(tmp_path, "awkward.csv", AWKWARD)
+    for rows in (tc.read_edges(spark, path), tc.read_edge_lines(spark, path), tc.read_two_paths(spark, path)):
+        assert graphs.bag(rows) == Counter(PARSED)
+    assert graphs.bag(tc.read_nodes(spark, path)) == Counter((a,) for a, _ in PARSED)
+    good = Counter(p for p in PARSED if None not in p)
+    assert graphs.bag(tc.read_edges(spark, path, "DROPMALFORMED")) == good
+    for read in (tc.read_edges, tc.read_nodes, tc.read_two_paths):
+        with pytest.raises(Exception, match="malformed line"):
+            read(spark, path, mode="FAILFAST").collect()
+    with pytest.raises(Exception, match="malformed line"):
+        tc.read_edge_lines(spark, path, mode="FAILFAST").select("follower").collect()
+    with pytest.raises(ValueError):
+        tc.read_edges(spark, path, mode="LENIENT")
+
+
+def test_separator_is_literal(spark, tmp_path):
+    path = write_lines(tmp_path, "bars.txt", ["1||2", "3||4||5"])
+    assert graphs.bag(tc.read_edges(spark, path, sep="||")) == Counter([(1, 2), (3, 4)])
+    assert graphs.bag(tc.read_edge_lines(spark, path, sep="||")) == Counter([(1, 2), (3, 4)])
+
+
 def test_read_nodes(spark, tmp_path):
     nodes = tc.read_nodes(spark, write_lines(tmp_path, "nodes.csv", ["1", "2", "2"]))
     assert nodes.dtypes == [("user", "bigint")] and graphs.bag(nodes) == Counter({(1,): 1, (2,): 2})

@@ -1,3 +1,3 @@
-from tricycle.functions.columns import cell_of, cells, edge_fields, every_cell, third
+from tricycle.functions.columns import cell_of, cells, every_cell, third
 
-__all__ = ["cell_of", "cells", "edge_fields", "every_cell", "third"]
+__all__ = ["cell_of", "cells", "every_cell", "third"]

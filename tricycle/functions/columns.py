@@ -3,15 +3,6 @@
 from __future__ import annotations
 
 
-def edge_fields(line: str, sep: str = ",") -> tuple[str, str]:
-    """Follower and user of a text edge line; a bad or missing id is NULL.
-
-    ``sep`` is a regular expression, as in ``split``.
-    """
-    parts = f"split({line}, r'{sep}', -1)"
-    return f"try_cast(get({parts}, 0) AS LONG)", f"try_cast(get({parts}, 1) AS LONG)"
-
-
 def third(closed_paths: str) -> str:
     """Closed paths div 3, as LONG: each 3-cycle is met from 3 nodes."""
     return f"{closed_paths} div 3"

@@ -5,7 +5,7 @@ from tricycle.operators.degree import follower_count, follower_count_all
 from tricycle.operators.pairs import pair_table, weighted_edges
 from tricycle.operators.subgraph import induced_subgraph, prepare_edges
 from tricycle.operators.triangles import SEMANTICS, triangle_count
-from tricycle.operators.two_paths import close_two_paths, closing_counts, two_path_count, two_paths
+from tricycle.operators.two_paths import close_two_paths, closing_counts, stored_path_count, two_path_count, two_paths
 
 __all__ = [
     "SEMANTICS",
@@ -21,6 +21,7 @@ __all__ = [
     "induced_subgraph",
     "pair_table",
     "prepare_edges",
+    "stored_path_count",
     "triangle_count",
     "two_path_count",
     "two_paths",

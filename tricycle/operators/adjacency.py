@@ -2,38 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tricycle.functions import cell_of, cells
 from tricycle.operators.pairs import weighted_edges
-from tricycle.plans.skew import HOT_KEYS, SLICE_COPIES, hot_keys, sliced
+from tricycle.plans.skew import HOT_KEYS, looked_up
 
 # Entries of one array.
 BLOCK_SIZE = 100_000
 
+# Ids are ranked by 16 bits at a time, so that no window has more rows than that.
+LEVEL_BITS = 16
+
 
 def adjacency(edges: DataFrame, block_size: int = BLOCK_SIZE, limit: int = HOT_KEYS) -> DataFrame:
     """``(follower, block, followees ARRAY<LONG>)``, sorted, duplicates kept.
 
-    One row with block 0 per follower, except that a list of more than
-    ``block_size`` entries (or, if that is more, a ``limit``-th of all entries) is
-    split into blocks of about ``block_size``. No array grows with the data, and
-    the blocks of a follower together hold the whole list.
+    ``block`` is the position in the follower's whole sorted list div ``block_size``,
+    whatever the graph: each block but the last has ``block_size`` entries, and the
+    blocks in order are the sorted list. Edges with a null
+    id are in no list.
     """
     weighted = weighted_edges(edges)
     lists = weighted.groupBy("follower").agg(F.expr("sum(n_edges) AS n_followees"))
-    long_lists = hot_keys(lists, "n_followees", limit, floor=block_size)
+    sized = looked_up(weighted, ["follower"], lists, "n_followees", limit, block_size)
+    short = sized.where("n_followees IS NULL").selectExpr("follower", "0 AS block", "user", "n_edges AS copies")
+    return (
+        short.unionByName(_placed(sized.where("n_followees IS NOT NULL"), block_size))
+        .selectExpr("follower", "block", "array_repeat(user, int(copies)) AS copies")
+        .groupBy("follower", "block")
+        .agg(F.expr("sort_array(flatten(collect_list(copies))) AS followees"))
+    )
+
+
+def _placed(rows: DataFrame, block_size: int) -> DataFrame:
+    """``(follower, block, user, copies)``: an entry's copies in each block they reach.
+
+    A place is a sum of prefix sums: before the id within its group of ids that differ in
+    the last 16 bits, before the group within the next 16 bits, and so on.
+    """
+    groups = [(f"shiftright(user, {bits})", f"k{bits}") for bits in (LEVEL_BITS, 2 * LEVEL_BITS, 3 * LEVEL_BITS)]
+    rows = rows.selectExpr("follower", "user", "n_edges", *(f"{key} AS {name}" for key, name in groups))
+    names = [name for _, name in groups]
+    level = rows.groupBy("follower", *names).agg(F.expr("sum(n_edges) AS n"))
+    sums = []
+    for k, name in enumerate(names):
+        above = names[k + 1 :]
+        prefix = Window.partitionBy("follower", *above[:1]).orderBy(name)
+        sums.append(level.withColumn("before", F.sum("n").over(prefix) - F.col("n")))
+        level = level.groupBy("follower", *above).agg(F.expr("sum(n) AS n"))
+    before = sums[-1].select("follower", names[-1], F.col("before").alias("base"))
+    for k in (1, 0):
+        before = (
+            sums[k].join(before, ["follower", names[k + 1]])
+            .select("follower", names[k], (F.col("base") + F.col("before")).alias("base"))
+        )
+    own = Window.partitionBy("follower", names[0]).orderBy("user")
+    first = F.sum("n_edges").over(own) - F.col("n_edges")
     return (
-        sliced(weighted, "n_edges", min(SLICE_COPIES, block_size))
-        .join(F.broadcast(long_lists), "follower", "left")
+        rows.withColumn("first", first)
+        .join(before, ["follower", names[0]])
+        .selectExpr("follower", "user", "base + first AS first", "n_edges")
+        .selectExpr(
+            "*", f"explode(sequence(first div {block_size}, (first + n_edges - 1) div {block_size})) AS part"
+        )
         .selectExpr(
             "follower",
-            f"{cell_of('user, slice', cells('n_followees', block_size))} AS block",
-            "array_repeat(user, int(n_edges)) AS copies",
+            "int(part) AS block",
+            "user",
+            f"least(first + n_edges, (part + 1) * {block_size}) - greatest(first, part * {block_size}) AS copies",
         )
-        .groupBy("follower", "block")
-        .agg(F.expr("sort_array(flatten(collect_list(copies))) AS followees"))
     )
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tricycle.operators.cycles import weighted_cycles
-from tricycle.operators.pairs import SLOTS, looped_neighbours, pair_table, self_loops
-from tricycle.plans.skew import CELL_ROWS, expand_copies
+from tricycle.operators.cycles import BLOCK_ROWS, weighted_cycles
+from tricycle.operators.pairs import looped_neighbours, pair_table, self_loops
+from tricycle.plans.skew import CELL_ROWS, CHUNK_COPIES, HOT_KEYS, expand_copies
 from tricycle.plans.strategy import BROADCAST_EDGES, resolve
 
 
@@ -31,15 +31,17 @@ def _closed_paths(
     semantics: str,
     strategy: str,
     cell_rows: int = CELL_ROWS,
-    slots: int = SLOTS,
+    limit: int = HOT_KEYS,
+    block_rows: int = BLOCK_ROWS,
+    chunk: int = CHUNK_COPIES,
     broadcast_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
     """A closed two-path on three distinct nodes is a cycle seen from one of its
     nodes; any other one uses a self-loop. Both kinds are listed with their number
     of copies, which is multiplied out last.
     """
-    resolved = resolve(strategy, edges, broadcast_edges)
     table = pair_table(edges)
+    resolved = resolve(strategy, edges, table, broadcast_edges)
     bag = semantics == "bag"
     # Each view of a cycle or of a loop with its neighbour: x, y, z, copies.
     cycle_views = (
@@ -47,19 +49,19 @@ def _closed_paths(
         ("y, z, x", "yz * zx", "xy"),
         ("z, x, y", "zx * xy", "yz"),
     )
-    rows = _views(weighted_cycles(table, resolved, cell_rows, slots), cycle_views, bag)
+    rows = _views(weighted_cycles(table, resolved, cell_rows, limit, block_rows), cycle_views, bag)
     loop_views = [
         ("node, node, other", "n_loops * n_out", "n_in"),
         ("other, node, node", "n_in * n_loops", "n_out"),
     ]
     if semantics == "walk":
         loop_views.append(("node, other, node", "n_out * n_in", "n_loops"))
-    rows = rows.unionByName(_views(looped_neighbours(table, slots, cell_rows), loop_views, bag))
+    rows = rows.unionByName(_views(looped_neighbours(table, limit, cell_rows), loop_views, bag))
     if semantics == "walk":
         rows = rows.unionByName(
             self_loops(table).selectExpr("node AS x", "node AS y", "node AS z", "n_loops * n_loops AS copies")
         )
-    return expand_copies(rows)
+    return expand_copies(rows, chunk)
 
 
 def _views(df: DataFrame, views, bag: bool) -> DataFrame:

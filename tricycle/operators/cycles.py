@@ -1,52 +1,81 @@
 """Directed 3-cycles.
 
-Each cycle is found from its node of lowest rank, where rank is the slot degree
-and then the id. Only neighbours of higher rank are paired there. Few nodes can
-outrank a hub: with ``n`` linked pairs a node of degree ``d`` has at most ``2n / d``
-neighbours of its degree or more (about ``sqrt(2n)`` in the worst case), so a node
-that a third of all edges touch is no more work than another. Two-paths through
-hubs are never built. Any ranking gives the same cycles; it only has to be the same
-everywhere, which a degree per slot is.
+Each cycle is found from its node of lowest rank, where rank is the degree and then
+the id. Only neighbours of higher rank are paired there. Few nodes can outrank a hub:
+with ``n`` linked pairs a node of degree ``d`` has at most ``2n / d`` neighbours of its
+degree or more, so a node that a third of all edges touch is no more work than
+another. Two-paths through hubs are never built. A longer list of neighbours, which
+can have up to ``sqrt(2n)``, is cut into blocks that are paired block by block.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
-from tricycle.operators.pairs import SLOTS, pair_table, ranked_pairs
-from tricycle.plans.skew import CELL_ROWS
+from tricycle.operators.pairs import linked_pairs, pair_table, ranked_pairs
+from tricycle.plans.skew import CELL_ROWS, HOT_KEYS
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
 
+# Neighbours of one node that one join cell pairs with as many others.
+BLOCK_ROWS = 10_000
 
-def wedges(ranked: DataFrame, strategy: str) -> DataFrame:
+
+def wedges(table: DataFrame, strategy: str, limit: int = HOT_KEYS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(u, a, b, ua, au, ub, bu, degree_a, degree_b)``: two neighbours ``a < b``
     of a lowest-ranked ``u``, with the edge counts u→a, a→u, u→b, b→u. Only those
     that one closing edge can make a cycle.
+
+    The neighbours of ``u`` are hashed to blocks of about ``block_rows``; block ``i`` meets
+    each block ``j >= i`` in a cell of its own, so each two neighbours meet once.
     """
     swap = "degree_a > degree_b"
-    upward = ranked.selectExpr(
+    pairs = linked_pairs(table).select(F.expr("count(fwd + bwd + loops)")).scalar()
+    upward = ranked_pairs(table, limit).selectExpr(
         f"if({swap}, b, a) AS u",
         f"if({swap}, a, b) AS v",
         f"if({swap}, bwd, fwd) AS uv",
         f"if({swap}, fwd, bwd) AS vu",
-        f"if({swap}, degree_a, degree_b) AS degree_v",
+        "least(degree_a, degree_b) AS degree_u",
+        "greatest(degree_a, degree_b) AS degree_v",
+    )
+    upward = (
+        upward.withColumn("longest", F.least(F.col("degree_u"), 2 * pairs / F.col("degree_u")).cast("long"))
+        .withColumn("blocks", F.expr(cells("longest", block_rows)))
+        .withColumn("block", F.expr(cell_of("v", "blocks")))
     )
-    one = upward.toDF("u", "v1", "ua", "au", "degree_a")
-    two = upward.toDF("u", "v2", "ub", "bu", "degree_b")
+    one = upward.selectExpr(
+        "u", "v AS v1", "uv AS ua", "vu AS au", "degree_v AS degree_1", "block AS i", "explode(sequence(block, blocks - 1)) AS j"
+    )
+    two = upward.selectExpr(
+        "u", "v AS v2", "uv AS ub", "vu AS bu", "degree_v AS degree_2", "explode(sequence(0, block)) AS i", "block AS j"
+    )
+    turned = "v1 > v2"
     return (
-        one.join(hinted(two, strategy), "u")
-        .where("v1 < v2 AND (au > 0 AND ub > 0 OR ua > 0 AND bu > 0)")
+        one.join(hinted(two, strategy), ["u", "i", "j"])
+        .where("(v1 < v2 OR i < j) AND (au > 0 AND ub > 0 OR ua > 0 AND bu > 0)")
         # v1 and v2 behind least and greatest: else a < b would be inferred for
         # the closing pairs and pushed below their shuffle, which is shared.
         .selectExpr(
-            "u", "least(v1, v2) AS a", "greatest(v1, v2) AS b", "ua", "au", "ub", "bu", "degree_a", "degree_b"
+            "u",
+            "least(v1, v2) AS a",
+            "greatest(v1, v2) AS b",
+            *(f"if({turned}, {y}, {x}) AS {x}" for x, y in (("ua", "ub"), ("au", "bu"))),
+            *(f"if({turned}, {x}, {y}) AS {y}" for x, y in (("ua", "ub"), ("au", "bu"))),
+            f"if({turned}, degree_2, degree_1) AS degree_a",
+            f"if({turned}, degree_1, degree_2) AS degree_b",
         )
+        .select("u", "a", "b", "ua", "au", "ub", "bu", "degree_a", "degree_b")
     )
 
 
 def weighted_cycles(
-    table: DataFrame, strategy: str, cell_rows: int = CELL_ROWS, slots: int = SLOTS
+    table: DataFrame,
+    strategy: str,
+    cell_rows: int = CELL_ROWS,
+    limit: int = HOT_KEYS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``(x, y, z, xy, yz, zx)``: each directed 3-cycle of distinct nodes once, the
     smallest node first, with the number of edges on each of its sides.
@@ -54,10 +83,10 @@ def weighted_cycles(
     A closing pair of two hubs can have a wedge at almost every node; its wedges
     are split over several join cells by their lowest-ranked node.
     """
-    ranked = ranked_pairs(table, slots)
+    ranked = ranked_pairs(table, limit)
     n_cells = cells("least(degree_a, degree_b)", cell_rows)
     closing = ranked.selectExpr("a", "b", "fwd", "bwd", f"{every_cell(n_cells)} AS cell")
-    opened = wedges(ranked, strategy).selectExpr(
+    opened = wedges(table, strategy, limit, block_rows).selectExpr(
         "u", "a", "b", "ua", "au", "ub", "bu", f"{cell_of('u', n_cells)} AS cell"
     )
     # u→a→b→u and u→b→a→u. As a < b, the smallest node is u or a.
@@ -80,9 +109,11 @@ def cycle_list(
     edges: DataFrame,
     strategy: str = "auto",
     cell_rows: int = CELL_ROWS,
-    slots: int = SLOTS,
+    limit: int = HOT_KEYS,
+    block_rows: int = BLOCK_ROWS,
     broadcast_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
     """Each directed 3-cycle x→y→z→x of distinct nodes once, with ``x < y, x < z``."""
-    resolved = resolve(strategy, edges, broadcast_edges)
-    return weighted_cycles(pair_table(edges), resolved, cell_rows, slots).select("x", "y", "z")
+    table = pair_table(edges)
+    resolved = resolve(strategy, edges, table, broadcast_edges)
+    return weighted_cycles(table, resolved, cell_rows, limit, block_rows).select("x", "y", "z")

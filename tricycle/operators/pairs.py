@@ -13,10 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
-from tricycle.plans.skew import CELL_ROWS
-
-# Rows of the broadcast degree table, at most: two LONGs each.
-SLOTS = 2_097_152
+from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, hot_keys
 
 NO_NULL_ID = "follower IS NOT NULL AND user IS NOT NULL"
 
@@ -55,49 +52,49 @@ def self_loops(table: DataFrame) -> DataFrame:
     return table.where("loops > fwd + bwd").selectExpr("a AS node", "loops AS n_loops")
 
 
-def slot_of(node: str, slots: int) -> str:
-    return f"pmod(xxhash64({node}), {slots}L)"
+def degrees(table: DataFrame) -> DataFrame:
+    """``(node, degree)``: how many other nodes each node is linked to."""
+    return (
+        linked_pairs(table).selectExpr("explode(array(a, b)) AS node").groupBy("node").agg(F.expr("count(*) AS degree"))
+    )
 
 
-def slot_degrees(table: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``(slot, degree)``: nodes hashed to ``slots`` slots, with the highest number
-    of neighbours in each slot. At most ``slots`` rows, whatever the graph.
+def ranked_pairs(table: DataFrame, limit: int = HOT_KEYS) -> DataFrame:
+    """Linked pairs with the degrees ``degree_a`` and ``degree_b`` of their ends.
 
-    The slot's degree is never below that of its nodes, and on a graph with fewer
-    nodes than slots it is nearly always the node's own.
+    The degrees of hot nodes come by broadcast, all of them on a graph of up to
+    ``limit`` nodes. A pair with another end is shuffled by that end, so a hub's pairs
+    never meet at the hub.
     """
-    return (
+    every = degrees(table)
+    hot = F.broadcast(hot_keys(every, "degree", limit))
+    marked = (
         linked_pairs(table)
-        .selectExpr("explode(array(a, b)) AS node")
-        .groupBy("node")
-        .agg(F.expr("count(*) AS degree"))
-        .groupBy(F.expr(f"{slot_of('node', slots)} AS slot"))
-        .agg(F.expr("max(degree) AS degree"))
+        .select("a", "b", "fwd", "bwd")
+        .join(hot.toDF("a", "degree_a"), "a", "left")
+        .join(hot.toDF("b", "degree_b"), "b", "left")
     )
-
-
-def ranked_pairs(table: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Linked pairs with the slot degrees ``degree_a`` and ``degree_b`` of their ends."""
-    degrees = F.broadcast(slot_degrees(table, slots))
-    return (
-        linked_pairs(table)
+    known = marked.where("degree_a IS NOT NULL AND degree_b IS NOT NULL")
+    # Of two cold ends each is looked up, of one that one, whichever it is.
+    others = (
+        marked.where("degree_a IS NULL OR degree_b IS NULL")
+        .selectExpr("*", "if(degree_a IS NULL, a, b) AS one", "if(degree_b IS NULL, b, a) AS two")
+        .join(every.toDF("one", "degree_one"), "one", "left")
+        .join(every.toDF("two", "degree_two"), "two", "left")
         .selectExpr(
-            "a", "b", "fwd", "bwd", f"{slot_of('a', slots)} AS slot_a", f"{slot_of('b', slots)} AS slot_b"
+            "a", "b", "fwd", "bwd", "coalesce(degree_a, degree_one) AS degree_a", "coalesce(degree_b, degree_two) AS degree_b"
         )
-        # Every slot is found. An inner join would infer a filter on the slots and
-        # push it below the shuffle, which would then not be shared.
-        .join(degrees.toDF("slot_a", "degree_a"), "slot_a", "left")
-        .join(degrees.toDF("slot_b", "degree_b"), "slot_b", "left")
     )
+    return known.unionByName(others)
 
 
-def looped_neighbours(table: DataFrame, slots: int = SLOTS, cell_rows: int = CELL_ROWS) -> DataFrame:
+def looped_neighbours(table: DataFrame, limit: int = HOT_KEYS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``(node, other, n_out, n_in, n_loops)``: nodes with a self-loop and their
     neighbours linked both ways. A hub's rows are split over several join cells.
     """
     columns = "node, other, n_out, n_in, n_cells"
     ends = (
-        ranked_pairs(table, slots)
+        ranked_pairs(table, limit)
         .where("fwd > 0 AND bwd > 0")
         .selectExpr(
             f"stack(2, a, b, fwd, bwd, {cells('degree_a', cell_rows)},"
@@ -107,8 +104,7 @@ def looped_neighbours(table: DataFrame, slots: int = SLOTS, cell_rows: int = CEL
     )
     loops = (
         self_loops(table)
-        .selectExpr("node", "n_loops", f"{slot_of('node', slots)} AS slot")
-        .join(F.broadcast(slot_degrees(table, slots)), "slot", "left")
+        .join(degrees(table), "node", "left")
         .selectExpr("node", "n_loops", f"{every_cell(cells('degree', cell_rows))} AS cell")
     )
     return ends.join(loops, ["node", "cell"]).drop("cell")

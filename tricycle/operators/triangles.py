@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tricycle.functions import third
-from tricycle.operators.cycles import wedges
-from tricycle.operators.pairs import SLOTS, linked_pairs, pair_table, ranked_pairs
+from tricycle.operators.cycles import BLOCK_ROWS, wedges
+from tricycle.operators.pairs import linked_pairs, pair_table
+from tricycle.plans.skew import HOT_KEYS
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
 
 SEMANTICS = ("bag", "semi", "walk", "cycle")
@@ -17,7 +18,8 @@ def triangle_count(
     edges: DataFrame,
     semantics: str = "bag",
     strategy: str = "auto",
-    slots: int = SLOTS,
+    limit: int = HOT_KEYS,
+    block_rows: int = BLOCK_ROWS,
     broadcast_edges: int = BROADCAST_EDGES,
 ) -> DataFrame:
     """One row ``(closed_paths, triangles)``.
@@ -37,23 +39,23 @@ def triangle_count(
     """
     if semantics not in SEMANTICS:
         raise ValueError(f"unknown semantics {semantics!r}, expected one of {SEMANTICS}")
-    resolved = resolve(strategy, edges, broadcast_edges)
     table = pair_table(edges)
-    parts = _cycle_paths(table, semantics, resolved, slots)
+    resolved = resolve(strategy, edges, table, broadcast_edges)
+    parts = _cycle_paths(table, semantics, resolved, limit, block_rows)
     if semantics != "cycle":
         parts = parts.unionByName(_loop_paths(table, semantics))
     closed = parts.agg(F.expr("coalesce(sum(closed_paths), 0L) AS closed_paths"))
     return closed.selectExpr("closed_paths", f"{third('closed_paths')} AS triangles")
 
 
-def _cycle_paths(table: DataFrame, semantics: str, strategy: str, slots: int) -> DataFrame:
+def _cycle_paths(table: DataFrame, semantics: str, strategy: str, limit: int, block_rows: int) -> DataFrame:
     """One row: closed paths on three distinct nodes.
 
     A wedge at ``u`` makes the cycle u→a→b→u if a→b exists and the cycle
     u→b→a→u if b→a exists. A cycle with sides p, q, r is 3·p·q·r closed paths in a
     bag and pq + qr + rp if the closing side counts once.
     """
-    opened = wedges(ranked_pairs(table, slots), strategy)
+    opened = wedges(table, strategy, limit, block_rows)
     # Per direction: the product, for semi and walk also the sum, of the wedge's
     # sides; the closing side is a factor that comes with the join.
     if semantics == "cycle":

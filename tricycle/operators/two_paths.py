@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tricycle.functions import cell_of, cells, every_cell
+from tricycle.functions import cell_of, cells, every_cell, third
 from tricycle.operators.pairs import pair_table, weighted_edges
-from tricycle.plans.skew import CELL_ROWS, HOT_KEYS, SLICE_COPIES, expand_copies, hot_keys, repeated, sliced
+from tricycle.plans.skew import HOT_KEYS, SLICE_COPIES, expand_copies, looked_up, repeated, sliced
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
 
 # In- or out-edges of a middle node that one join cell pairs. Splitting repeats an
@@ -27,12 +27,13 @@ def two_paths(
     row. Paths back to their start (``x = z``) only with ``keep_degenerate``.
 
     Duplicate edges travel and join as one row per 256 copies and are multiplied
-    out afterwards. At a middle node with more than ``cell_rows`` such rows (or a
-    ``limit``-th of all, if that is more) the join is split into a grid of cells, so
-    that no task pairs all of a hub's edges.
+    out afterwards. At a middle node with more than ``cell_rows`` such rows the join is
+    split into a grid of cells, so that none pairs more than about ``cell_rows`` in-edges
+    with as many out-edges, however large the graph.
     """
-    resolved = resolve(strategy, edges, broadcast_edges)
-    weighted = sliced(weighted_edges(edges), "n_edges", SLICE_COPIES)
+    folded = weighted_edges(edges)
+    resolved = resolve(strategy, edges, folded, broadcast_edges)
+    weighted = sliced(folded, "n_edges", SLICE_COPIES)
     columns = ("follower", "user", "slice", "n_edges")
     first = weighted.select(*columns).toDF("x", "y", "slice", "n_first")
     second = weighted.select(*columns).toDF("y", "z", "slice", "n_second")
@@ -40,12 +41,12 @@ def two_paths(
     if resolved == "broadcast":
         first, second = first.drop("slice"), second.drop("slice")
     else:
-        hubs = F.broadcast(_middle_hubs(weighted, cell_rows, limit))
+        hubs = _middle_degrees(weighted)
         n_rows, n_columns = cells("n_in", cell_rows), cells("n_out", cell_rows)
-        first = first.join(hubs, "y", "left").selectExpr(
+        first = looked_up(first, ["y"], hubs, "degree", limit, cell_rows).selectExpr(
             "x", "y", "n_first", f"{cell_of('x, slice', n_rows)} AS row", f"{every_cell(n_columns)} AS column"
         )
-        second = second.join(hubs, "y", "left").selectExpr(
+        second = looked_up(second, ["y"], hubs, "degree", limit, cell_rows).selectExpr(
             "y", "z", "n_second", f"{every_cell(n_rows)} AS row", f"{cell_of('z, slice', n_columns)} AS column"
         )
         keys += ["row", "column"]
@@ -74,42 +75,38 @@ def two_path_count(edges: DataFrame, keep_degenerate: bool = False) -> DataFrame
     return totals.agg(F.expr("coalesce(sum(n_paths), 0L) AS n_paths"))
 
 
-def close_two_paths(
-    paths: DataFrame,
-    edges: DataFrame,
-    how: str = "semi",
-    cell_rows: int = CELL_ROWS,
-    limit: int = HOT_KEYS,
-) -> DataFrame:
+def close_two_paths(paths: DataFrame, edges: DataFrame, how: str = "semi", limit: int = HOT_KEYS) -> DataFrame:
     """Rows ``(x, y, z)`` of a given two-path table that an edge z→x closes.
 
     ``semi`` keeps a closed path once per row of ``paths``; ``bag`` once more for
-    each duplicate of the closing edge. Ends ``(z, x)`` shared by very many paths
-    are split over several join cells.
+    each duplicate of the closing edge.
+
+    The ends ``(z, x)`` of paths and edges are counted first, in one combined
+    aggregation. Paths between ends that very many share stay where they are and find
+    them in a broadcast table; the others are shuffled once, and a key of that join has
+    one row on the side of the ends.
     """
     if how not in ("semi", "bag"):
         raise ValueError(f"unknown closing {how!r}, expected 'semi' or 'bag'")
-    open_paths = sliced(
-        paths.groupBy("x", "y", "z").agg(F.expr("count(*) AS n_paths")), "n_paths", SLICE_COPIES
-    )
-    ends = open_paths.groupBy("z", "x").agg(
-        F.expr("count(*) AS n_rows"), F.expr("sum(n_paths) AS n_paths")
-    )
-    # n_paths keeps the pre-aggregation's columns alive, so its shuffle is shared.
-    shared_ends = hot_keys(ends.where("n_paths > 0"), "n_rows", limit, floor=cell_rows)
-    shared_ends = F.broadcast(shared_ends.select("z", "x", "n_rows"))
-    closing = weighted_edges(edges).toDF("z", "x", "n_edges")
-    n_cells = cells("n_rows", cell_rows)
-    open_paths = open_paths.join(shared_ends, ["z", "x"], "left").selectExpr(
-        "x", "y", "z", "n_paths", f"{cell_of('y, slice', n_cells)} AS cell"
-    )
-    closing = closing.join(shared_ends, ["z", "x"], "left").selectExpr(
-        "z", "x", "n_edges", f"{every_cell(n_cells)} AS cell"
-    )
-    closed = open_paths.join(closing, ["z", "x", "cell"])
+    ends = closing_counts(paths, edges).where("n_edges > 0 AND n_paths > 0")
+    closed = looked_up(paths.select("x", "y", "z"), ["z", "x"], ends, "n_paths", limit, how="inner")
     if how == "bag":
-        return expand_copies(closed.selectExpr("x", "y", "z", "n_paths * n_edges AS copies"))
-    return repeated(closed.selectExpr("x", "y", "z", "n_paths AS copies"), "x", "y", "z")
+        return expand_copies(closed.selectExpr("x", "y", "z", "n_edges AS copies"))
+    return closed.select("x", "y", "z")
+
+
+def stored_path_count(path_ends: DataFrame, edges: DataFrame, how: str = "semi") -> DataFrame:
+    """One row ``(closed_paths, triangles)`` for stored two-path ends ``(z, x)``: how many
+    an edge z→x closes (``semi``), or how often (``bag``). ``triangles`` is the third part,
+    which is exact where each cycle's three paths are stored.
+    """
+    if how not in ("semi", "bag"):
+        raise ValueError(f"unknown closing {how!r}, expected 'semi' or 'bag'")
+    times = "n_paths * n_edges" if how == "bag" else "n_paths"
+    total = (
+        closing_counts(path_ends, edges).where("n_edges > 0").agg(F.expr(f"coalesce(sum({times}), 0L) AS closed_paths"))
+    )
+    return total.selectExpr("closed_paths", f"{third('closed_paths')} AS triangles")
 
 
 def closing_counts(path_ends: DataFrame, edges: DataFrame) -> DataFrame:
@@ -129,13 +126,12 @@ def closing_counts(path_ends: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def _middle_hubs(weighted: DataFrame, cell_rows: int, limit: int) -> DataFrame:
-    """``(y, n_in, n_out)`` of the middle nodes whose join needs splitting."""
-    degrees = (
+def _middle_degrees(weighted: DataFrame) -> DataFrame:
+    """``(y, n_in, n_out, degree)``: rows into, out of and at each middle node."""
+    return (
         # True for every row; keeps n_edges, so that the shuffle below is shared.
         weighted.where("n_edges > 0")
         .selectExpr("stack(2, user, 1, 0, follower, 0, 1) AS (y, n_in, n_out)")
         .groupBy("y")
         .agg(F.expr("sum(n_in) AS n_in"), F.expr("sum(n_out) AS n_out"), F.expr("count(*) AS degree"))
     )
-    return hot_keys(degrees, "degree", limit, floor=cell_rows).select("y", "n_in", "n_out")

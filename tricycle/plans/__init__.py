@@ -1,6 +1,6 @@
 from tricycle.plans.report import explain_text, with_metrics
 from tricycle.plans.shared import materialize, shared_path
-from tricycle.plans.skew import expand_copies, hot_keys
+from tricycle.plans.skew import expand_copies, hot_keys, looked_up
 from tricycle.plans.strategy import STRATEGIES, hinted, resolve
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "explain_text",
     "hinted",
     "hot_keys",
+    "looked_up",
     "materialize",
     "resolve",
     "shared_path",

@@ -1,8 +1,8 @@
-"""Hot keys: bounded tables of them, and copies spread over the cluster.
+"""Hot keys: bounded tables of them, lookups past them, and copies spread over tasks.
 
-A key's row count is known before the join from a map-side combined count. Only
-the keys above a share of the total are kept, so the kept table has a proven
-bound on its rows whatever the data, and can be broadcast.
+A key's row count is known before the join from a map-side combined count. The keys
+above a share of the total are few whatever the data, so their table can be
+broadcast; the other keys have few rows each, so a shuffle brings their numbers.
 """
 
 from __future__ import annotations
@@ -32,6 +32,31 @@ def hot_keys(counts: DataFrame, weight: str, limit: int = HOT_KEYS, floor: int =
     return counts.where(F.col(weight) > bound)
 
 
+def looked_up(
+    rows: DataFrame,
+    keys: list[str],
+    table: DataFrame,
+    weight: str,
+    limit: int = HOT_KEYS,
+    floor: int = 0,
+    how: str = "left",
+) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for each of its ``keys``;
+    ``weight`` bounds how many of ``rows`` have the key.
+
+    Keys of more than ``floor`` rows get them exactly, others may get nulls (``left``)
+    if ``floor`` is set. Hot keys come by broadcast and their rows stay where they are;
+    only the rows of other keys, at most a ``limit``-th of all for each, are shuffled.
+    """
+    found = [c for c in table.columns if c not in keys]
+    hot = F.broadcast(hot_keys(table, weight, limit, floor).withColumn("is_hot", F.lit(True)))
+    marked = rows.join(hot, keys, "left")
+    columns = [*rows.columns, *found]
+    cold = table.where(f"{weight} > {floor}") if floor else table
+    others = marked.where("is_hot IS NULL").select(rows.columns).join(cold, keys, how)
+    return marked.where("is_hot").select(columns).unionByName(others.select(columns))
+
+
 def sliced(rows: DataFrame, copies: str, size: int) -> DataFrame:
     """Rows with more than ``size`` copies as several rows of at most ``size``
     copies, numbered by a new column ``slice``.
@@ -51,8 +76,11 @@ def repeated(rows: DataFrame, *columns: str) -> DataFrame:
 def expand_copies(rows: DataFrame, chunk: int = CHUNK_COPIES) -> DataFrame:
     """Each row as often as its column ``copies`` says, without that column.
 
-    The rows are still compact when they are shuffled, and a row with very many
-    copies travels as several, so that no task writes all copies of one row.
+    Rows of up to ``chunk`` copies are multiplied out where they are. Only rows with
+    more are shuffled, while still compact, as several, so that no task writes all
+    copies of one row.
     """
     columns = [c for c in rows.columns if c != "copies"]
-    return repeated(sliced(rows, "copies", chunk).repartition(*columns, "slice"), *columns)
+    few, many = rows.where(f"copies <= {chunk}"), rows.where(f"copies > {chunk}")
+    spread = sliced(many, "copies", chunk).repartition(*columns, "slice")
+    return repeated(few, *columns).unionByName(repeated(spread, *columns))

@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 STRATEGIES = ("auto", "merge", "broadcast")
 
-# An edge row is a few LONGs, so this bounds a broadcast edge table to about 100 MB.
+# Rows of a broadcast edge table: up to six LONGs each, twice that as a hash table.
 BROADCAST_EDGES = 2_000_000
 
 
-def resolve(strategy: str, edges: DataFrame, limit: int = BROADCAST_EDGES) -> str:
+def resolve(strategy: str, edges: DataFrame, folded: DataFrame, limit: int = BROADCAST_EDGES) -> str:
     """The strategy to plan with.
 
-    ``broadcast`` counts the edges first (one job) and becomes ``merge`` above
-    ``limit`` edges. ``auto`` leaves the choice to Catalyst and AQE.
+    ``broadcast`` sends ``folded``, the distinct rows of ``edges``, to every task. It is
+    checked to have at most ``limit`` rows: counting stops early, first over the edges as
+    they are and, only where duplicates may fill the limit, over the folded table. Above
+    it a warning says so and the join is a merge. ``auto`` leaves the choice to Catalyst
+    and AQE.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}, expected one of {STRATEGIES}")
-    if strategy == "broadcast" and edges.count() > limit:
+    if strategy == "broadcast" and _more_than(limit, edges) and _more_than(limit, folded):
+        warnings.warn(f"more than {limit} distinct edges to broadcast: joining by merge instead", stacklevel=3)
         return "merge"
     return strategy
 
 
+def _more_than(limit: int, df: DataFrame) -> bool:
+    return df.limit(limit + 1).count() > limit
+
+
 def hinted(df: DataFrame, strategy: str) -> DataFrame:
     """``df`` as the build side of a join under a resolved strategy."""
     if strategy == "broadcast":

@@ -1,14 +1,20 @@
-"""Edge and node sources on any Hadoop-compatible path."""
+"""Edge and node sources on any Hadoop-compatible path.
+
+All text readers follow one rule. A line is split at every separator, fields are
+trimmed of spaces, tabs and carriage returns, and there is no quoting. Blank lines are
+skipped, fields beyond those needed are ignored, and a field that is missing or no LONG
+is bad: NULL under ``PERMISSIVE``, the line left out under ``DROPMALFORMED``, an error
+under ``FAILFAST``, also where a query reads only the good fields.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tricycle.functions import edge_fields
-
 EDGE_SCHEMA = "follower LONG, user LONG"
 NODE_SCHEMA = "user LONG"
+MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
 
 def edge_table(df: DataFrame, follower: Column | str, user: Column | str) -> DataFrame:
@@ -17,35 +23,38 @@ def edge_table(df: DataFrame, follower: Column | str, user: Column | str) -> Dat
     return df.select(follower.cast("long").alias("follower"), user.cast("long").alias("user"))
 
 
-def read_edges(spark: SparkSession, path: str, mode: str = "PERMISSIVE", sep: str = ",") -> DataFrame:
-    """Header-less text edges ``follower<sep>user``.
+def parsed_lines(lines: DataFrame, names: tuple[str, ...], mode: str = "PERMISSIVE", sep: str = ",") -> DataFrame:
+    """LONG columns ``names`` out of the text column ``value``, by the rule above."""
+    if mode.upper() not in MODES:
+        raise ValueError(f"unknown read mode {mode!r}, expected one of {MODES}")
+    value = F.col("value")
+    fields = F.split(value, "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E", -1)
+    columns = [F.btrim(F.get(fields, F.lit(k)), F.lit(" \t\r")).try_cast("long") for k in range(len(names))]
+    lines = lines.where(F.btrim(value, F.lit(" \t\r")) != "")
+    if mode.upper() != "PERMISSIVE":
+        good = F.lit(True)
+        for column in columns:
+            good = good & column.isNotNull()
+        bad = F.raise_error(F.concat(F.lit("malformed line: "), value)).cast("boolean")
+        lines = lines.where(F.when(good, True).otherwise(bad if mode.upper() == "FAILFAST" else F.lit(False)))
+    return lines.select(*(column.alias(name) for column, name in zip(columns, names, strict=True)))
 
-    ``PERMISSIVE`` reads a bad id as NULL, ``FAILFAST`` raises on a bad row. To
-    raise on every bad row both fields must be parsed even where a query needs
-    one, so column pruning is off in that mode.
-    """
-    strict = mode.upper() == "FAILFAST"
-    return (
-        spark.read.schema(EDGE_SCHEMA)
-        .option("header", "false")
-        .option("sep", sep)
-        .option("mode", mode)
-        .option("columnPruning", str(not strict).lower())
-        .csv(path)
-    )
+
+def read_edges(spark: SparkSession, path: str, mode: str = "PERMISSIVE", sep: str = ",") -> DataFrame:
+    """Header-less text edges ``follower<sep>user``."""
+    return parsed_lines(spark.read.text(path), ("follower", "user"), mode, sep)
 
 
-def read_edge_lines(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Edges split out of raw text lines; fields after the second are ignored."""
-    follower, user = edge_fields("value", sep)
-    return spark.read.text(path).selectExpr(f"{follower} AS follower", f"{user} AS user")
+def read_edge_lines(spark: SparkSession, path: str, sep: str = ",", mode: str = "PERMISSIVE") -> DataFrame:
+    """Edges split out of raw text lines: the same rows as ``read_edges``."""
+    return read_edges(spark, path, mode, sep)
 
 
 def read_nodes(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """Header-less one-column node file. The schema is fixed: no inference pass."""
-    return spark.read.schema(NODE_SCHEMA).option("header", "false").option("mode", mode).csv(path)
+    """Header-less node file: the first field of each line."""
+    return parsed_lines(spark.read.text(path), ("user",), mode)
 
 
-def read_two_paths(spark: SparkSession, path: str) -> DataFrame:
+def read_two_paths(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """Stored two-path ends ``(z, x)``, in text form ``z,x`` per line."""
-    return spark.read.schema("z LONG, x LONG").option("header", "false").csv(path)
+    return parsed_lines(spark.read.text(path), ("z", "x"), mode)
