@@ -10,6 +10,7 @@ from tricycle.plans import materialize
 # Rounds after which a graph that has not settled is reported as an error. A round
 # shrinks every path, so that this many rounds are out of reach.
 MAX_ROUNDS = 100
+LINKS_IN_FILE = 250_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,9 +40,11 @@ def components(edges: DataFrame) -> DataFrame:
     """
     links = edges.toDF("u", "v").where("u <> v").distinct()
     links = materialize(links, "links")
+    # Rounds add no links, so that their tables need no more files than this.
+    files = 1 + links.count() // LINKS_IN_FILE
     before = None
     for _ in range(MAX_ROUNDS):
-        links = materialize(_small_star(_large_star(links)), "links")
+        links = materialize(_small_star(_large_star(links)).coalesce(files), "links")
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

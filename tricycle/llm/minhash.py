@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tricycle.llm.components import components
-from tricycle.llm.words import mix, shingle_hashes, slices, word_hashes
+from tricycle.llm.words import mix, shingle_hashes, slices, small_batches, word_hashes
 from tricycle.plans import materialize
 
 SHINGLE_WORDS = 5
@@ -253,6 +253,27 @@ def near_duplicates(
     nothing: its component is null and it is kept. Other columns are ignored; an
     empty table gives an empty result.
     """
+    with small_batches(docs.sparkSession):
+        signed, members, labels = _labelled(docs, threshold, size, bands, rows, margin, block)
+    placed = (
+        members.join(labels, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
+    )
+    return (
+        signed.select("doc_id", "n_shingles", "high", "low")
+        .join(placed, ["high", "low"], "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+        )
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    )
+
+
+def _labelled(
+    docs: DataFrame, threshold: int, size: int, bands: int, rows: int, margin: float, block: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of the documents, nodes of their sets, and components of the nodes."""
     signed = materialize(signatures(docs, size, bands * rows), "signatures")
     linked = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     folded = linked.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
@@ -280,21 +301,7 @@ def near_duplicates(
     labels = materialize(components(first), "labels")
 
     second = materialize(_across(shared, groups, labels, docs, size, threshold, least, rows, block), "across")
-    labels = components(first.union(second))
-
-    placed = (
-        members.join(labels, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
-    )
-    return (
-        signed.select("doc_id", "n_shingles", "high", "low")
-        .join(placed, ["high", "low"], "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
-        )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    )
+    return signed, members, components(first.union(second))
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
