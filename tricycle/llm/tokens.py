@@ -31,6 +31,7 @@ LIMIT = 512
 CHUNK = 64  # characters of a chunk
 PIECE_CHARS = 1 << 19  # handled at a time
 STATES = 150_000  # of the counting transducer that are kept; beyond it starts anew
+PIECES = 300_000  # whose counts are kept between texts, likewise
 
 # Character classes.
 SPACE, BLANK, LETTER, SHORT, R, V, L, E, NUMBER, MARK, QUOTE, END = range(12)
@@ -210,6 +211,7 @@ class TokenCounter:
         self.counting = CountingTransducer([(to_bytes(a), to_bytes(b)) for a, b in merges])
         self.special = [t["content"] for t in content.get("added_tokens", []) if t["special"]]
         self.classes = classes
+        self.known: dict[int, int] = {}  # hashes of pieces to their tokens
         self.after, self.output = splitter()
 
     def piece_starts(self, kinds: np.ndarray) -> np.ndarray:
@@ -292,9 +294,16 @@ class TokenCounter:
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
         hashes = mix((total[stops] - total[begins]) * inverse[begins] + (stops - begins).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        _, place, which = np.unique(hashes, return_index=True, return_inverse=True)
-        raw, count = data.tobytes(), self.counting.count
-        each = np.fromiter((count(raw[a:b]) for a, b in zip(begins[place].tolist(), stops[place].tolist(), strict=True)), np.int64, len(place))
+        unique, place, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) > PIECES:
+            self.known.clear()
+        raw, count, known = data.tobytes(), self.counting.count, self.known
+        each = np.empty(len(place), np.int64)
+        for k, (key, a, b) in enumerate(zip(unique.tolist(), begins[place].tolist(), stops[place].tolist(), strict=True)):
+            found = known.get(key)
+            if found is None:
+                found = known[key] = count(raw[a:b])
+            each[k] = found
         return np.bincount(segment, each[which], len(segments)).astype(np.int64)
 
 
