@@ -26,7 +26,7 @@ from tricycle.plans import materialize
 
 FOLDS, HELD = 7, 2
 ORDER = 2
-STRENGTH = 8.0
+STRENGTH = 2_000.0  # by the likelihood of held-out texts
 BUCKET_BYTES = 6_000_000  # of text in a bucket
 RUN = 512  # words of a text that are traversed in step with other runs
 END = np.uint64(0x5EED0FE2D0C5E2D1)  # the end of a text, and the context of its first word
