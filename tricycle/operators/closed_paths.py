@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tricycle.operators.cycles import BLOCK_ROWS, weighted_cycles
 from tricycle.operators.pairs import looped_neighbours, pair_table, self_loops
@@ -42,6 +43,20 @@ def _closed_paths(
     """
     table = pair_table(edges)
     resolved = resolve(strategy, edges, table, broadcast_edges)
+    # No row has more copies than the cube of the largest number of edges of a pair, so
+    # where that is small the plan of the rows with very many copies starts empty.
+    heaviest = table.select(F.expr("max(greatest(fwd, bwd, loops))")).scalar()
+    heavy = table.where(F.pow(heaviest, F.lit(3)) > chunk)
+    few, many = (
+        _compact(t, semantics, resolved, cell_rows, limit, block_rows) for t in (table, heavy)
+    )
+    return expand_copies(few, chunk, many)
+
+
+def _compact(
+    table: DataFrame, semantics: str, strategy: str, cell_rows: int, limit: int, block_rows: int
+) -> DataFrame:
+    """``(x, y, z, copies)`` of the closed paths of a pair table."""
     bag = semantics == "bag"
     # Each view of a cycle or of a loop with its neighbour: x, y, z, copies.
     cycle_views = (
@@ -49,7 +64,7 @@ def _closed_paths(
         ("y, z, x", "yz * zx", "xy"),
         ("z, x, y", "zx * xy", "yz"),
     )
-    rows = _views(weighted_cycles(table, resolved, cell_rows, limit, block_rows), cycle_views, bag)
+    rows = _views(weighted_cycles(table, strategy, cell_rows, limit, block_rows), cycle_views, bag)
     loop_views = [
         ("node, node, other", "n_loops * n_out", "n_in"),
         ("other, node, node", "n_in * n_loops", "n_out"),
@@ -61,7 +76,7 @@ def _closed_paths(
         rows = rows.unionByName(
             self_loops(table).selectExpr("node AS x", "node AS y", "node AS z", "n_loops * n_loops AS copies")
         )
-    return expand_copies(rows, chunk)
+    return rows
 
 
 def _views(df: DataFrame, views, bag: bool) -> DataFrame:
