@@ -118,9 +118,9 @@ class Automaton:
             own, at = self.state[n][known], first[n][known]
             self.weight[own] = np.log10(strength / (counts[n][known] + strength))
             self.failure[own] = self.state[n - 1][which[n - 1][at]] if n else 0
-        self.start = self.state[0][end]
         # Where a word without its own n-gram leads from state 0.
-        self.entered = self.state[0]
+        self.entered = self.state[0] if self.state else np.zeros(self.width, np.int64)
+        self.start = self.entered[end]
         arcs, values, targets = [], [], []
         shorter = unigram
         for n in range(1, order):
