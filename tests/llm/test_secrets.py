@@ -62,3 +62,27 @@ def test_masking(docs_of, nothing):
     assert texts[32] == ROWS[2][1] and texts[3] is None and texts[4] == ""
     plain = {(r[0], r[1]) for r in EDGES}
     assert plain <= {(r.doc_id, r.text) for r in found.collect()}
+
+
+def test_secrets_glued_to_names_and_of_one_case(docs_of):
+    hexes, seed, lower = "9F86D081884C7D659A2FEAA0C55AD015", "JBSWY3DPEHPK3PXPJBSWY3DPEHPK3PXP", "x9k2q7w4z8m3n5p1r6t0v2b8"
+    hidden = [
+        (40, f"AWS_KEY={hexes}", hexes),
+        (41, f"a {seed}.", seed),
+        (42, f"a {lower}.", lower),
+        (43, f"ñ abABabABabAB_{hexes} and home_1/{lower}/", f"ABabAB_{hexes} {lower}"),
+        (44, f"name_{lower}{hexes}", f"name_{lower}{hexes}"),  # spans of a candidate and its runs are one
+    ]
+    plain = [
+        (50, "2024-donaudampfschifffahrtsgesellschaft2024 user12345678901234567890", "en", "a"),
+        (51, f"example/{lower} AKIA{lower} the_quick_brown_fox_jumps_over_13_lazy_dogs", "en", "a"),
+    ]
+    found = {r.doc_id: r for r in secrets(docs_of([(i, t, "en", "a") for i, t, _ in hidden] + plain)).collect()}
+    for doc_id, text, secret in hidden:
+        assert [text[s.start : s.end] for s in found[doc_id].spans] == [s.value for s in found[doc_id].spans]
+        masks = " ".join(s.value for s in found[doc_id].spans)
+        assert masks == secret, doc_id
+    assert found[50].spans == []
+    assert [s.value for s in found[51].spans] == [f"AKIA{lower}"]
+    table = docs_of([(i, t, "en", "a") for i, t, _ in hidden])
+    assert [r.text for r in masked(table).orderBy("doc_id").collect()][:2] == ["AWS_KEY=[SECRET]", "a [SECRET]."]

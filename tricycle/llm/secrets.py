@@ -1,7 +1,9 @@
 """Secret scan: patterns, and sliding-window entropy over candidate strings.
 
-Entropy is taken per character class (hexadecimal; base64 with lower case, upper
-case and digits) over a window that slides along a candidate. The window's symbol
+Entropy is taken per character class (hexadecimal; letters of one case among digits;
+base64 with lower case, upper case and digits) over a window that slides along a
+candidate, and along each run of hexadecimal digits, or of digits and letters of one
+case, inside it, so that a name glued to a secret does not hide it. The window's symbol
 counts change by the symbol that enters and the one that leaves, and so does the sum
 of ``c * log2(c)``, in integers, so that every engine decides alike. Candidates that
 match an allow-list are suppressed. DataFrame functions only.
@@ -23,10 +25,12 @@ ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# Runs in a candidate that have a class of their own, whatever is around them.
+RUNS = tuple(f"[{c}]{{20,}}" for c in ("0-9a-f", "0-9A-F", "0-9a-z", "0-9A-Z"))
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 # Bits of entropy from which a window of a class is suspicious.
-THRESHOLDS = {"hex": 3.0, "base64": 3.7}
+THRESHOLDS = {"hex": 3.0, "case": 3.2, "base64": 3.7}
 # Candidates with these are no secrets: placeholders, counting and repeated characters.
 ALLOW = r"(?i)example|placeholder|changeme|0123456789|abcdefgh|x{8}|(.)\1{7}"
 MASK = "[SECRET]"
@@ -45,17 +49,18 @@ def most_sum(bits: float, window: int = WINDOW) -> int:
     return math.floor(UNIT * window * (math.log2(window) - bits))
 
 
-def _located(kind: int, pattern: str, keep: str, group: int | None = None) -> str:
-    """All matches of a pattern in ``text`` that ``keep`` accepts, with their places.
+def _located(kind: int, pattern: str, keep: str, group: int | None = None, text: str = "text", start: str = "0") -> str:
+    """All matches of a pattern in ``text`` that ``keep`` accepts, with their places,
+    counted from ``start``.
 
     What is between the matches gives the places; ``x`` has the piece before a match
     (``1``), the match (``0``) and its last group (``2``).
     """
     quoted = pattern.replace("'", "\\x27")
-    last = f", regexp_extract_all(text, r'{quoted}', {group})" if group else ""
+    last = f", regexp_extract_all({text}, r'{quoted}', {group})" if group else ""
     return f"""aggregate(
-        arrays_zip(regexp_extract_all(text, r'{quoted}', 0), split(text, r'{quoted}', -1){last}),
-        named_struct('found', cast(array() AS array<{SPAN}>), 'at', 0),
+        arrays_zip(regexp_extract_all({text}, r'{quoted}', 0), split({text}, r'{quoted}', -1){last}),
+        named_struct('found', cast(array() AS array<{SPAN}>), 'at', {start}),
         (a, x) -> if(x.`0` IS NULL, a, named_struct(
             'found', if({keep}, concat(a.found, array(named_struct('start', a.at + length(x.`1`), 'kind', {kind},
                 'end', a.at + length(x.`1`) + length(x.`0`), 'value', x.`0`))), a.found),
@@ -64,12 +69,19 @@ def _located(kind: int, pattern: str, keep: str, group: int | None = None) -> st
 
 
 def _entropy(window: int) -> str:
-    """The suspicious part of each candidate ``c`` of ``candidates``."""
+    """The suspicious parts of ``candidates`` and of the runs in them, overlapping ones joined."""
+    kind = KINDS.index("entropy")
+    runs = ", ".join(_located(kind, run, "true", text="c.value", start="c.start") for run in RUNS)
+    parts = f"""array_distinct(flatten(transform(
+        filter(candidates, c -> NOT c.value RLIKE r'{ALLOW}'), c -> concat(array(c), {runs}))))"""
     table = f"array({', '.join(f'{w}L' for w in weights(window))})"
     hexadecimal = "(c.value RLIKE '^[0-9a-f]+$' OR c.value RLIKE '^[0-9A-F]+$')"
+    # Digits on both sides of letters: words with a number before or behind are no secrets.
+    case = "((c.value RLIKE '^[0-9a-z]+$' OR c.value RLIKE '^[0-9A-Z]+$') AND c.value RLIKE '[0-9][A-Za-z]+[0-9]')"
     mixed = "(c.value RLIKE '[a-z]' AND c.value RLIKE '[A-Z]' AND c.value RLIKE '[0-9]')"
     most = (
         f"CASE WHEN {hexadecimal} THEN {most_sum(THRESHOLDS['hex'], window)}L"
+        f" WHEN {case} THEN {most_sum(THRESHOLDS['case'], window)}L"
         f" WHEN {mixed} THEN {most_sum(THRESHOLDS['base64'], window)}L ELSE -1L END"
     )
     size = len(SYMBOLS)
@@ -89,12 +101,16 @@ def _entropy(window: int) -> str:
             'last', if(e.after >= {window} AND n.total <= z.t, e.after, b.last)))[0],
         b -> named_struct('first', b.first, 'last', b.last))"""
     scanned = f"""transform(
-        filter(candidates, c -> NOT c.value RLIKE r'{ALLOW}' AND {most} >= 0),
+        filter({parts}, c -> {most} >= 0),
         c -> transform(array(named_struct('s', transform(split(c.value, ''), x -> locate(x, '{SYMBOLS}')), 't', {most})),
             z -> transform(array({moved}),
-                r -> named_struct('start', c.start + r.first, 'kind', {KINDS.index('entropy')}, 'end', c.start + r.last,
+                r -> named_struct('start', c.start + r.first, 'kind', {kind}, 'end', c.start + r.last,
                     'value', substr(c.value, r.first + 1, r.last - r.first))))[0][0])"""
-    return f"filter({scanned}, r -> r.end > r.start)"
+    last = "element_at(done, -1)"
+    return f"""aggregate(array_sort(filter({scanned}, r -> r.end > r.start)), cast(array() AS array<{SPAN}>), (done, s) -> if(
+        size(done) = 0 OR s.start >= {last}.end, concat(done, array(s)),
+        concat(slice(done, 1, size(done) - 1), array(named_struct('start', {last}.start, 'kind', {kind},
+            'end', greatest({last}.end, s.end), 'value', concat({last}.value, substr(s.value, {last}.end - s.start + 1)))))))"""
 
 
 def secrets(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -102,8 +118,8 @@ def secrets(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     and kind, in code points from 0, the end exclusive.
 
     Kinds 0 to 2 are the patterns (``assign``, ``access``, ``hex``); matches of one
-    kind do not overlap and may overlap another kind's. Kind 3 is the suspicious part
-    of a candidate, unless it lies within a span of another kind. Null and empty
+    kind do not overlap and may overlap another kind's. Kind 3 is a suspicious part
+    of a candidate or of a run in it, unless it lies within a span of another kind. Null and empty
     texts have none; repeated rows are scanned alike; other columns are passed on
     (a column ``spans`` is replaced).
     """
