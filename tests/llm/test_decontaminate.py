@@ -44,3 +44,12 @@ def test_empty_tables(spark, edges, nothing):
     assert contamination(nothing, empty).collect() == []
     assert {r.n_hit for r in contamination(edges, empty).collect()} == {0}
     assert decontaminated(edges, empty).count() == len(EDGES)
+
+
+def test_passages_of_items_without_an_id_are_removed(spark, docs_of):
+    docs = docs_of(ROWS + EDGES)
+    benchmark = spark.createDataFrame([(None, "near the door"), (1, ITEM), (None, ITEM)], "item_id long, text string")
+    removed = {1, 2, 20, 21, 22}
+    for broadcast in (1000, 0):
+        ids = [r.doc_id for r in decontaminated(docs, benchmark, broadcast_windows=broadcast).collect()]
+        assert sorted(map(str, ids)) == sorted(str(r[0]) for r in ROWS + EDGES if r[0] not in removed)

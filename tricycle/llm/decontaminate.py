@@ -39,15 +39,16 @@ def _keys(docs: DataFrame) -> DataFrame:
     )
 
 
-def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS, unnamed: bool = False) -> DataFrame:
     """``(hash, words, window, items)``: each distinct window of ``size`` words, or of
-    all words of a shorter item, with the ids of its items.
+    all words of a shorter item, with the ids of its items. Windows of items with a null
+    id, which add no id, are there if ``unnamed``.
     """
     words = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), benchmark_words(F.col("text").cast("string")).alias("w")
     )
     return (
-        words.where("item_id IS NOT NULL AND size(w) > 0")
+        words.where("size(w) > 0" if unnamed else "item_id IS NOT NULL AND size(w) > 0")
         .select("item_id", F.explode(F.expr(f"transform(sequence(0, greatest(size(w) - {size}, 0)), i -> slice(w, i + 1, {size}))")).alias("window"))
         .groupBy("window")
         .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
@@ -75,10 +76,12 @@ def _hits(rows: DataFrame, windows: DataFrame, words: int) -> DataFrame:
     return probes.join(windows.where(f"words = {words}").drop("words"), "hash").drop("hash")
 
 
-def _scanned(docs: DataFrame, benchmark: DataFrame, size: int, broadcast_windows: int) -> DataFrame:
+def _scanned(
+    docs: DataFrame, benchmark: DataFrame, size: int, broadcast_windows: int, unnamed: bool = False
+) -> DataFrame:
     """``(doc, n_words, items, spans)`` for each row of ``docs``."""
     rows = _keys(docs)
-    windows = benchmark_windows(benchmark, size)
+    windows = benchmark_windows(benchmark, size, unnamed)
     sizes = windows.groupBy("words").count().collect()  # at most one row for each size up to ``size``
     if sum(x["count"] for x in sizes) <= broadcast_windows:
         windows = F.broadcast(windows)
@@ -140,8 +143,10 @@ def contamination(
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, broadcast_windows: int = BROADCAST_WINDOWS
 ) -> DataFrame:
-    """``docs`` without the rows in which a window of an item occurs; all columns stay."""
-    return _scanned(docs, benchmark, size, broadcast_windows).where("size(spans) = 0").select("doc.*")
+    """``docs`` without the rows in which a window of an item occurs, with an id or
+    without; all columns stay.
+    """
+    return _scanned(docs, benchmark, size, broadcast_windows, unnamed=True).where("size(spans) = 0").select("doc.*")
 
 
 def _without(text: str, spans: str) -> Column:
