@@ -13,6 +13,10 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", lower(text))
 
 
+def words_as_written(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
 def shingles(text, size=5):
     w = words(text)
     if len(w) >= size:

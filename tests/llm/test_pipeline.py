@@ -75,4 +75,4 @@ def test_query_equals_sql(spark, sql, name):
 
 def test_all_operators_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registered.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in registered.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in registered.queries()

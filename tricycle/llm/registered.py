@@ -8,18 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-import public_tokenizers
 from tricycle.llm import lm
 from tricycle.llm import quality as ranking
 from tricycle.llm import sql
 from tricycle.llm import toxicity as toxic
 from tricycle.llm.ann import nearest_neighbours
 from tricycle.llm.decontaminate import contamination
+from tricycle.llm.filter_audit import audit
 from tricycle.llm.minhash import near_duplicates
 from tricycle.llm.mixing import sampled_mix
+from tricycle.llm.resharding import resharded, text_size, with_slots
 from tricycle.llm.secrets import secrets, span_text
 from tricycle.llm.tokens import token_counts
 from tricycle.llm.warc import captures, header_text, resolved_revisits
+from tricycle.llm.whitening import whitened
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +49,8 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -97,6 +101,36 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_spectral_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 32 old shards, in which each source has four, to 40 of equal bytes."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    old = F.concat_ws(":", F.coalesce("source", F.lit("")), F.coalesce(F.col("doc_id") % 4, F.lit(0)).cast("string"))
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        text_size(text, 16).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        (F.crc32(old.cast("binary")) % 32).cast("int").alias("old_shard"),
+    )
+    return with_slots(resharded(rows, 40)).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_backoff_automaton,
@@ -109,6 +143,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity_cnn,
         op9_pareto_mix,
         op10_benchmark_decontamination,
+        op11_spectral_whitening,
+        op12_filter_audit,
+        op13_flow_resharding,
     )
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
@@ -119,4 +156,5 @@ def oracle_sql() -> dict[str, str]:
         op7_revisit_resolution.__name__: sql.revisits(),
         op9_pareto_mix.__name__: sql.mixing(),
         op10_benchmark_decontamination.__name__: sql.decontamination(),
+        op12_filter_audit.__name__: sql.filter_audit(),
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tricycle.llm.filter_audit import LEAST_DISTINCT, LEAST_WORDS, MOST_UPPER
 from tricycle.llm.secrets import (
     ACCESS_LENGTH,
     ALLOW,
@@ -68,6 +69,39 @@ def mixing() -> str:
     FROM s"""
 
 
+def filter_audit() -> str:
+    fails = rf"""(len(w) < {LEAST_WORDS})::BIGINT + 2 * (100 * len(list_distinct(w)) < {LEAST_DISTINCT} * len(w))::BIGINT
+        + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > {MOST_UPPER} * length(t))::BIGINT
+        + 8 * regexp_matches(t, '[#$%&*|]')::BIGINT
+        + 16 * coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)::BIGINT"""
+    return rf"""
+    WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    f AS (SELECT doc_id, part, {fails} AS mask FROM d),
+    l AS (SELECT doc_id, max(coalesce(quality = 1, false)::BIGINT) AS good, max(coalesce(toxic = 1, false)::BIGINT) AS toxic
+        FROM labels GROUP BY doc_id),
+    c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+        FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+    k AS (SELECT unnest(string_split('ABCDE', '')) AS x),
+    o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM k a, k b, k c, k d, k e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+            1 << (ascii(substr(filter_order, step, 1)) - 65) AS bit,
+            coalesce(list_sum([1 << (ascii(substr(filter_order, i, 1)) - 65) FOR i IN generate_series(1, step - 1)]), 0)::BIGINT AS prior
+        FROM (SELECT filter_order, unnest(generate_series(1, 5)) AS step FROM o)),
+    r AS (SELECT part, filter_order, step, letter,
+            sum(CASE WHEN mask & (prior | bit) = 0 THEN n ELSE 0 END) AS kept,
+            sum(CASE WHEN mask & prior = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+            sum(CASE WHEN mask & prior > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+            sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+            sum(CASE WHEN mask & prior = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+            sum(CASE WHEN mask & prior = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM c, s GROUP BY part, filter_order, step, letter)
+    SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+        redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+        toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM r"""
+
+
 def secret_scan() -> str:
     pattern = r"(?i)(?:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)"
     table = f"[{', '.join(map(str, weights()))}]"
