@@ -27,8 +27,8 @@ def fails(rows):
 
 def brute(rows, labels):
     failed = fails(rows)
-    good = {i for i, quality, _ in labels if quality == 1}
-    toxic = {i for i, _, t in labels if t == 1}
+    good = {i for i, quality, _ in labels if quality == 1} - {None}
+    toxic = {i for i, _, t in labels if t == 1} - {None}
     found = {}
     for part in {p for p, _, _ in failed}:
         own = [(i, f) for p, i, f in failed if p == part]

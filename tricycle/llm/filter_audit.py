@@ -33,7 +33,7 @@ LEAST_WORDS = 50
 LEAST_DISTINCT = 65  # percent of the words
 MOST_UPPER = 5  # percent of the characters
 SYMBOLS = b"#$%&*|"
-SHARD_BYTES = 1 << 24  # of text, or one text that is longer
+SHARD_BYTES = 1 << 23  # of text, or one text that is longer
 HASH_BITS = 63
 # Words with a hash that other words have, sent to all tasks: about n * n / 2 ** 63 of n.
 CLASHES = 1_000_000
@@ -76,13 +76,20 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
+def _before(marked: np.ndarray) -> np.ndarray:
+    """How many are marked before each place, and in all."""
+    found = np.zeros(len(marked) + 1, np.int32 if len(marked) < 1 << 31 else np.int64)
+    np.cumsum(marked, out=found[1:])
+    return found
+
+
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The words of texts, dictionary-encoded within the shard, and their rows."""
     gap = _SPACE[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begins = np.flatnonzero(~gap & (edge[:-1] | np.concatenate(([True], gap[:-1]))[: len(gap)]))
-    kept = np.concatenate(([0], np.cumsum(~gap)))
+    kept = _before(~gap)
     bounds = np.append(kept[begins], kept[-1]).astype(np.int64)
     words = pa.Array.from_buffers(
         pa.large_binary(), len(begins), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(data[~gap].tobytes())]
@@ -178,7 +185,7 @@ def failures(docs: DataFrame, size: int = SHARD_BYTES, bits: int = HASH_BITS) ->
             n_distinct = np.diff(bounds)
             data, offsets = text_bytes(texts)
             upper, first, symbol = (
-                np.diff(np.concatenate(([0], np.cumsum(kind[data])))[offsets]) for kind in (_UPPER, _FIRST, _SYMBOL)
+                np.diff(_before(kind[data])[offsets]) for kind in (_UPPER, _FIRST, _SYMBOL)
             )
             failed = (
                 n_words < LEAST_WORDS,
