@@ -12,16 +12,17 @@ from collections.abc import Callable
 from functools import partial
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tricycle as tc
-from tricycle.plans import materialize, shared_path
+from tricycle.plans import numbered, shared_path
 
 # Id filter of the filtered queries: it leaves about half of each graph.
 MAX_ID = {"events": 49, "orders": 700}
 # Sizes that split even small lists and joins, for the queries named ``_split``.
 SMALL = {"cell_rows": 50, "limit": 60}
+RANKED = {"plain_paths": 0}  # cycles from nodes of lowest degree, however small the graph
 SMALL_BLOCK = 7
 TEXT_SEP = "\t\t :"  # key/value separator of the text count sink
 
@@ -118,13 +119,7 @@ def _observed_count(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 def _with_place(rows: DataFrame) -> DataFrame:
     """Rows with their ``place`` in the order that the table has, from 1."""
-    numbered = materialize(rows.withColumn("at", F.monotonically_increasing_id()), "ordered")
-    numbered = numbered.withColumn("part", F.expr("shiftright(at, 33)"))
-    parts = numbered.groupBy("part").count()  # a row for each partition
-    before = parts.select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("before"))
-    return numbered.join(F.broadcast(before), "part").select(
-        *rows.columns, (F.expr("bigint(at & 8589934591)") + F.col("before") + 1).alias("place")
-    )
+    return numbered(rows).withColumn("place", F.col("place") + 1)
 
 
 def _stored_count(spark: SparkSession, edges: DataFrame, how: str) -> DataFrame:
@@ -152,9 +147,9 @@ ON_EDGES: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     "two_paths_degenerate": lambda s, e: tc.two_paths(e, keep_degenerate=True),
     "adjacency_blocks": lambda s, e: _printable(tc.adjacency(e, SMALL_BLOCK, limit=60)),
     "two_paths_split": lambda s, e: tc.two_paths(e, **SMALL),
-    "closed_paths_bag_split": lambda s, e: tc.closed_paths_bag(e, block_rows=5, chunk=3, **SMALL),
-    "cycle_list_split": lambda s, e: tc.cycle_list(e, block_rows=5, **SMALL),
-    "triangle_count_split": lambda s, e: tc.triangle_count(e, "bag", limit=60, block_rows=5),
+    "closed_paths_bag_split": lambda s, e: tc.closed_paths_bag(e, block_rows=5, chunk=3, **SMALL, **RANKED),
+    "cycle_list_split": lambda s, e: tc.cycle_list(e, block_rows=5, **SMALL, **RANKED),
+    "triangle_count_split": lambda s, e: tc.triangle_count(e, "bag", limit=60, block_rows=5, **RANKED),
     "given_paths_closed_split": lambda s, e: tc.close_two_paths(tc.two_paths(e), e, "bag", limit=60),
     "stored_two_paths_count": partial(_stored_count, how="semi"),
     "stored_two_paths_count_bag": partial(_stored_count, how="bag"),

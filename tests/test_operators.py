@@ -84,7 +84,7 @@ def test_listings_against_brute_force(edges_of, cell_rows, block_rows, limit):
     raw = graphs.random_edges(cell_rows + block_rows)
     edges = edges_of(raw)
     hot = {"cell_rows": cell_rows, "limit": limit}
-    ranked = hot | {"block_rows": block_rows}
+    ranked = hot | {"block_rows": block_rows, "plain_paths": 0}
     assert graphs.bag(tc.two_paths(edges, **hot)) == graphs.paths(raw)
     assert graphs.bag(tc.closed_paths_bag(edges, **ranked)) == graphs.closed(raw, "bag")
     assert graphs.bag(tc.closed_paths_semi(edges, keep_degenerate=True, **ranked)) == graphs.closed(raw, "walk")
@@ -99,8 +99,9 @@ def test_many_duplicates(edges_of):
     expected = Counter({(1, 2, 3): 210_000, (2, 3, 1): 600, (3, 1, 2): 1_400})
     listed = tc.two_paths(edges, cell_rows=2).groupBy("x", "y", "z").count()
     assert Counter({(r.x, r.y, r.z): r["count"] for r in listed.collect()}) == expected
-    listed = tc.closed_paths_semi(edges).groupBy("x", "y", "z").count()
-    assert Counter({(r.x, r.y, r.z): r["count"] for r in listed.collect()}) == expected
+    for paths in (0, 10**9):
+        listed = tc.closed_paths_semi(edges, plain_paths=paths).groupBy("x", "y", "z").count()
+        assert Counter({(r.x, r.y, r.z): r["count"] for r in listed.collect()}) == expected
     listed = tc.close_two_paths(tc.two_paths(edges), edges, "bag").groupBy("x", "y", "z").count()
     assert {r["count"] for r in listed.collect()} == {420_000}
     assert tuple(tc.triangle_count(edges, "bag").first()) == (3 * 420_000, 420_000)
@@ -111,14 +112,15 @@ def test_listings_by_strategy(edges_of, strategy):
     raw = graphs.random_edges(3)
     edges = edges_of(raw)
     assert graphs.bag(tc.two_paths(edges, strategy, keep_degenerate=True)) == graphs.paths(raw, True)
-    assert graphs.bag(tc.closed_paths_semi(edges, strategy)) == graphs.closed(raw, "semi")
-    assert graphs.bag(tc.cycle_list(edges, strategy)) == graphs.cycles(raw)
+    for paths in (0, 10**9):
+        assert graphs.bag(tc.closed_paths_semi(edges, strategy, plain_paths=paths)) == graphs.closed(raw, "semi")
+        assert graphs.bag(tc.cycle_list(edges, strategy, plain_paths=paths)) == graphs.cycles(raw)
 
 
 @pytest.mark.parametrize("limit, block_rows", [(1, 2), (4, 10_000), (1_000_000, 3)])
 def test_counts_against_brute_force(edges_of, limit, block_rows):
     raw = graphs.random_edges(limit, nodes=12, edges=70)
-    sizes = {"limit": limit, "block_rows": block_rows}
+    sizes = {"limit": limit, "block_rows": block_rows, "plain_paths": 0}
     edges = edges_of(raw)
     for semantics in ("bag", "semi", "walk"):
         n = sum(graphs.closed(raw, semantics).values())

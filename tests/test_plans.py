@@ -7,6 +7,8 @@ import pytest
 
 import tricycle as tc
 from tests import graphs
+from tricycle.plans import numbered
+from tricycle.plans.strategy import distinct_edges, sketched_edges
 
 
 @pytest.fixture(scope="module")
@@ -30,9 +32,9 @@ def test_count_reads_one_column_and_combines_before_the_shuffle(stored):
 
 
 def test_join_follows_strategy(stored):
-    merge = tc.explain_text(tc.triangle_count(stored, "bag", "merge"), "simple")
+    merge = tc.explain_text(tc.triangle_count(stored, "bag", "merge", plain_paths=0), "simple")
     assert merge.count("SortMergeJoin") >= 2
-    broadcast = tc.explain_text(tc.triangle_count(stored, "bag", "broadcast"), "simple")
+    broadcast = tc.explain_text(tc.triangle_count(stored, "bag", "broadcast", plain_paths=0), "simple")
     assert "SortMergeJoin" not in broadcast and "BroadcastHashJoin" in broadcast
 
 
@@ -66,10 +68,10 @@ def test_given_paths_are_shuffled_once(spark, stored, tmp_path):
 @pytest.mark.parametrize(
     "build",
     [
-        lambda e: tc.triangle_count(e, "bag", "merge"),
-        lambda e: tc.triangle_count(e, "walk", "merge"),
-        lambda e: tc.cycle_list(e, "merge"),
-        lambda e: tc.closed_paths_bag(e, "merge"),
+        lambda e: tc.triangle_count(e, "bag", "merge", plain_paths=0),
+        lambda e: tc.triangle_count(e, "walk", "merge", plain_paths=0),
+        lambda e: tc.cycle_list(e, "merge", plain_paths=0),
+        lambda e: tc.closed_paths_bag(e, "merge", plain_paths=0),
         lambda e: tc.two_paths(e, "merge"),
         lambda e: tc.two_path_count(e),
         lambda e: tc.adjacency(e),
@@ -102,7 +104,8 @@ def executed(text: str) -> str:
 def test_no_plan_crosses_or_runs_python(stored):
     for df in (
         tc.triangle_count(stored, "walk"),
-        tc.closed_paths_bag(stored),
+        tc.triangle_count(stored, "walk", plain_paths=0),
+        tc.closed_paths_bag(stored, plain_paths=0),
         tc.two_paths(stored),
         tc.close_two_paths(tc.two_paths(stored), stored),
         tc.adjacency(stored),
@@ -116,3 +119,54 @@ def test_metrics_come_with_the_action(stored):
     df, observation = tc.with_metrics(tc.follower_count(stored), "counts")
     n = len(df.collect())
     assert observation.get == {"n_rows": n}
+
+
+def test_the_choice_of_plan_follows_the_number_of_two_paths(edges_of):
+    """A node in the middle of 200 * 200 two-paths, of which none is closed."""
+    star = edges_of([(k, 0) for k in range(1, 201)] + [(0, k) for k in range(201, 401)])
+    few = tc.triangle_count(star, "bag", plain_paths=40_000)
+    many = tc.triangle_count(star, "bag", plain_paths=10_000)
+    assert "three plain joins" in tc.explain_text(few) and "40000 two-paths of 400 edges" in tc.explain_text(few)
+    assert "lowest degree" in tc.explain_text(many)
+    assert tuple(few.first()) == tuple(many.first()) == (0, 0)
+    assert "lowest degree" in tc.explain_text(tc.triangle_count(star, "bag", plain_paths=0))
+
+
+def test_copies_of_an_edge_do_not_repeat_the_plan(stored):
+    """One cycle join, also where rows have many copies; those are sliced from a written table."""
+    plain = tc.closed_paths_bag(stored, "merge", plain_paths=0, chunk=10**9)
+    many = tc.closed_paths_bag(stored, "merge", plain_paths=0, chunk=2)
+    once = tc.explain_text(plain, "simple").count("SortMergeJoin")
+    assert once >= 2 and "Join" not in tc.explain_text(many, "simple")
+    assert graphs.bag(plain) == graphs.bag(many)
+
+
+def test_sketch_counts_distinct_edges_in_parts(spark):
+    edges = spark.range(60_000).selectExpr("id % 20000 AS follower", "id % 20000 + 1 AS user")
+    plan = tc.explain_text(sketched_edges(edges), "simple")
+    assert "SinglePartition" not in plan and "partial_hll_sketch_agg" in plan
+    assert abs(distinct_edges(edges) - 20_000) < 0.03 * 20_000
+
+
+def test_numbered_rows_are_shuffled_once_and_in_order(spark):
+    rows = spark.range(5000).selectExpr("id * 7919 % 5003 AS v", "id % 3 AS n")
+    found = numbered(rows, "v", copies="n").collect()
+    expected = sorted(r.v for r in rows.collect() for _ in range(r.n))
+    assert [r.v for r in sorted(found, key=lambda r: r.place)] == expected
+    assert sorted(r.place for r in found) == list(range(len(expected)))
+    assert numbered(rows.limit(0), "v").collect() == []
+
+
+def test_a_prepared_graph_is_read_in_place_of_its_edges(stored):
+    raw = [tuple(r) for r in stored.collect()]
+    graph = tc.prepare_graph(stored)
+    for paths in (0, 10**9):
+        assert tuple(tc.triangle_count(graph, "bag", plain_paths=paths).first()) == (n := sum(graphs.closed(raw, "bag").values()), n // 3)
+        assert graphs.bag(tc.closed_paths_bag(graph, plain_paths=paths)) == graphs.closed(raw, "bag")
+        assert graphs.bag(tc.closed_paths_semi(graph, keep_degenerate=True, plain_paths=paths)) == graphs.closed(raw, "walk")
+        assert graphs.bag(tc.cycle_list(graph, plain_paths=paths)) == graphs.cycles(raw)
+    assert tc.two_path_count(graph, True).first().n_paths == sum(graphs.paths(raw, True).values())
+    plans = tc.explain_text(tc.triangle_count(graph, "bag", plain_paths=0)) + tc.explain_text(tc.cycle_list(graph))
+    assert "/edges" not in plans and "/graph-" in plans
+    small = tc.prepare_graph(stored, max_id=20)
+    assert tuple(tc.triangle_count(small, "walk").first()) == tuple(tc.triangle_count(tc.induced_subgraph(stored, 20), "walk").first())

@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tricycle.operators.cycles import BLOCK_ROWS, weighted_cycles
-from tricycle.operators.pairs import looped_neighbours, pair_table, self_loops
-from tricycle.plans.skew import CELL_ROWS, CHUNK_COPIES, HOT_KEYS, expand_copies
-from tricycle.plans.strategy import BROADCAST_EDGES, resolve
+from tricycle.operators.graph import PLAIN_PATHS, Graph, chosen, graph_of
+from tricycle.operators.pairs import looped_neighbours, self_loops
+from tricycle.operators.plain import joined_paths
+from tricycle.plans.report import noted
+from tricycle.plans.shared import materialize
+from tricycle.plans.skew import CELL_ROWS, CHUNK_COPIES, HOT_KEYS, expand_copies, repeated
+from tricycle.plans.strategy import BROADCAST_EDGES
 
 
-def closed_paths_bag(edges: DataFrame, strategy: str = "auto", **limits: int) -> DataFrame:
+def closed_paths_bag(edges: DataFrame | Graph, strategy: str = "auto", **limits: int) -> DataFrame:
     """Two-paths ``x <> z`` joined with the closing edges: a duplicate of the
     closing edge gives the path once more."""
     return _closed_paths(edges, "bag", strategy, **limits)
 
 
 def closed_paths_semi(
-    edges: DataFrame, strategy: str = "auto", keep_degenerate: bool = False, **limits: int
+    edges: DataFrame | Graph, strategy: str = "auto", keep_degenerate: bool = False, **limits: int
 ) -> DataFrame:
     """Two-paths for which a closing edge exists, however many there are.
 
@@ -28,7 +31,7 @@ def closed_paths_semi(
 
 
 def _closed_paths(
-    edges: DataFrame,
+    edges: DataFrame | Graph,
     semantics: str,
     strategy: str,
     cell_rows: int = CELL_ROWS,
@@ -36,21 +39,33 @@ def _closed_paths(
     block_rows: int = BLOCK_ROWS,
     chunk: int = CHUNK_COPIES,
     broadcast_edges: int = BROADCAST_EDGES,
+    plain_paths: int = PLAIN_PATHS,
 ) -> DataFrame:
     """A closed two-path on three distinct nodes is a cycle seen from one of its
     nodes; any other one uses a self-loop. Both kinds are listed with their number
     of copies, which is multiplied out last.
     """
-    table = pair_table(edges)
-    resolved = resolve(strategy, edges, table, broadcast_edges)
-    # No row has more copies than the cube of the largest number of edges of a pair, so
-    # where that is small the plan of the rows with very many copies starts empty.
-    heaviest = table.select(F.expr("max(greatest(fwd, bwd, loops))")).scalar()
-    heavy = table.where(F.pow(heaviest, F.lit(3)) > chunk)
-    few, many = (
-        _compact(t, semantics, resolved, cell_rows, limit, block_rows) for t in (table, heavy)
-    )
-    return expand_copies(few, chunk, many)
+    graph = graph_of(edges)
+    resolved = graph.strategy(strategy, broadcast_edges)
+    plain = graph.plain_strategy(resolved, plain_paths, broadcast_edges)
+    if plain is not None:
+        listed = joined_paths(graph.weighted(), semantics, plain)
+    else:
+        listed = _compact(graph.pairs, semantics, resolved, cell_rows, limit, block_rows)
+    return noted(_routed(listed, graph, plain, chunk), chosen(graph, plain, resolved))
+
+
+def _routed(listed: DataFrame, graph: Graph, plain: str | None, chunk: int) -> DataFrame:
+    """Compact rows multiplied out where they are, unless some may have more than ``chunk``
+    copies. No row has more than the cube of the most edges of a pair, so that is known
+    beforehand. Then the compact rows are written once; only those over the chunk are
+    sliced and dealt to other tasks.
+    """
+    if plain is not None and graph.edges is not None:
+        return listed.select("x", "y", "z")  # plain rows of edges as they come are copies
+    if graph.heaviest**3 <= chunk:
+        return repeated(listed, "x", "y", "z")
+    return expand_copies(materialize(listed, "closed-paths"), chunk)
 
 
 def _compact(

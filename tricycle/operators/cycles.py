@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell
-from tricycle.operators.pairs import linked_pairs, pair_table, ranked_pairs
+from tricycle.operators.graph import PLAIN_PATHS, Graph, chosen, graph_of
+from tricycle.operators.pairs import linked_pairs, ranked_pairs
+from tricycle.operators.plain import joined_paths
+from tricycle.plans.report import noted
 from tricycle.plans.skew import CELL_ROWS, HOT_KEYS
-from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
+from tricycle.plans.strategy import BROADCAST_EDGES, hinted
 
 # Neighbours of one node that one join cell pairs with as many others.
 BLOCK_ROWS = 10_000
@@ -106,14 +109,22 @@ def weighted_cycles(
 
 
 def cycle_list(
-    edges: DataFrame,
+    edges: DataFrame | Graph,
     strategy: str = "auto",
     cell_rows: int = CELL_ROWS,
     limit: int = HOT_KEYS,
     block_rows: int = BLOCK_ROWS,
     broadcast_edges: int = BROADCAST_EDGES,
+    plain_paths: int = PLAIN_PATHS,
 ) -> DataFrame:
-    """Each directed 3-cycle x→y→z→x of distinct nodes once, with ``x < y, x < z``."""
-    table = pair_table(edges)
-    resolved = resolve(strategy, edges, table, broadcast_edges)
-    return weighted_cycles(table, resolved, cell_rows, limit, block_rows).select("x", "y", "z")
+    """Each directed 3-cycle x→y→z→x of distinct nodes once, with ``x < y, x < z``. For
+    ``plain_paths`` see ``triangle_count``.
+    """
+    graph = graph_of(edges)
+    resolved = graph.strategy(strategy, broadcast_edges)
+    plain = graph.plain_strategy(resolved, plain_paths, broadcast_edges)
+    if plain is not None:
+        found = joined_paths(graph.weighted(), "cycle", plain).where("x < y AND x < z")
+    else:
+        found = weighted_cycles(graph.pairs, resolved, cell_rows, limit, block_rows)
+    return noted(found.select("x", "y", "z"), chosen(graph, plain, resolved))

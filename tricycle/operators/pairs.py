@@ -64,8 +64,10 @@ def ranked_pairs(table: DataFrame, limit: int = HOT_KEYS) -> DataFrame:
 
     The degrees of hot nodes come by broadcast, all of them on a graph of up to
     ``limit`` nodes. A pair with another end is shuffled by that end, so a hub's pairs
-    never meet at the hub.
+    never meet at the hub. The pairs of a prepared graph have them already.
     """
+    if "degree_a" in table.columns:
+        return linked_pairs(table).select("a", "b", "fwd", "bwd", "degree_a", "degree_b")
     every = degrees(table)
     hot = F.broadcast(hot_keys(every, "degree", limit))
     marked = (

@@ -7,20 +7,24 @@ from pyspark.sql import functions as F
 
 from tricycle.functions import third
 from tricycle.operators.cycles import BLOCK_ROWS, wedges
-from tricycle.operators.pairs import linked_pairs, pair_table
+from tricycle.operators.graph import PLAIN_PATHS, Graph, chosen, graph_of
+from tricycle.operators.pairs import linked_pairs
+from tricycle.operators.plain import joined_paths
+from tricycle.plans.report import noted
 from tricycle.plans.skew import HOT_KEYS
-from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
+from tricycle.plans.strategy import BROADCAST_EDGES, hinted
 
 SEMANTICS = ("bag", "semi", "walk", "cycle")
 
 
 def triangle_count(
-    edges: DataFrame,
+    edges: DataFrame | Graph,
     semantics: str = "bag",
     strategy: str = "auto",
     limit: int = HOT_KEYS,
     block_rows: int = BLOCK_ROWS,
     broadcast_edges: int = BROADCAST_EDGES,
+    plain_paths: int = PLAIN_PATHS,
 ) -> DataFrame:
     """One row ``(closed_paths, triangles)``.
 
@@ -36,16 +40,24 @@ def triangle_count(
     ``triangles`` is ``closed_paths div 3``, which is exact without self-loops and,
     for semi and walk, without duplicates. No path is listed: wedges are summed per
     closing pair before they are shuffled. A count beyond LONG raises under ANSI.
+
+    A graph with about ``plain_paths`` two-paths or fewer (or four for each edge) is joined
+    plainly instead; ``explain_text`` says which was chosen. 0 never does.
     """
     if semantics not in SEMANTICS:
         raise ValueError(f"unknown semantics {semantics!r}, expected one of {SEMANTICS}")
-    table = pair_table(edges)
-    resolved = resolve(strategy, edges, table, broadcast_edges)
-    parts = _cycle_paths(table, semantics, resolved, limit, block_rows)
-    if semantics != "cycle":
-        parts = parts.unionByName(_loop_paths(table, semantics))
+    graph = graph_of(edges)
+    resolved = graph.strategy(strategy, broadcast_edges)
+    plain = graph.plain_strategy(resolved, plain_paths, broadcast_edges)
+    if plain is not None:
+        parts = joined_paths(graph.weighted(), semantics, plain).selectExpr("copies AS closed_paths")
+    else:
+        parts = _cycle_paths(graph.pairs, semantics, resolved, limit, block_rows)
+        if semantics != "cycle":
+            parts = parts.unionByName(_loop_paths(graph.pairs, semantics))
     closed = parts.agg(F.expr("coalesce(sum(closed_paths), 0L) AS closed_paths"))
-    return closed.selectExpr("closed_paths", f"{third('closed_paths')} AS triangles")
+    closed = closed.selectExpr("closed_paths", f"{third('closed_paths')} AS triangles")
+    return noted(closed, chosen(graph, plain, resolved))
 
 
 def _cycle_paths(table: DataFrame, semantics: str, strategy: str, limit: int, block_rows: int) -> DataFrame:

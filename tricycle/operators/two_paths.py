@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tricycle.functions import cell_of, cells, every_cell, third
-from tricycle.operators.pairs import pair_table, weighted_edges
+from tricycle.operators.graph import Graph, graph_of
+from tricycle.operators.pairs import weighted_edges
 from tricycle.plans.skew import HOT_KEYS, SLICE_COPIES, expand_copies, looked_up, repeated, sliced
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted, resolve
 
@@ -56,13 +57,13 @@ def two_paths(
     return repeated(joined.selectExpr("x", "y", "z", "n_first * n_second AS copies"), "x", "y", "z")
 
 
-def two_path_count(edges: DataFrame, keep_degenerate: bool = False) -> DataFrame:
+def two_path_count(edges: DataFrame | Graph, keep_degenerate: bool = False) -> DataFrame:
     """One row ``n_paths``: how many rows ``two_paths`` has, without listing them.
 
     In-edges times out-edges, summed over the middle nodes, less the paths that
     go back to their start. Aggregations only, so hubs need no care.
     """
-    table = pair_table(edges)
+    table = graph_of(edges).pairs
     totals = (
         table.selectExpr("stack(2, a, fwd + loops, bwd + loops, b, bwd, fwd) AS (node, n_out, n_in)")
         .groupBy("node")

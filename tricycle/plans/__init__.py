@@ -1,4 +1,5 @@
-from tricycle.plans.report import explain_text, with_metrics
+from tricycle.plans.order import numbered
+from tricycle.plans.report import explain_text, noted, with_metrics
 from tricycle.plans.shared import materialize, shared_path
 from tricycle.plans.skew import expand_copies, hot_keys, looked_up
 from tricycle.plans.strategy import STRATEGIES, hinted, resolve
@@ -11,6 +12,8 @@ __all__ = [
     "hot_keys",
     "looked_up",
     "materialize",
+    "noted",
+    "numbered",
     "resolve",
     "shared_path",
     "with_metrics",

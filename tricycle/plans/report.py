@@ -19,9 +19,17 @@ def with_metrics(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame,
     return df.observe(observation, *(metrics or (F.count(F.lit(1)).alias("n_rows"),))), observation
 
 
+def noted(df: DataFrame, note: str) -> DataFrame:
+    """``df`` with a note on how it was planned, which ``explain_text`` prints."""
+    df.plan_note = note
+    return df
+
+
 def explain_text(df: DataFrame, mode: str = "formatted") -> str:
-    """What ``df.explain`` prints, as a string."""
+    """What ``df.explain`` prints, as a string, after the note on the plan if it has one."""
     out = io.StringIO()
+    if note := getattr(df, "plan_note", None):
+        out.write(f"Chosen: {note}\n")
     with contextlib.redirect_stdout(out):
         df.explain(mode)
     return out.getvalue()

@@ -73,15 +73,15 @@ def repeated(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.selectExpr(*columns, each).drop("copy")
 
 
-def expand_copies(rows: DataFrame, chunk: int = CHUNK_COPIES, heavy: DataFrame | None = None) -> DataFrame:
+def expand_copies(rows: DataFrame, chunk: int = CHUNK_COPIES) -> DataFrame:
     """Each row as often as its column ``copies`` says, without that column.
 
     Rows of up to ``chunk`` copies are multiplied out where they are. Only rows with
     more are shuffled, while still compact, as several, so that no task writes all
-    copies of one row. ``heavy`` has at least these rows (by default all), where a plan
-    that makes fewer of the others is known.
+    copies of one row. ``rows`` is read for each of the two, so that one which is dear to
+    make is better written first.
     """
     columns = [c for c in rows.columns if c != "copies"]
-    few, many = rows.where(f"copies <= {chunk}"), (rows if heavy is None else heavy).where(f"copies > {chunk}")
+    few, many = rows.where(f"copies <= {chunk}"), rows.where(f"copies > {chunk}")
     spread = sliced(many, "copies", chunk).repartition(*columns, "slice")
     return repeated(few, *columns).unionByName(repeated(spread, *columns))
