@@ -18,7 +18,7 @@ def numbered(rows: DataFrame, *order: Column | str, name: str = "place", copies:
     of a row is the number of rows in earlier partitions, a table with a row for each
     partition, and its place in its own. The sorted rows are written to the shared folder
     once, so places hold whatever is read again. With ``copies`` each row is repeated, in
-    place, as often as that column says, which is dropped; rows that are equal in
+    place, as often as that column says (0: never), which is dropped; rows that are equal in
     ``order`` share a partition, so a row that is there very often is better sent as one
     row with its copies, cut into slices.
 
@@ -28,7 +28,7 @@ def numbered(rows: DataFrame, *order: Column | str, name: str = "place", copies:
     if order:
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     if copies is not None:
-        rows = rows.selectExpr(*columns, f"explode(sequence(1, int({copies}))) AS __copy")
+        rows = rows.where(f"{copies} > 0").selectExpr(*columns, f"explode(sequence(1, int({copies}))) AS __copy")
     rows = rows.select(*columns, F.monotonically_increasing_id().alias("__at"))
     rows = materialize(rows, "ordered").withColumn("__part", F.shiftright("__at", _WITHIN))
     parts = rows.groupBy("__part").count()
