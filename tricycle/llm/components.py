@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tricycle.plans import materialize
@@ -38,14 +38,13 @@ def components(edges: DataFrame) -> DataFrame:
     with very many links is spread by the engine, and every round is written to the
     shared folder.
     """
-    links = edges.toDF("u", "v").where("u <> v").distinct()
-    links = materialize(links, "links")
+    links, state = _written(edges.toDF("u", "v").where("u <> v").distinct())
+    if not state[0]:
+        return links.toDF("node", "component")
     # Rounds add no links, so that their tables need no more files than this.
-    files = 1 + links.count() // LINKS_IN_FILE
-    before = None
+    files, before = 1 + state[0] // LINKS_IN_FILE, None
     for _ in range(MAX_ROUNDS):
-        links = materialize(_small_star(_large_star(links)).coalesce(files), "links")
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        links, state = _written(_small_star(_large_star(links)).coalesce(files))
         if state == before:
             break
         before = state
@@ -53,3 +52,30 @@ def components(edges: DataFrame) -> DataFrame:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links in the shared folder, and their number and a sum of their hashes, which
+    are gathered while they are written.
+    """
+    observed = Observation("links")
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    written = materialize(links.observe(observed, F.count(F.lit(1)).alias("n"), total.alias("total")), "links")
+    return written, (observed.get["n"], observed.get["total"])
+
+
+def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, component)`` after further ``links`` between nodes, some of which have a
+    component in ``labels`` already: only the components that the links connect are
+    looked at anew.
+    """
+    ends = links.toDF("u", "v")
+    for end in ("u", "v"):
+        known = labels.toDF(end, "own")
+        ends = ends.join(known, end, "left").withColumn(end, F.coalesce("own", end)).drop("own")
+    moved = materialize(components(ends.select("u", "v")), "joined")
+    joined = labels.join(moved.toDF("component", "after"), "component", "left").select(
+        "node", F.coalesce("after", "component").alias("component")
+    )
+    # Nodes that had no component, or stand for one already.
+    return joined.union(moved.join(labels, "node", "left_anti"))

@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tricycle.llm.words import slices
+
+READ_TEXTS = 64  # reduced at a time
+
+
+def packed(values: np.ndarray) -> bytes:
+    """The bytes of an array, compressed, after their number."""
+    data = values.tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, "zstd", asbytes=True), kind) if size else np.empty(0, kind)
+
 
 def fold(doc_id: Column | str, folds: int) -> Column:
     """``crc32`` of the id as text, modulo ``folds``; a null id counts as empty text."""
@@ -13,27 +31,50 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_class: int) -> pd.DataFrame:
-    """``doc_id, text, lang, label`` of at most ``per_class`` documents with each label.
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    folds: int,
+    held: int,
+    per_class: int,
+    reduced: Callable[[pa.Array], Iterable[np.ndarray]],
+) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """What ``reduced`` makes of the whole texts of at most ``per_class`` documents with each
+    label, one array of a fixed type for each text: the arrays' bytes compressed
+    (``unpacked`` restores them), the labels, and the languages (null as empty).
 
     Labels of held-out documents (``fold`` is ``held``) are never looked at, nor are
     null labels; a doc_id with several labels has the largest. The sample is the
-    documents whose hashed ids are smallest, so that reruns agree, with whole texts.
-    ``lang`` is null where ``docs`` has no such column.
+    documents whose hashed ids are smallest, in order of their ids, so that reruns agree; of
+    several rows with an id the one whose array and language are smallest as bytes. The
+    language is empty where ``docs`` has no such column. Texts are reduced by the executors,
+    and no text comes to the driver.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (fold("doc_id", folds) != held))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.col(label).cast("int")).alias("label"))
     )
+    of_label = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
+    ids = F.broadcast(of_label[0].union(of_label[1]))  # at most per_class of each
+    language = F.col("lang").cast("string") if "lang" in docs.columns else F.lit("")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
-        (F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")).alias("lang"),
-    )
-    parts = []
-    for value in (0, 1):
-        ids = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        parts.append(texts.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]))  # at most per_class ids
-    found = parts[0].union(parts[1]).toPandas().sort_values("doc_id", ignore_index=True)
-    return found.assign(text=found.text.fillna(""))
+        F.coalesce(language, F.lit("")).alias("lang"),
+    ).join(ids, "doc_id")
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, READ_TEXTS):
+            if batch.num_rows:
+                found = [packed(a) for a in reduced(batch.column("text"))]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in ("doc_id", "label", "lang")), pa.array(found, pa.binary())],
+                    ["doc_id", "label", "lang", "found"],
+                )
+
+    rows = texts.mapInArrow(reduce, "doc_id long, label int, lang string, found binary")
+    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct("found", "lang")).alias("one"))
+    table = one.select("doc_id", "label", "one.found", "one.lang").toArrow().sort_by("doc_id")
+    return table["found"].to_pylist(), table["label"].to_numpy().astype(np.float64), np.array(table["lang"].to_pylist(), object)

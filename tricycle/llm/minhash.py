@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tricycle.llm.components import components
+from tricycle.llm.components import components, joined_components
 from tricycle.llm.words import mix, shingle_hashes, slices, small_batches, word_hashes
 from tricycle.plans import materialize
 
@@ -301,7 +301,7 @@ def _labelled(
     labels = materialize(components(first), "labels")
 
     second = materialize(_across(shared, groups, labels, docs, size, threshold, least, rows, block), "across")
-    return signed, members, components(first.union(second))
+    return signed, members, joined_components(labels, second)
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
