@@ -57,7 +57,7 @@ def contaminated(text, items, size=10):
             if tuple(w[k : k + n]) in windows:
                 found.update(range(k, k + n))
                 names.add(str(item))
-    return found, sorted(names)
+    return found, sorted(names - {"None"})
 
 
 class Model:

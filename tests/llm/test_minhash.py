@@ -46,6 +46,18 @@ def test_edges(edges, clashing, nothing):
     assert deduplicated(nothing).collect() == []
 
 
+@pytest.mark.parametrize("turn", range(3))
+def test_every_text_of_a_repeated_id_is_linked(docs_of, turn):
+    """Documents 20 and 30 are each near another text of document 8."""
+    texts = {name: [f"{name}{k}" for k in range(60)] for name in "abc"}
+    near = {name: " ".join(w[:-1] + ["changed"]) for name, w in texts.items()}
+    rows = [(8, " ".join(texts["a"])), (8, " ".join(texts["b"])), (20, near["a"]), (30, near["b"]), (8, " ".join(texts["c"])), (5, near["c"]), (40, "else")]
+    rows = [(i, t, "en", "s") for i, t in rows]
+    found = near_duplicates(docs_of(rows[turn:] + rows[:turn])).collect()
+    assert {r.doc_id: r.component_id for r in found} == {5: 5, 8: 5, 20: 5, 30: 5, 40: 40}
+    assert {r.component_id for r in near_duplicates(docs_of([r for r in rows if r[0] in (8, 20, 30)])).collect()} == {8}
+
+
 def test_one_row_of_each_group_stays(edges):
     kept = deduplicated(edges)
     assert kept.columns == edges.columns

@@ -39,16 +39,16 @@ def _keys(docs: DataFrame) -> DataFrame:
     )
 
 
-def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS, unnamed: bool = False) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """``(hash, words, window, items)``: each distinct window of ``size`` words, or of
-    all words of a shorter item, with the ids of its items. Windows of items with a null
-    id, which add no id, are there if ``unnamed``.
+    all words of a shorter item, with the ids of its items; an item with a null id adds
+    its windows, but no id.
     """
     words = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), benchmark_words(F.col("text").cast("string")).alias("w")
     )
     return (
-        words.where("size(w) > 0" if unnamed else "item_id IS NOT NULL AND size(w) > 0")
+        words.where("size(w) > 0")
         .select("item_id", F.explode(F.expr(f"transform(sequence(0, greatest(size(w) - {size}, 0)), i -> slice(w, i + 1, {size}))")).alias("window"))
         .groupBy("window")
         .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
@@ -76,12 +76,10 @@ def _hits(rows: DataFrame, windows: DataFrame, words: int) -> DataFrame:
     return probes.join(windows.where(f"words = {words}").drop("words"), "hash").drop("hash")
 
 
-def _scanned(
-    docs: DataFrame, benchmark: DataFrame, size: int, broadcast_windows: int, unnamed: bool = False
-) -> DataFrame:
+def _scanned(docs: DataFrame, benchmark: DataFrame, size: int, broadcast_windows: int) -> DataFrame:
     """``(doc, n_words, items, spans)`` for each row of ``docs``."""
     rows = _keys(docs)
-    windows = benchmark_windows(benchmark, size, unnamed)
+    windows = benchmark_windows(benchmark, size)
     sizes = windows.groupBy("words").count().collect()  # at most one row for each size up to ``size``
     if sum(x["count"] for x in sizes) <= broadcast_windows:
         windows = F.broadcast(windows)
@@ -126,9 +124,9 @@ def contamination(
     ``cleaned`` the text without hit words and the gaps behind them.
 
     Null and empty texts have no words, and ``cleaned`` stays null for a null text.
-    Repeated rows give as many equal rows; a null doc_id is a row of its own. Items
-    with a null id or without words are ignored; an item_id that occurs several times
-    counts once. Empty tables and further columns do no harm.
+    Repeated rows give as many equal rows; a null doc_id is a row of its own. Words
+    that items with a null id share are hit, but such items are not among ``items``; items
+    without words are ignored; an item_id that occurs several times counts once. Empty tables and further columns do no harm.
     """
     return _scanned(docs.select("doc_id", "text"), benchmark, size, broadcast_windows).select(
         F.col("doc.doc_id").cast("long").alias("doc_id"),
@@ -146,7 +144,7 @@ def decontaminated(
     """``docs`` without the rows in which a window of an item occurs, with an id or
     without; all columns stay.
     """
-    return _scanned(docs, benchmark, size, broadcast_windows, unnamed=True).where("size(spans) = 0").select("doc.*")
+    return _scanned(docs, benchmark, size, broadcast_windows).where("size(spans) = 0").select("doc.*")
 
 
 def _without(text: str, spans: str) -> Column:

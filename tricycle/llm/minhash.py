@@ -56,12 +56,20 @@ def signature(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) ->
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def _digest(shingles: np.ndarray) -> tuple[int | None, int | None]:
+    """128 bits that tell different sets apart; null for the empty set."""
+    if not len(shingles):
+        return None, None
+    return tuple(
+        int(mix(shingles ^ np.uint64(salt)).sum(dtype=np.uint64).astype(np.int64)) for salt in (0, 0xA5A5A5A5A5A5A5A5)
+    )
+
+
 def _sign(batches: Iterator[pa.RecordBatch], size: int, count: int) -> Iterator[pa.RecordBatch]:
     functions = universal_functions(count)
     for batch in slices(batches):
         sets = shingle_hashes(*word_hashes(batch.column("text")), size)
-        high = [int(mix(s).sum(dtype=np.uint64).astype(np.int64)) if len(s) else None for s in sets]
-        low = [int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else None for s in sets]
+        high, low = zip(*map(_digest, sets), strict=True) if sets else ((), ())
         signed = [signature(s, functions).tobytes() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
@@ -123,19 +131,25 @@ def _likely(pairs: DataFrame, groups: DataFrame, least: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(share("one", "two") >= least).select("a", "b")
 
 
-def _shingle_sets(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """``(node, shingles)``: the sorted shingle hashes of each node, 8 bytes each."""
-    nodes = materialize(nodes.distinct(), "nodes")
+def _shingle_sets(nodes: DataFrame, groups: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """``(node, shingles)``: the sorted shingle hashes of each node, 8 bytes each, from the
+    texts of its smallest document; of several such texts from those with the node's set.
+    """
+    nodes = materialize(groups.select("node", "doc_id", "high", "low").join(nodes.distinct(), "node", "left_semi"), "nodes")
     lookup = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
 
     def sets(batches):
         for batch in slices(batches):
-            found = [s.tobytes() for s in shingle_hashes(*word_hashes(batch.column("text")), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
+            found = shingle_hashes(*word_hashes(batch.column("text")), size)
+            wanted = zip(batch.column("high").to_pylist(), batch.column("low").to_pylist(), strict=True)
+            own = pa.array([_digest(s) == w for s, w in zip(found, wanted, strict=True)], pa.bool_())
+            packed = pa.array([s.tobytes() for s in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), packed], ["node", "shingles"]).filter(own)
 
     full = (
-        docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-        .join(lookup, "node", "left_semi")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        .join(lookup, "doc_id")
+        .select("node", "high", "low", "text")
         .mapInArrow(sets, "node long, shingles binary")
         .dropDuplicates(["node"])
     )
@@ -150,9 +164,9 @@ def linked_sets(one: np.ndarray, two: np.ndarray, threshold: int) -> bool:
     return 100 * shared >= threshold * (len(one) + len(two) - shared)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, groups: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
     """Pairs ``(a, b)`` whose full shingle sets are linked."""
-    full = _shingle_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), docs, size)
+    full = _shingle_sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), groups, docs, size)
 
     def check(one: pd.Series, two: pd.Series) -> pd.Series:
         both = zip(one, two, strict=True)
@@ -195,7 +209,7 @@ def _across(
         .select("bucket", F.expr(f"int(1 + (n - 1) div {block})").alias("blocks"))
     )
     member = materialize(member.join(mixed, "bucket"), "mixed")
-    full = _shingle_sets(member.select("node"), docs, size)
+    full = _shingle_sets(member.select("node"), groups, docs, size)
     cells = (
         member.join(groups.select("node", "signature"), "node")
         .join(full, "node")
@@ -249,7 +263,8 @@ def near_duplicates(
 
     Null, empty and blank texts have no shingles, are linked with nothing and kept.
     A text of fewer than ``size`` words is one shingle. Rows with the same doc_id are
-    one document to the links and are all returned. A null doc_id is linked with
+    one document to the links, which is linked by the texts of all of them, and are all
+    returned. A null doc_id is linked with
     nothing: its component is null and it is kept. Other columns are ignored; an
     empty table gives an empty result.
     """
@@ -270,14 +285,31 @@ def near_duplicates(
     )
 
 
+def _with_nodes(groups: DataFrame) -> DataFrame:
+    """The distinct sets with a number ``node`` of their own: the smallest id of a document
+    that has the set or, of several sets with the same smallest document, for all but one
+    a number above all ids. These are linked with the document's other sets, so that they
+    are never the smallest node of a component.
+    """
+    sets = F.struct("high", "low")
+    several = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min(sets).alias("first")).where("n > 1")
+    others = groups.select("doc_id", "high", "low").join(several, "doc_id").where(sets != F.col("first"))
+    above = groups.agg(F.max("doc_id")).first()[0]
+    numbers = materialize(others.select("high", "low", F.monotonically_increasing_id().alias("number")), "other-sets")
+    if numbers.isEmpty():
+        return groups.withColumn("node", F.col("doc_id"))
+    own = F.coalesce(F.col("number") + F.lit(above) + 1, F.col("doc_id"))
+    return materialize(groups.join(numbers, ["high", "low"], "left").withColumn("node", own).drop("number"), "groups")
+
+
 def _labelled(
     docs: DataFrame, threshold: int, size: int, bands: int, rows: int, margin: float, block: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signatures of the documents, nodes of their sets, and components of the nodes."""
     signed = materialize(signatures(docs, size, bands * rows), "signatures")
     linked = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
-    folded = linked.groupBy("high", "low").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
-    groups = materialize(folded, "groups")
+    folded = linked.groupBy("high", "low").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
+    groups = _with_nodes(materialize(folded, "groups"))
     least = threshold / 100 - margin
 
     keys = materialize(band_keys(groups, bands, rows), "bands")
@@ -292,12 +324,15 @@ def _labelled(
     )
     same = (
         linked.join(repeated.select("doc_id"), "doc_id", "left_semi").join(members, ["high", "low"])
-        .select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+        .select("doc_id", "node").distinct()
     )
+    # A star around the smallest of a document's sets, whose node is its id or a smaller one.
+    centre = same.groupBy("doc_id").agg(F.min("node").alias("a"))
+    same = same.join(centre, "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
 
     close = shared.where("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     likely = materialize(_likely(close, groups, least), "likely")
-    first = materialize(_confirmed(likely, docs, size, threshold).union(same), "confirmed")
+    first = materialize(_confirmed(likely, groups, docs, size, threshold).union(same), "confirmed")
     labels = materialize(components(first), "labels")
 
     second = materialize(_across(shared, groups, labels, docs, size, threshold, least, rows, block), "across")

@@ -25,7 +25,7 @@ def decontamination(words: int = 10) -> str:
     found = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, {found} AS w FROM documents),
-    b AS (SELECT CAST(item_id AS VARCHAR) AS item, {found} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item, {found} AS w FROM benchmark),
     bs AS (SELECT item, w, least(len(w), {words}) AS k FROM b WHERE len(w) > 0),
     bw AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS win
         FROM (SELECT item, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM bs)),
@@ -35,7 +35,7 @@ def decontamination(words: int = 10) -> str:
     h AS (SELECT r, i, dw.k, item FROM dw JOIN bw ON bw.win = dw.win AND bw.k = dw.k),
     n AS (SELECT r, count(DISTINCT p) AS n_hit
         FROM (SELECT r, unnest(generate_series(i, i + k - 1)) AS p FROM h) GROUP BY r),
-    t AS (SELECT r, list_sort(list(DISTINCT item)) AS items FROM h GROUP BY r)
+    t AS (SELECT r, list_sort(list(DISTINCT item) FILTER (item IS NOT NULL)) AS items FROM h GROUP BY r)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
         CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
         sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
