@@ -24,6 +24,7 @@ MAX_ID = {"events": 49, "orders": 700}
 SMALL = {"cell_rows": 50, "limit": 60}
 RANKED = {"plain_paths": 0}  # cycles from nodes of lowest degree, however small the graph
 SMALL_BLOCK = 7
+BUCKETS = 8  # of stored two-paths
 TEXT_SEP = "\t\t :"  # key/value separator of the text count sink
 
 
@@ -105,6 +106,19 @@ def _stored_two_paths(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return tc.closing_counts(tc.read_two_paths(spark, path), edges).where("n_edges > 0 AND n_paths > 0")
 
 
+def _bucketed_two_paths(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    path = shared_path(spark, "two-paths")
+    tc.write_two_paths(tc.two_paths(edges), path, buckets=BUCKETS)
+    return tc.bucketed_closing_counts(tc.read_two_paths(spark, path, buckets=BUCKETS), edges)
+
+
+def _prepared_counts(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """Two counts of one prepared graph, one by plain joins and one by degree."""
+    graph = tc.prepare_graph(edges)
+    bag = tc.triangle_count(graph, "bag").selectExpr("'bag' AS semantics", "*")
+    return bag.unionByName(tc.triangle_count(graph, "semi", plain_paths=0).selectExpr("'semi' AS semantics", "*"))
+
+
 def _closed_given_paths(spark: SparkSession, edges: DataFrame, how: str) -> DataFrame:
     return tc.close_two_paths(tc.two_paths(edges), edges, how)
 
@@ -153,6 +167,8 @@ ON_EDGES: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     "given_paths_closed_split": lambda s, e: tc.close_two_paths(tc.two_paths(e), e, "bag", limit=60),
     "stored_two_paths_count": partial(_stored_count, how="semi"),
     "stored_two_paths_count_bag": partial(_stored_count, how="bag"),
+    "stored_two_paths_bucketed": _bucketed_two_paths,
+    "prepared_graph_counts": _prepared_counts,
     "two_path_count": lambda s, e: tc.two_path_count(e),
     "stored_two_paths_closed": _stored_two_paths,
     "given_paths_closed_semi": partial(_closed_given_paths, how="semi"),
@@ -284,6 +300,10 @@ SQL_ON_EDGES = {
         SELECT a.follower AS x, b.follower AS y, c.follower AS z {CYCLES}""",
 }
 SQL_ON_EDGES["cycle_list_split"] = SQL_ON_EDGES["cycle_list"]
+SQL_ON_EDGES["stored_two_paths_bucketed"] = SQL_ON_EDGES["stored_two_paths_closed"]
+SQL_ON_EDGES["prepared_graph_counts"] = (
+    f"SELECT 'bag' AS semantics, * FROM ({BAG_TOTAL}) UNION ALL SELECT 'semi' AS semantics, * FROM ({SEMI_TOTAL})"
+)
 
 SQL_FILTERED_BY_ID = {
     "induced_subgraph": FILTERED + ' SELECT follower, "user" FROM e',

@@ -170,3 +170,17 @@ def test_a_prepared_graph_is_read_in_place_of_its_edges(stored):
     assert "/edges" not in plans and "/graph-" in plans
     small = tc.prepare_graph(stored, max_id=20)
     assert tuple(tc.triangle_count(small, "walk").first()) == tuple(tc.triangle_count(tc.induced_subgraph(stored, 20), "walk").first())
+
+
+def test_bucketed_paths_are_closed_without_a_shuffle(spark, stored, tmp_path):
+    path = str(tmp_path / "it's bucketed")
+    tc.write_two_paths(tc.two_paths(stored), path, buckets=5)
+    ends = tc.read_two_paths(spark, path, buckets=5)
+    closed = tc.bucketed_closing_counts(ends, stored)
+    plan = tc.explain_text(closed, "simple")
+    edges_side = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert "Bucketed: true" in plan and set(edges_side) == {"follower"}, plan
+    expected = tc.closing_counts(tc.two_paths(stored).select("z", "x"), stored).where("n_edges > 0 AND n_paths > 0")
+    assert graphs.bag(closed) == graphs.bag(expected.select(closed.columns))
+    with pytest.raises(Exception, match="(?i)exist|empty"):
+        tc.write_two_paths(tc.two_paths(stored), path, buckets=5)

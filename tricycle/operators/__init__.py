@@ -6,13 +6,21 @@ from tricycle.operators.graph import Graph, prepare_graph
 from tricycle.operators.pairs import pair_table, weighted_edges
 from tricycle.operators.subgraph import induced_subgraph, prepare_edges
 from tricycle.operators.triangles import SEMANTICS, triangle_count
-from tricycle.operators.two_paths import close_two_paths, closing_counts, stored_path_count, two_path_count, two_paths
+from tricycle.operators.two_paths import (
+    bucketed_closing_counts,
+    close_two_paths,
+    closing_counts,
+    stored_path_count,
+    two_path_count,
+    two_paths,
+)
 
 __all__ = [
     "SEMANTICS",
     "Graph",
     "adjacency",
     "adjacency_edges",
+    "bucketed_closing_counts",
     "close_two_paths",
     "closed_paths_bag",
     "closed_paths_semi",

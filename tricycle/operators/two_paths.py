@@ -110,6 +110,16 @@ def stored_path_count(path_ends: DataFrame, edges: DataFrame, how: str = "semi")
     return total.selectExpr("closed_paths", f"{third('closed_paths')} AS triangles")
 
 
+def bucketed_closing_counts(path_ends: DataFrame, edges: DataFrame) -> DataFrame:
+    """``closing_counts`` of the closed pairs only, for ends that are stored in buckets by
+    ``(z, x)``: they are counted and joined where they are, and only the edges, folded
+    before, are shuffled to them. A pair is one row on both sides of the join.
+    """
+    ends = path_ends.groupBy("z", "x").agg(F.expr("count(*) AS n_paths"))
+    closing = weighted_edges(edges).toDF("z", "x", "n_edges")
+    return ends.join(closing, ["z", "x"]).select("z", "x", "n_edges", "n_paths")
+
+
 def closing_counts(path_ends: DataFrame, edges: DataFrame) -> DataFrame:
     """``(z, x, n_edges, n_paths)``: edges z→x and two-paths from x to z, per pair.
 

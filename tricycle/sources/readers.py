@@ -9,6 +9,8 @@ under ``FAILFAST``, also where a query reads only the good fields.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,18 @@ def read_nodes(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> Data
     return parsed_lines(spark.read.text(path), ("user",), mode)
 
 
-def read_two_paths(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
-    """Stored two-path ends ``(z, x)``, in text form ``z,x`` per line."""
+def read_two_paths(
+    spark: SparkSession, path: str, mode: str = "PERMISSIVE", buckets: int | None = None
+) -> DataFrame:
+    """Stored two-path ends ``(z, x)``, in text form ``z,x`` per line, or with ``buckets`` in
+    so many Parquet buckets. Those become a table of the session's catalog.
+    """
+    if buckets is not None:
+        name = f"two_paths_{uuid.uuid4().hex}"
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {name} (z LONG, x LONG) USING parquet CLUSTERED BY (z, x) SORTED BY (z, x)"
+            f" INTO {int(buckets)} BUCKETS LOCATION '{location}'"
+        )
+        return spark.table(name)
     return parsed_lines(spark.read.text(path), ("z", "x"), mode)

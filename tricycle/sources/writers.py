@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,19 @@ def write_counts(
         df.select(F.concat_ws(sep, *fields).alias("value")).write.mode(mode).text(path)
 
 
-def write_two_paths(paths: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Keep a two-path table as text lines ``z,x``: a line equals its closing edge."""
-    write_counts(paths.select("z", "x"), path, "csv", mode=mode)
+def write_two_paths(
+    paths: DataFrame, path: str, mode: str = "errorifexists", buckets: int | None = None
+) -> None:
+    """Keep a two-path table as text lines ``z,x``: a line equals its closing edge.
+
+    With ``buckets`` the ends are kept as Parquet in so many buckets by ``(z, x)``, so that
+    closing them later shuffles the edges only. Read them with the same number of buckets.
+    They are shuffled once here, so that a bucket is one file.
+    """
+    ends = paths.select("z", "x")
+    if buckets is None:
+        write_counts(ends, path, "csv", mode=mode)
+        return
+    ends = ends.repartition(buckets, "z", "x")
+    writer = ends.write.mode(mode).format("parquet").bucketBy(buckets, "z", "x").sortBy("z", "x")
+    writer.option("path", path).saveAsTable(f"two_paths_{uuid.uuid4().hex}")
