@@ -8,6 +8,7 @@ Nodes are the customers.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from functools import partial
 from types import ModuleType
@@ -365,9 +366,9 @@ def _text_queries() -> ModuleType | None:
     try:
         from tricycle.llm import registered
     except ModuleNotFoundError as missing:
-        if missing.name and missing.name.startswith(("tricycle.llm", "corpus_pipeline")):
-            return None
-        raise
+        if not (missing.name or "").startswith(("tricycle.llm", "corpus_pipeline")):
+            warnings.warn(f"without the text queries, as a package that they need is not there: {missing}", stacklevel=2)
+        return None
     return registered
 
 

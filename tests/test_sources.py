@@ -1,3 +1,5 @@
+import subprocess
+import sys
 from collections import Counter
 from types import SimpleNamespace
 
@@ -107,7 +109,7 @@ def test_shared_path_follows_the_session():
     def session(**settings):
         return SimpleNamespace(
             conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
-            sparkContext=SimpleNamespace(applicationId="app-1"),
+            sparkContext=SimpleNamespace(master="local[2]", applicationId="app-1"),
         )
 
     named = session(**{"spark.checkpoint.dir": "hdfs:///shared/"})
@@ -122,3 +124,20 @@ def test_text_sorted_within_files(spark, edges_of, tmp_path):
     tc.write_counts(tc.follower_count(edges_of(graphs.TRI10)).coalesce(1), path, "text", order_by="user")
     users = [int(r.value.split(",")[0]) for r in spark.read.text(path).collect()]
     assert users == sorted(users)
+
+
+def test_a_local_warehouse_is_no_shared_folder_of_a_cluster():
+    from tricycle.plans.shared import _fallback
+
+    assert _fallback("file:/tmp/warehouse", "local[8]") == "file:/tmp/warehouse/shared"
+    assert _fallback("hdfs://host/warehouse/", "yarn") == "hdfs://host/warehouse/shared"
+    for warehouse in ("file:/tmp/warehouse", "/tmp/warehouse"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            _fallback(warehouse, "spark://host:7077")
+
+
+@pytest.mark.parametrize("package", ["xxhash", "numpy"])
+def test_graph_queries_do_without_the_packages_of_text_queries(package):
+    code = f"import sys; sys.modules['{package}'] = None; import __spark_entry__ as e; print(len(e.queries()) == len(e.graph_queries()))"
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
+    assert found.stdout.strip() == "True", found.stderr

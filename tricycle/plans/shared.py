@@ -9,14 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, or where it is unset a folder in the session's
-    warehouse, which the executors share as well.
+    warehouse. On a cluster a warehouse on a machine's own disk is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
+        warehouse, master = spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master
+        folder = _fallback(warehouse, master)
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def _fallback(warehouse: str, master: str) -> str:
+    one_machine = master == "local" or master.startswith("local[")
+    if not one_machine and (warehouse.startswith("file:") or "://" not in warehouse):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse.rstrip('/')}/shared"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, under a folder of this application."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
