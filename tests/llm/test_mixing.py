@@ -1,10 +1,11 @@
+import hashlib
 import random
 
 import pytest
 from brute import words
 from conftest import EDGES
 
-from tricycle.llm.mixing import mixed, sampled_mix, source_targets
+from tricycle.llm.mixing import _planned, mixed, sampled_mix, source_targets
 
 
 def targets(sizes, weights=(5, 2, 1), share=1.5, limit=2):
@@ -41,6 +42,64 @@ def test_targets_and_taken_words(docs_of, slices):
     assert again == {k: r.taken for k, r in found.items()}
 
 
+def expected(sizes, target, limit=2):
+    """Copies in proportion to bit lengths, up to the limit, that make the target."""
+    low, high = 0.0, float(limit)
+    for _ in range(200):
+        level = (low + high) / 2
+        made = sum(n * min(limit, level * max(1, n.bit_length())) for n in sizes)
+        low, high = (level, high) if made < target else (low, level)
+    return lambda n: min(limit, level * max(1, n.bit_length()))
+
+
+def number(doc_id):
+    return (int(hashlib.md5(f"{doc_id}:".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+
+
+@pytest.mark.parametrize("slices", [4096, 3])
+def test_documents_have_probabilities_of_their_own(docs_of, slices):
+    rng = random.Random(5)
+    rows = [(k, " ".join(["w"] * int(2 ** rng.uniform(0, 9))), "en", rng.choice("aaabb")) for k in range(1200)]
+    found = {r.doc_id: r for r in _planned(docs_of(rows), (5, 2, 1), 1.5, 2.0, slices).collect()}
+    by_rank = {}
+    for source in "ab":
+        own = {i: len(words(t)) for i, t, _, s in rows if s == source}
+        target = found[min(own)].target
+        copies = expected(own.values(), target)
+        odds, rest = {}, target
+        for i, n in own.items():
+            whole = int(copies(n) + 1e-9)
+            p = copies(n) - whole
+            assert (found[i].certain, found[i].p) == (whole, pytest.approx(p, abs=1e-9))
+            rest -= whole * n
+            if p > 1e-9:
+                odds[i] = number(i) / (1 - number(i)) / (p / (1 - p))
+        assert len({round(found[i].p, 6) for i in odds}) > 3  # unequal
+        taken, ranked = set(), sorted(odds, key=odds.get)
+        for i in ranked:
+            if own[i] - rest > rest:
+                break
+            taken.add(i)
+            rest -= own[i]
+        assert {i for i in own if found[i].copies > found[i].certain} == taken
+        by_rank[source] = ranked
+    assert any(order != sorted(order, key=number) for order in by_rank.values())
+
+
+def test_longer_documents_are_likelier(docs_of):
+    rows = [(k, " ".join(["w"] * (4 if k % 2 else 400)), "en", "a") for k in range(3000)]
+    mix = sampled_mix(docs_of(rows), share=0.5).collect()
+    short, long = (sum(r.copies for r in mix if r.size == n) for n in (4, 400))
+    assert short / long == pytest.approx(3 / 9, rel=0.15)  # bit lengths
+
+
+def test_rows_of_one_id_and_different_texts(docs_of):
+    rows = [(k // 2, " ".join(["w"] * (3 if k % 2 else 300)), "en", "a") for k in range(200)]
+    table = docs_of(rows)
+    plan = sorted((r.doc_id, r.size, r.copies) for r in sampled_mix(table, share=0.7).collect() if r.copies)
+    assert plan == sorted((r.doc_id, r.size, r.copies) for r in mixed(table, share=0.7).collect())
+
+
 def test_edges(edges, clashing, nothing):
     for table in (edges, clashing):
         found = sampled_mix(table).collect()

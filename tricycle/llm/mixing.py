@@ -1,12 +1,17 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Each source gets a target of words. Every document first gets the whole copies that
-are certain; for the fraction that is left, documents are ranked by the random odds
-``u / (1 - u)`` divided by the inclusion odds ``p / (1 - p)``, and taken in that
-order up to the number of words that is left. DataFrame functions only.
+Each source gets a target of words. A document's expected copies are in proportion to
+its measure, the bit length of its number of words, so that longer documents are
+likelier; they stop at the limit and add up to the target. Every document first gets
+the whole copies that are certain; for the fraction ``p`` that is left, documents are
+ranked by the random odds ``u / (1 - u)`` divided by the inclusion odds ``p / (1 - p)``,
+and taken in that order up to the number of words that is left. DataFrame functions
+only.
 
 No source is sorted in one task: ranks are cut into slices whose word sums are
-prefix-summed, and only a slice in which a source's target falls is sorted.
+prefix-summed, and only a slice in which a source's target falls is sorted. The cut of
+a Pareto sample is where both odds are about equal, and there a slice of ranks has at
+most its even share of rows, whatever the probabilities are.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2.0
 SLICES = 4096  # of a source's ranks, at each of the two levels
+# The measure that expected copies are in proportion to: a whole number from 1 to 64.
+MEASURE = "length(bin(size))"
 # Sources whose table of a few numbers each is broadcast; beyond it joins are shuffled.
 BROADCAST_SOURCES = 100_000
 
@@ -80,6 +87,30 @@ def source_targets(
     return ranked.withColumn("target", F.least(limit * F.col("source_size"), F.col("weight") * level))
 
 
+def expected_copies(classes: DataFrame, limit: float = LIMIT) -> DataFrame:
+    """``classes``, rows ``(source, measure, words, target)``, with ``expected`` copies.
+
+    These are ``level * measure`` up to ``limit``, with a level for each source at which
+    its words times expected copies are its target. Measures are few, so a source is a
+    few rows: the largest measures are full, and the level is that of the first which is
+    not, by sums over the measures above and below it.
+    """
+    source = ["source"]
+    above = Window.partitionBy(*source).orderBy(F.col("measure").desc())
+    below = Window.partitionBy(*source).orderBy("measure")
+    full = F.sum("words").over(above) - F.col("words")
+    rest = F.sum(F.col("measure") * F.col("words")).over(below)
+    level = (F.col("target") - F.lit(limit) * full) / F.nullif(rest, F.lit(0))
+    fits = F.when(F.col("level") * F.col("measure") <= limit, F.col("measure"))
+    return (
+        classes.withColumn("level", level)
+        .withColumn("level", F.max_by("level", fits).over(Window.partitionBy(*source)))
+        .withColumn("level", F.expr("if(target > 0, coalesce(level, double('inf')), 0D)"))
+        .withColumn("expected", F.least(F.lit(limit), F.col("level") * F.col("measure")))
+        .drop("level")
+    )
+
+
 def sampled_mix(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -94,10 +125,10 @@ def sampled_mix(
     the words of these copies. A source's taken words come as near to its target as
     its last document allows; no document has more than ``limit`` copies, rounded up.
 
-    Null texts and texts without words have size 0, take no words and are kept once
-    for each certain copy. A null source is a source of its own, a null doc_id is
-    ranked by its text. Repeated rows are ranked alike and told apart by nothing: of
-    those at the cut all or, if they are more than half over, none are taken. Further
+    Null texts and texts without words have size 0 and the least measure, and take no
+    words. A null source is a source of its own, a null doc_id is ranked by its text.
+    Rows equal in id and size are ranked alike and told apart by nothing: of those at
+    the cut all or, if they are more than half over, none are taken. Further
     columns are ignored; an empty table gives an empty result.
     """
     return _planned(docs, weights, share, limit, slices).select(
@@ -114,27 +145,35 @@ def _planned(docs: DataFrame, weights: tuple[float, ...], share: float, limit: f
         unit_hash(F.col("doc_id").cast("string"), F.when(F.col("doc_id").isNull(), F.col("text").cast("string"))).alias("u"),
     )
     rows = materialize(rows, "sizes")
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = materialize(source_targets(sources, weights, share, limit), "targets")
-    # A table with a row for each source joins rows of which one source may have a third.
+    rows = rows.withColumn("measure", F.expr(MEASURE))
+    classes = materialize(rows.groupBy("source", "measure").agg(F.sum("size").alias("words")), "measures")
+    sources = classes.groupBy("source").agg(F.sum("words").alias("source_size"))
+    targets = source_targets(sources, weights, share, limit)
+    # A table with a few rows for each source joins rows of which one source may have a third.
     lookup = F.broadcast if targets.count() <= BROADCAST_SOURCES else (lambda table: table)
-    targets = targets.select(
+    targets = classes.join(
+        targets.withColumnRenamed("source", "other"), F.col("source").eqNullSafe(F.col("other"))
+    ).drop("other")
+    targets = expected_copies(targets, limit).withColumn("certain", F.expr("floor(expected)"))
+    left = "target - sum(certain * words) OVER (PARTITION BY source)"
+    targets = materialize(targets.withColumn("left", F.expr(left)), "targets").select(
         F.coalesce("source", F.lit("")).alias("name"),
         F.col("source").isNull().alias("unnamed"),
+        "measure",
         "source_size",
         "target",
-        F.expr("coalesce(floor(target / nullif(source_size, 0)), 0L)").alias("certain"),
+        "certain",
+        "left",
+        F.expr("expected - certain").alias("p"),
     )
-    p = "(target - certain * source_size) / nullif(source_size, 0)"
     ranked = (
         rows.withColumns({"name": F.coalesce("source", F.lit("")), "unnamed": F.col("source").isNull()})
-        .join(lookup(targets), ["name", "unnamed"])
-        .withColumn("left", F.expr("target - certain * source_size"))
-        .withColumn("p", F.expr(f"coalesce({p}, 0D)"))
+        .join(lookup(targets), ["name", "unnamed", "measure"])
         .withColumn("q", F.expr("if(p > 0, (u / (1 - u)) / (p / (1 - p)), double('inf'))"))
-        # q * p / (1 - p) is the odds of u again: an even spread over the slices.
-        .withColumn("slice", F.expr(f"int(u * {slices})"))
-        .withColumn("part", F.expr(f"int((u * {slices} - slice) * {slices})"))
+        .withColumn("place", F.expr(f"if(p > 0, q / (1 + q), 1D) * {slices}"))
+        .withColumn("slice", F.expr(f"least(int(place), {slices - 1})"))
+        .withColumn("part", F.expr(f"least(int((place - slice) * {slices}), {slices - 1})"))
+        .drop("place")
     )
     ranked = materialize(ranked.drop("name", "unnamed"), "ranked")
     source = [F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("unnamed")]
@@ -192,11 +231,14 @@ def mixed(
             F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("id"),
             unit_hash(F.col(doc_id).cast("string"), F.when(F.col(doc_id).isNull(), F.col(text).cast("string"))).alias("u"),
             F.coalesce(F.col(doc_id.replace("doc_id", "source")).cast("string"), F.lit("")).alias("name"),
+            F.col(doc_id.replace("doc_id", "source")).isNull().alias("unnamed"),
+            word_count(F.col(text).cast("string")).alias("size"),
         ]
 
     own = [F.col(f"doc.{c}").alias(c) for c in docs.columns if c.lower() not in ("copies", "size", "taken")]
     rows = docs.select(F.struct("*").alias("doc")).select(*keys("doc.doc_id", "doc.text"), "doc")
     plan = _planned(docs, weights, share, limit, SLICES).where("copies > 0").select(
-        F.coalesce("doc_id", F.lit(0)).alias("id"), "u", "name", "copies", "size", "taken"
+        F.coalesce("doc_id", F.lit(0)).alias("id"), "u", "name", "unnamed", "size", "copies", "taken"
     )
-    return rows.join(plan.dropDuplicates(["id", "u", "name"]), ["id", "u", "name"]).select(*own, "copies", "size", "taken")
+    by = ["id", "u", "name", "unnamed", "size"]
+    return rows.join(plan.dropDuplicates(by), by).select(*own, "copies", "size", "taken")

@@ -57,10 +57,16 @@ def mixing() -> str:
     l AS (SELECT arg_min((wanted - 2.0::DOUBLE * inside) / rest, fills) AS level FROM c WHERE (wanted - 2.0::DOUBLE * inside) / rest <= fills),
     t AS (SELECT source, source_size,
             least(2.0::DOUBLE * source_size, weight * coalesce((SELECT level FROM l), 'inf'::DOUBLE)) AS target FROM f),
-    x AS (SELECT d.*, source_size, target, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS certain
-        FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-    p AS (SELECT *, target - certain * source_size AS remains,
-            coalesce((target - certain * source_size) / nullif(source_size, 0), 0) AS p FROM x),
+    k AS (SELECT source, length(bin(size)) AS measure, sum(size)::BIGINT AS words FROM d GROUP BY ALL),
+    m AS (SELECT k.*, source_size, target,
+            (target - 2.0::DOUBLE * (sum(words) OVER (PARTITION BY k.source ORDER BY measure DESC) - words)::BIGINT)
+                / nullif((sum(measure * words) OVER (PARTITION BY k.source ORDER BY measure))::BIGINT, 0) AS level
+        FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source),
+    v AS (SELECT * EXCLUDE (level), CASE WHEN target > 0 THEN least(2.0::DOUBLE, measure * coalesce(
+            arg_max(level, measure) FILTER (level * measure <= 2) OVER (PARTITION BY source), 'inf'::DOUBLE)) ELSE 0 END AS expected FROM m),
+    x AS (SELECT *, floor(expected)::BIGINT AS certain, expected - floor(expected)::BIGINT AS p FROM v),
+    y AS (SELECT *, target - (sum(certain * words) OVER (PARTITION BY source))::BIGINT AS remains FROM x),
+    p AS (SELECT d.*, y.* EXCLUDE (source) FROM d JOIN y ON d.source IS NOT DISTINCT FROM y.source AND length(bin(size)) = measure),
     q AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) ELSE 'inf'::DOUBLE END AS q FROM p),
     s AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q)::BIGINT AS until,
             sum(size) OVER (PARTITION BY source, q)::BIGINT AS tied FROM q)
