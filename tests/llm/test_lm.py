@@ -1,11 +1,12 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 from brute import Model, words
 from conftest import EDGES
 
-from tricycle.llm.lm import STRENGTH, held_out, language_scores
+from tricycle.llm.lm import STRENGTH, _packed, _packed_keys, _unpacked, _unpacked_keys, held_out, language_scores
 
 
 def held(doc_id):
@@ -33,6 +34,32 @@ def test_equals_brute_force(docs_of, order):
     assert {r.train_tokens for r in found} == {model.total}
 
 
+@pytest.mark.parametrize("bits", [1, 7, 20])
+def test_keys_and_counts_travel_whole(bits):
+    rng = np.random.default_rng(bits)
+    for part in (0, (1 << bits) - 1):
+        low = part << (64 - bits)
+        keys = rng.integers(0, 1 << (64 - bits), 1_500_000, np.uint64) + np.uint64(low)
+        near = keys[:1000] ^ np.uint64(1)  # alike but for the last bit
+        ends = np.array([low, low + (1 << (64 - bits)) - 1], np.uint64)
+        for some in (np.unique(np.concatenate([keys, near, ends])), ends, keys[:1], keys[:0]):
+            assert np.array_equal(_unpacked_keys(_packed_keys(some, part, bits), part, bits), some)
+    for counts in ([], [0, 0], [1, 255], [256, 0], [2**40, 3], [2**63]):
+        assert _unpacked(_packed(np.array(counts, np.uint64))).tolist() == counts
+
+
+def test_a_million_bigrams_in_one_part(docs_of):
+    rng = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(20_000)]
+    rows = [(k, " ".join(rng.choices(vocabulary, k=30_000)), "en", "s") for k in range(96)]
+    model = Model([r[1] for r in rows if not held(r[0])], 2, STRENGTH)
+    assert len(model.counts[1]) > 2_000_000  # and the least number of parts is two
+    found = {r.doc_id: r for r in language_scores(docs_of(rows), held_out(), 2, bucket_bytes=1 << 30).collect()}
+    some = [k for k, *_ in rows if held(k)][:2] + [k for k, *_ in rows if not held(k)][:2]
+    for k in some:
+        assert found[k].score == pytest.approx(model.score(rows[k][1]), rel=1e-9)
+
+
 def test_probabilities_add_up_to_one(docs_of):
     rows = [(k, t, "en", "s") for k, t in enumerate(["a b a", "a a c", "b", ""])]
     model = Model([t for _, t, *_ in rows], 2, STRENGTH)

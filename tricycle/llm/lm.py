@@ -10,7 +10,9 @@ The model is as large as the corpus, so it is never in one place. Texts are deal
 buckets of bounded size; each sends the n-grams that occur in it, with their training
 counts, to the parts of the model, which add them up and send back the totals; from
 these each bucket builds the piece of the automaton that its texts can reach. N-grams
-travel as packed arrays, combined within a bucket.
+travel as packed arrays, combined within a bucket: sorted 64-bit keys as their
+differences, whole, so that two n-grams share a key only if their hashes are equal (in
+``n * n / 2 ** 65`` of cases for ``n`` n-grams).
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ STRENGTH = 2_000.0  # by the likelihood of held-out texts
 BUCKET_BYTES = 6_000_000  # of text in a bucket
 RUN = 512  # words of a text that are traversed in step with other runs
 END = np.uint64(0x5EED0FE2D0C5E2D1)  # the end of a text, and the context of its first word
-KEY_BYTES = 5  # of a longer n-gram within a part; words travel whole
+ROW_BYTES = 32  # that a row counts beside its text, so that blank texts fill buckets, too
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,21 +70,27 @@ def _distinct(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.nda
     return unique, np.bincount(which, trained, len(unique)).astype(np.int64), which
 
 
-def _packed(keys: np.ndarray, whole: bool, bits: int) -> bytes:
-    """Keys of one part without the bits that all share; ``KEY_BYTES`` unless ``whole``."""
-    if whole:
-        return keys.tobytes()
-    rest = (keys << np.uint64(bits)) >> np.uint64(64 - 8 * KEY_BYTES)
-    return rest.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 in as many bytes each as the largest needs; that width first."""
+    values = np.ascontiguousarray(values, "<u8")
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def _unpacked(data: bytes, whole: bool) -> np.ndarray:
-    if whole:
-        return np.frombuffer(data, np.uint64)
-    raw = np.frombuffer(data, np.uint8).reshape(-1, KEY_BYTES)
-    keys = np.zeros((len(raw), 8), np.uint8)
-    keys[:, :KEY_BYTES] = raw
-    return keys.view(np.uint64).ravel()
+def _unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8, offset=1).reshape(-1, data[0])
+    values = np.zeros((len(raw), 8), np.uint8)
+    values[:, : data[0]] = raw
+    return values.view("<u8").ravel()
+
+
+def _packed_keys(keys: np.ndarray, part: int, bits: int) -> bytes:
+    """Sorted keys of one part, the range of all that begin with its ``bits``, as differences."""
+    return _packed(np.diff(keys, prepend=np.uint64(part << (64 - bits))))
+
+
+def _unpacked_keys(data: bytes, part: int, bits: int) -> np.ndarray:
+    return np.uint64(part << (64 - bits)) + np.cumsum(_unpacked(data), dtype=np.uint64)
 
 
 class Automaton:
@@ -212,7 +220,7 @@ def language_scores(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = rows.agg(F.sum(F.octet_length("text") + F.lit(ROW_BYTES))).first()[0] or 0
     buckets = 1 + size // bucket_bytes
     bits = max(1, int(np.ceil(np.log2(buckets))))  # parts of the model: a power of two
     rows = rows.withColumn("bucket", F.expr(f"int(pmod(xxhash64(doc_id, text), {buckets}))"))
@@ -236,8 +244,8 @@ def language_scores(
                 out["part"].append(int(part))
                 out["bucket"].append(key[0].as_py())
                 out["n"].append(n)
-                out["keys"].append(_packed(keys[own], n == 0, bits))
-                out["counts"].append(counts[own].astype(np.uint32).tobytes())
+                out["keys"].append(_packed_keys(keys[own], int(part), bits))
+                out["counts"].append(_packed(counts[own]))
         return pa.table(out, schema=asked)
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
@@ -245,8 +253,8 @@ def language_scores(
         orders = table.column("n").to_numpy()
         for n in np.unique(orders):
             own = table.filter(pa.array(orders == n))
-            keys = [_unpacked(k, n == 0) for k in own.column("keys").to_pylist()]
-            counts = [np.frombuffer(c, np.uint32) for c in own.column("counts").to_pylist()]
+            keys = [_unpacked_keys(k, key[0].as_py(), bits) for k in own.column("keys").to_pylist()]
+            counts = [_unpacked(c) for c in own.column("counts").to_pylist()]
             unique, which = np.unique(np.concatenate(keys), return_inverse=True)
             totals = np.bincount(which, np.concatenate(counts), len(unique)).astype(np.int64)
             cut = np.cumsum([0, *map(len, keys)])
@@ -254,7 +262,7 @@ def language_scores(
                 out["bucket"].append(bucket)
                 out["n"].append(int(n))
                 out["part"].append(key[0].as_py())
-                out["totals"].append(totals[which[cut[k] : cut[k + 1]]].tobytes())
+                out["totals"].append(_packed(totals[which[cut[k] : cut[k + 1]]]))
                 # Once for each part and order: what it has in training.
                 out["tokens"].append(int(totals.sum()) if k == 0 and n == 0 else 0)
                 out["kinds"].append(int((totals > 0).sum()) if k == 0 and n == 0 else 0)
@@ -279,7 +287,7 @@ def language_scores(
         counts = []
         for n in range(order):
             own = totals.column("totals").filter(pa.array(orders == n)).to_pylist()
-            counts.append(np.frombuffer(b"".join(own), np.int64))
+            counts.append(np.concatenate([_unpacked(t) for t in own]).astype(np.int64))
         keys, which = [g[0] for g in grams], [g[2] for g in grams]
         automaton = Automaton(keys, counts, which, bounds, total, kinds, strength)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
