@@ -132,6 +132,16 @@ def _observed_count(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return spark.createDataFrame([observation.get], "n_edges LONG, n_users LONG")
 
 
+def _observed_steps(spark: SparkSession, edges: DataFrame, semantics: str = "bag") -> DataFrame:
+    """What a triangle count by degree observes of its steps, with its result."""
+    counters = tc.RunCounters()
+    total = counters.done(tc.triangle_count(edges, semantics, "merge", counters=counters, **RANKED)).first()
+    values = counters.values
+    steps = [values[name] or 0 for name in ("wedges", "closing_hits", "largest_cell")]
+    names = "closed_paths LONG, wedges LONG, closing_hits LONG, largest_cell LONG"
+    return spark.createDataFrame([(total.closed_paths, *steps)], names)
+
+
 def _with_place(rows: DataFrame) -> DataFrame:
     """Rows with their ``place`` in the order that the table has, from 1."""
     return numbered(rows).withColumn("place", F.col("place") + 1)
@@ -185,6 +195,8 @@ ON_EDGES: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     "triangle_count_cycle": lambda s, e: tc.triangle_count(e, "cycle"),
     "triangle_count_merge": lambda s, e: tc.triangle_count(e, "bag", strategy="merge"),
     "triangle_count_broadcast": lambda s, e: tc.triangle_count(e, "bag", strategy="broadcast"),
+    "triangle_count_bitmap": lambda s, e: tc.triangle_count(e, "bag", strategy="merge", **RANKED),
+    "triangle_count_observed": _observed_steps,
     "triangle_count_semi_broadcast": lambda s, e: tc.triangle_count(e, "semi", strategy="broadcast"),
     "cycle_list": lambda s, e: tc.cycle_list(e),
 }
@@ -300,6 +312,22 @@ SQL_ON_EDGES = {
     "cycle_list": f"""WITH e AS ({{edges}}), {NO_LOOPS}
         SELECT a.follower AS x, b.follower AS y, c.follower AS z {CYCLES}""",
 }
+SQL_ON_EDGES["triangle_count_bitmap"] = BAG_TOTAL
+# Wedges at the node of lowest degree; a cell is a whole list here, as none is above a block.
+SQL_ON_EDGES["triangle_count_observed"] = f"""WITH e AS ({{edges}}), {PATHS},
+    g AS (SELECT least(follower, "user") AS a, greatest(follower, "user") AS b, COUNT(*) FILTER (follower < "user") AS fwd,
+        COUNT(*) FILTER (follower > "user") AS bwd FROM e WHERE follower <> "user" GROUP BY ALL),
+    n AS (SELECT node, COUNT(*) AS degree FROM (SELECT unnest([a, b]) AS node FROM g) GROUP BY node),
+    k AS (SELECT g.*, s.degree > t.degree AS swap FROM g JOIN n s ON s.node = a JOIN n t ON t.node = b),
+    r AS (SELECT CASE WHEN swap THEN b ELSE a END AS u, CASE WHEN swap THEN a ELSE b END AS v,
+        CASE WHEN swap THEN bwd ELSE fwd END AS uv, CASE WHEN swap THEN fwd ELSE bwd END AS vu FROM k),
+    w AS (SELECT s.v AS a, t.v AS b, s.uv > 0 AND t.vu > 0 AS ab, t.uv > 0 AND s.vu > 0 AS ba
+        FROM r s JOIN r t ON s.u = t.u AND s.v < t.v WHERE s.uv > 0 AND t.vu > 0 OR t.uv > 0 AND s.vu > 0),
+    c AS (SELECT DISTINCT a, b FROM w JOIN g USING (a, b) WHERE fwd > 0 AND ab OR bwd > 0 AND ba),
+    l AS (SELECT COUNT(*) AS cell FROM r GROUP BY u)
+    SELECT CAST((SELECT COUNT(*) {BAG_JOIN}) AS BIGINT) AS closed_paths, CAST((SELECT COUNT(*) FROM w) AS BIGINT) AS wedges,
+        CAST((SELECT COUNT(*) FROM c) AS BIGINT) AS closing_hits,
+        CAST((SELECT coalesce(MAX(cell * cell), 0) FROM l) AS BIGINT) AS largest_cell"""
 SQL_ON_EDGES["cycle_list_split"] = SQL_ON_EDGES["cycle_list"]
 SQL_ON_EDGES["stored_two_paths_bucketed"] = SQL_ON_EDGES["stored_two_paths_closed"]
 SQL_ON_EDGES["prepared_graph_counts"] = (

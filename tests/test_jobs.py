@@ -37,7 +37,9 @@ def test_stored_count_job(spark, tmp_path, edge_file):
 
 def test_plan_and_metrics_are_printed(spark, tmp_path, edge_file, capsys):
     run(spark, ["triangle-count", edge_file, "--explain", "--metrics"])
-    assert "AdaptiveSparkPlan" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "AdaptiveSparkPlan" in printed
+    assert f"{{'n_rows': 1, 'wedges': {sum(graphs.paths(graphs.TRI8).values())}, 'closing_hits': 6}}" in printed
     run(spark, ["follower-count", edge_file, str(tmp_path / "out"), "--metrics"])
     assert "{'n_rows': 6}" in capsys.readouterr().out
     back = spark.read.schema("user LONG, n_followers LONG").csv(str(tmp_path / "out"))

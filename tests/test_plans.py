@@ -1,5 +1,6 @@
 """What the physical plans must keep to at scale."""
 
+import itertools
 import re
 import warnings
 
@@ -7,7 +8,7 @@ import pytest
 
 import tricycle as tc
 from tests import graphs
-from tricycle.plans import numbered
+from tricycle.plans import bits_for, key_bitmap, maybe_among, numbered
 from tricycle.plans.strategy import distinct_edges, sketched_edges
 
 
@@ -184,3 +185,73 @@ def test_bucketed_paths_are_closed_without_a_shuffle(spark, stored, tmp_path):
     assert graphs.bag(closed) == graphs.bag(expected.select(closed.columns))
     with pytest.raises(Exception, match="(?i)exist|empty"):
         tc.write_two_paths(tc.two_paths(stored), path, buckets=5)
+
+
+def test_a_bitmap_loses_no_key_and_drops_most_others(spark):
+    keys = spark.range(20_000).selectExpr("id * 3 AS a", "-id AS b")
+    bits = bits_for(20_000)
+    assert bits == 262_144
+    bitmap = key_bitmap(keys, ["a", "b"], bits)
+    rows = spark.range(60_000).selectExpr("id AS a", "-(id div 3) AS b", "'x' AS more")
+    kept = maybe_among(rows, ["a", "b"], bitmap, bits)
+    plan = tc.explain_text(kept, "simple")
+    assert kept.columns == ["a", "b", "more"] and "BroadcastHashJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # of the keys' places; rows stay where they are
+    found = {r.a for r in kept.collect()}
+    assert set(range(0, 60_000, 3)) <= found
+    assert len(found) < 20_000 + 40_000 / 8
+    # Every place of one block: each bit is read where it was set.
+    ends = key_bitmap(spark.range(400).selectExpr("id AS a"), ["a"], 32_768)
+    assert maybe_among(spark.range(400).selectExpr("id AS a"), ["a"], ends, 32_768).count() == 400
+    assert sum(bin(w & (2**64 - 1)).count("1") for r in ends.collect() for w in r.words) <= 400
+    assert maybe_among(rows, ["a", "b"], key_bitmap(keys.limit(0), ["a", "b"], bits), bits).count() == 0
+
+
+def test_bits_have_a_bound():
+    assert bits_for(0) == bits_for(1) == bits_for(4096) == 32_768
+    assert bits_for(4097) == 65_536
+    assert bits_for(10**8) == 1 << 29
+    assert bits_for(10**9) == 0 and bits_for(10, most=100) == 0
+
+
+def test_bitmap_changes_what_is_shuffled_and_not_the_result(spark, edges_of):
+    """A bipartite graph with wedges at every node and no cycle, and one cycle beside it."""
+    sparse = [(a, b) for a in range(30) for b in range(100, 130)] + [(b, a) for a in range(30) for b in range(100, 130)]
+    raw = [*sparse, (500, 501), (501, 502), (502, 500)]
+    for operator in (lambda **k: tc.triangle_count(edges_of(raw), "semi", "merge", plain_paths=0, **k),
+                     lambda **k: tc.cycle_list(edges_of(raw), "merge", plain_paths=0, **k)):
+        found = {}
+        for bits in (0, 1 << 20):
+            counters = tc.RunCounters()
+            rows = [tuple(r) for r in counters.done(operator(bitmap_bits=bits, counters=counters)).collect()]
+            found[bits] = rows, counters.values
+        (plain, before), (filtered, after) = found.values()
+        assert plain == filtered and before["wedges"] == after["wedges"] > 10_000
+        assert "wedges_kept" not in before
+        assert 1 <= after["wedges_kept"] < 0.25 * after["wedges"]
+        assert before["closing_hits"] == after["closing_hits"] == 1
+    assert "getbit" not in tc.explain_text(tc.cycle_list(edges_of(raw), "broadcast", plain_paths=0))
+
+
+def test_join_cells_are_seen_to_be_bounded(spark, edges_of):
+    """Every node of a complete graph has a list of higher ones, cut to blocks of about 10."""
+    raw = list(itertools.permutations(range(120), 2))
+    counters = tc.RunCounters()
+    found = counters.done(
+        tc.triangle_count(edges_of(raw), "cycle", "merge", block_rows=10, plain_paths=0, counters=counters)
+    ).first()
+    assert found.triangles == 2 * 120 * 119 * 118 // 6
+    assert counters.values["wedges"] == 120 * 119 * 118 // 6
+    assert 100 <= counters.values["largest_cell"] <= 30 * 30
+    whole = tc.RunCounters()
+    whole.done(tc.triangle_count(edges_of(raw), "cycle", "merge", plain_paths=0, counters=whole)).collect()
+    assert whole.values["largest_cell"] == 119 * 119
+
+
+def test_counters_of_steps_that_were_left_out(spark, edges_of):
+    counters = tc.RunCounters()
+    with pytest.raises(ValueError, match="done"):
+        counters.values
+    assert counters.done(tc.cycle_list(edges_of([(1, 1)]), plain_paths=0, counters=counters)).count() == 0
+    values = counters.values
+    assert values["n_rows"] == 0 and not values["closing_hits"] and not values["wedges"]

@@ -7,8 +7,9 @@ triangle counts from stored two-paths.
     spark-submit run.py stored-count EDGES --paths PATHS [--closing semi|bag]
 
 ``--max-id -1`` keeps every edge. ``--explain`` prints the plan of the result and
-``--metrics`` how many rows it had, observed in the pass that makes it. All run in
-whatever session Spark is given.
+``--metrics`` how many rows it had, and of a triangle count also its wedges, closing hits and
+largest join cell, observed in the pass that makes it. All run in whatever session Spark is
+given.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from tricycle.operators import (
     stored_path_count,
     triangle_count,
 )
-from tricycle.plans import STRATEGIES, explain_text, with_metrics
+from tricycle.plans import STRATEGIES, RunCounters, explain_text
 from tricycle.sources import read_edges, read_nodes, read_two_paths, write_counts
 from tricycle.sources.readers import MODES
 from tricycle.sources.writers import FORMATS
@@ -43,7 +44,7 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--max-id", type=_max_id, default=None, help="keep edges with both ids up to this")
     common.add_argument("--read-mode", default="PERMISSIVE", choices=MODES)
     common.add_argument("--explain", action="store_true", help="print the plan")
-    common.add_argument("--metrics", action="store_true", help="print the number of result rows")
+    common.add_argument("--metrics", action="store_true", help="print the number of result rows and of steps")
 
     counts = jobs.add_parser("follower-count", parents=[common])
     counts.add_argument("output")
@@ -67,29 +68,33 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame:
     """Run one job; returns the counts or the one-row triangle count."""
     args = parser().parse_args(argv)
     edges = induced_subgraph(read_edges(spark, args.edges, args.read_mode), args.max_id)
+    counters = RunCounters() if args.metrics else None
     if args.job != "follower-count":
         if args.job == "triangle-count":
-            total = triangle_count(edges, args.semantics, args.strategy)
+            total = triangle_count(edges, args.semantics, args.strategy, counters=counters)
         else:
             total = stored_path_count(read_two_paths(spark, args.paths, args.read_mode), edges, args.closing)
-        return _reported(total, args, lambda df: df.collect())
+        return _reported(total, args, counters, lambda df: df.collect())
     if args.nodes:
         counts = follower_count_all(read_nodes(spark, args.nodes, args.read_mode), edges)
     else:
         counts = follower_count(edges, sort=args.sort)
     mode = "overwrite" if args.overwrite else "errorifexists"
-    return _reported(counts, args, lambda df: write_counts(df, args.output, args.format, args.sep, mode), act=True)
+    return _reported(
+        counts, args, counters, lambda df: write_counts(df, args.output, args.format, args.sep, mode), act=True
+    )
 
 
-def _reported(df: DataFrame, args: argparse.Namespace, action, act: bool = False) -> DataFrame:
+def _reported(
+    df: DataFrame, args: argparse.Namespace, counters: RunCounters | None, action, act: bool = False
+) -> DataFrame:
     """Run the action if the job has one or metrics are asked for; print what is asked for."""
     if args.explain:
         print(explain_text(df))
-    if not args.metrics:
+    if counters is None:
         if act:
             action(df)
         return df
-    observed, observation = with_metrics(df, args.job)
-    action(observed)
-    print(observation.get)
+    action(counters.done(df))
+    print(counters.values)
     return df

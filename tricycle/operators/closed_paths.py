@@ -8,7 +8,8 @@ from tricycle.operators.cycles import BLOCK_ROWS, weighted_cycles
 from tricycle.operators.graph import PLAIN_PATHS, Graph, chosen, graph_of
 from tricycle.operators.pairs import looped_neighbours, self_loops
 from tricycle.operators.plain import joined_paths
-from tricycle.plans.report import noted
+from tricycle.plans.bitmap import BITMAP_BITS
+from tricycle.plans.report import RunCounters, noted
 from tricycle.plans.shared import materialize
 from tricycle.plans.skew import CELL_ROWS, CHUNK_COPIES, HOT_KEYS, expand_copies, repeated
 from tricycle.plans.strategy import BROADCAST_EDGES
@@ -40,6 +41,8 @@ def _closed_paths(
     chunk: int = CHUNK_COPIES,
     broadcast_edges: int = BROADCAST_EDGES,
     plain_paths: int = PLAIN_PATHS,
+    bitmap_bits: int = BITMAP_BITS,
+    counters: RunCounters | None = None,
 ) -> DataFrame:
     """A closed two-path on three distinct nodes is a cycle seen from one of its
     nodes; any other one uses a self-loop. Both kinds are listed with their number
@@ -49,9 +52,11 @@ def _closed_paths(
     resolved = graph.strategy(strategy, broadcast_edges)
     plain = graph.plain_strategy(resolved, plain_paths, broadcast_edges)
     if plain is not None:
-        listed = joined_paths(graph.weighted(), semantics, plain)
+        listed = joined_paths(graph.weighted(), semantics, plain, counters)
     else:
-        listed = _compact(graph.pairs, semantics, resolved, cell_rows, limit, block_rows)
+        bits = graph.bitmap_bits(resolved, bitmap_bits)
+        cycles = weighted_cycles(graph.pairs, resolved, cell_rows, limit, block_rows, bits, counters)
+        listed = _compact(cycles, graph.pairs, semantics, cell_rows, limit)
     return noted(_routed(listed, graph, plain, chunk), chosen(graph, plain, resolved))
 
 
@@ -68,10 +73,8 @@ def _routed(listed: DataFrame, graph: Graph, plain: str | None, chunk: int) -> D
     return expand_copies(materialize(listed, "closed-paths"), chunk)
 
 
-def _compact(
-    table: DataFrame, semantics: str, strategy: str, cell_rows: int, limit: int, block_rows: int
-) -> DataFrame:
-    """``(x, y, z, copies)`` of the closed paths of a pair table."""
+def _compact(cycles: DataFrame, table: DataFrame, semantics: str, cell_rows: int, limit: int) -> DataFrame:
+    """``(x, y, z, copies)`` of the closed paths of a pair table and its weighted cycles."""
     bag = semantics == "bag"
     # Each view of a cycle or of a loop with its neighbour: x, y, z, copies.
     cycle_views = (
@@ -79,7 +82,7 @@ def _compact(
         ("y, z, x", "yz * zx", "xy"),
         ("z, x, y", "zx * xy", "yz"),
     )
-    rows = _views(weighted_cycles(table, strategy, cell_rows, limit, block_rows), cycle_views, bag)
+    rows = _views(cycles, cycle_views, bag)
     loop_views = [
         ("node, node, other", "n_loops * n_out", "n_in"),
         ("other, node, node", "n_in * n_loops", "n_out"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tricycle.operators.pairs import pair_table, ranked_pairs
 from tricycle.operators.subgraph import induced_subgraph
+from tricycle.plans.bitmap import bits_for
 from tricycle.plans.shared import materialize
 from tricycle.plans.skew import CELL_ROWS, HOT_KEYS
 from tricycle.plans.strategy import BROADCAST_EDGES, resolve
@@ -108,6 +109,10 @@ class Graph:
         # Plain joins send edges with their duplicates.
         return None if name == "broadcast" and self.size.n_edges > limit else name
 
+    def bitmap_bits(self, strategy: str, most: int) -> int:
+        """Bits of a bitmap of the pairs, 0 where each task has the pairs themselves."""
+        return 0 if strategy == "broadcast" or most <= 0 else bits_for(self.size.n_edges, most)
+
 
 def graph_of(edges: DataFrame | Graph) -> Graph:
     return edges if isinstance(edges, Graph) else Graph(edges, pair_table(edges))

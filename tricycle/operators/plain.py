@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tricycle.plans.report import RunCounters
 from tricycle.plans.strategy import hinted
 
 
-def joined_paths(weighted: DataFrame, semantics: str, strategy: str) -> DataFrame:
+def joined_paths(weighted: DataFrame, semantics: str, strategy: str, counters: RunCounters | None = None) -> DataFrame:
     """``(x, y, z, copies)`` of the closed two-paths, as ``triangle_count`` defines them;
-    under ``cycle`` each of the three views of a cycle once.
+    under ``cycle`` each of the three views of a cycle once. ``counters`` gets the rows of
+    two-paths (``wedges``) and of closed ones (``closing_hits``).
     """
     if semantics == "cycle":
         weighted = weighted.where("follower <> user").select("follower", "user").distinct()
@@ -19,9 +21,15 @@ def joined_paths(weighted: DataFrame, semantics: str, strategy: str) -> DataFram
     paths = first.join(hinted(second, strategy), "y")
     if semantics != "walk":
         paths = paths.where("x <> z")
+    if counters is not None:
+        paths = counters.on(paths, wedges="count(*)")
     closing = weighted.toDF("z", "x", "n_closing")
     if semantics in ("bag", "cycle"):
         closed = paths.join(hinted(closing, strategy), ["z", "x"])
-        return closed.selectExpr("x", "y", "z", "n_first * n_second * n_closing AS copies")
-    closed = paths.join(hinted(closing.drop("n_closing"), strategy), ["z", "x"], "left_semi")
-    return closed.selectExpr("x", "y", "z", "n_first * n_second AS copies")
+        copies = "n_first * n_second * n_closing"
+    else:
+        closed = paths.join(hinted(closing.drop("n_closing"), strategy), ["z", "x"], "left_semi")
+        copies = "n_first * n_second"
+    if counters is not None:
+        closed = counters.on(closed, closing_hits="count(*)")
+    return closed.selectExpr("x", "y", "z", f"{copies} AS copies")

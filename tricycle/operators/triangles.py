@@ -10,7 +10,8 @@ from tricycle.operators.cycles import BLOCK_ROWS, wedges
 from tricycle.operators.graph import PLAIN_PATHS, Graph, chosen, graph_of
 from tricycle.operators.pairs import linked_pairs
 from tricycle.operators.plain import joined_paths
-from tricycle.plans.report import noted
+from tricycle.plans.bitmap import BITMAP_BITS
+from tricycle.plans.report import RunCounters, noted
 from tricycle.plans.skew import HOT_KEYS
 from tricycle.plans.strategy import BROADCAST_EDGES, hinted
 
@@ -25,6 +26,8 @@ def triangle_count(
     block_rows: int = BLOCK_ROWS,
     broadcast_edges: int = BROADCAST_EDGES,
     plain_paths: int = PLAIN_PATHS,
+    bitmap_bits: int = BITMAP_BITS,
+    counters: RunCounters | None = None,
 ) -> DataFrame:
     """One row ``(closed_paths, triangles)``.
 
@@ -43,6 +46,11 @@ def triangle_count(
 
     A graph with about ``plain_paths`` two-paths or fewer (or four for each edge) is joined
     plainly instead; ``explain_text`` says which was chosen. 0 never does.
+
+    Where pairs are not broadcast, wedges whose ends are not linked are dropped by a bitmap
+    of the pairs, of up to ``bitmap_bits`` bits, before the shuffle; 0 never does. ``counters``
+    observes the steps: see ``wedges`` and ``joined_paths``; ``closing_hits`` by degree are
+    pairs that close a wedge in either direction.
     """
     if semantics not in SEMANTICS:
         raise ValueError(f"unknown semantics {semantics!r}, expected one of {SEMANTICS}")
@@ -50,9 +58,10 @@ def triangle_count(
     resolved = graph.strategy(strategy, broadcast_edges)
     plain = graph.plain_strategy(resolved, plain_paths, broadcast_edges)
     if plain is not None:
-        parts = joined_paths(graph.weighted(), semantics, plain).selectExpr("copies AS closed_paths")
+        parts = joined_paths(graph.weighted(), semantics, plain, counters).selectExpr("copies AS closed_paths")
     else:
-        parts = _cycle_paths(graph.pairs, semantics, resolved, limit, block_rows)
+        bits = graph.bitmap_bits(resolved, bitmap_bits)
+        parts = _cycle_paths(graph.pairs, semantics, resolved, limit, block_rows, bits, counters)
         if semantics != "cycle":
             parts = parts.unionByName(_loop_paths(graph.pairs, semantics))
     closed = parts.agg(F.expr("coalesce(sum(closed_paths), 0L) AS closed_paths"))
@@ -60,14 +69,22 @@ def triangle_count(
     return noted(closed, chosen(graph, plain, resolved))
 
 
-def _cycle_paths(table: DataFrame, semantics: str, strategy: str, limit: int, block_rows: int) -> DataFrame:
+def _cycle_paths(
+    table: DataFrame,
+    semantics: str,
+    strategy: str,
+    limit: int,
+    block_rows: int,
+    bits: int = 0,
+    counters: RunCounters | None = None,
+) -> DataFrame:
     """One row: closed paths on three distinct nodes.
 
     A wedge at ``u`` makes the cycle u→a→b→u if a→b exists and the cycle
     u→b→a→u if b→a exists. A cycle with sides p, q, r is 3·p·q·r closed paths in a
     bag and pq + qr + rp if the closing side counts once.
     """
-    opened = wedges(table, strategy, limit, block_rows)
+    opened = wedges(table, strategy, limit, block_rows, bits, counters)
     # Per direction: the product, for semi and walk also the sum, of the wedge's
     # sides; the closing side is a factor that comes with the join.
     if semantics == "cycle":
@@ -89,9 +106,10 @@ def _cycle_paths(table: DataFrame, semantics: str, strategy: str, limit: int, bl
         opened = opened.selectExpr("a", "b", *(f"{e} AS {name}" for name, e in sides.items()))
     else:
         opened = opened.groupBy("a", "b").agg(*(F.expr(f"sum({e}) AS {name}") for name, e in sides.items()))
-    return opened.join(hinted(linked_pairs(table), strategy), ["a", "b"]).agg(
-        F.expr(f"sum({closed}) AS closed_paths")
-    )
+    met = opened.join(hinted(linked_pairs(table), strategy), ["a", "b"])
+    if counters is not None:
+        met = counters.on(met, closing_hits="count_if(fwd > 0 AND ab > 0 OR bwd > 0 AND ba > 0)")
+    return met.agg(F.expr(f"sum({closed}) AS closed_paths"))
 
 
 def _loop_paths(table: DataFrame, semantics: str) -> DataFrame:
