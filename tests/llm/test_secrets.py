@@ -1,9 +1,13 @@
+import random
 import re
 from collections import Counter
 
+import duckdb
 from conftest import EDGES
 
-from tricycle.llm.secrets import ALLOW, CANDIDATE, KINDS, THRESHOLDS, WINDOW, masked, most_sum, secrets, span_text, weights
+from tricycle.llm.registered import op6_secret_scan
+from tricycle.llm.secrets import ALLOW, CANDIDATE, KINDS, RUNS, THRESHOLDS, WINDOW, masked, most_sum, secrets, span_text, weights
+from tricycle.llm.sql import secret_scan
 
 RANDOM = "Zq9xK3vB7mN1pL5tR8wY2cD4"
 ROWS = [
@@ -15,29 +19,49 @@ ROWS = [
 ]
 
 
+def parts(value, start):
+    """What is left of a candidate beside allowed parts, and the runs in that."""
+    ends = [0, *(k for m in re.finditer(ALLOW, value) for k in m.span()), len(value)]
+    for a, b in zip(ends[::2], ends[1::2]):
+        yield start + a, value[a:b]
+        for run in RUNS:
+            yield from ((start + a + m.start(), m[0]) for m in re.finditer(run, value[a:b]))
+
+
+def classed(part):
+    if re.fullmatch("[0-9a-f]+|[0-9A-F]+", part):
+        return "hex"
+    if re.fullmatch("[0-9a-z]+|[0-9A-Z]+", part) and re.search("[0-9][A-Za-z]+[0-9]", part):
+        return "case"
+    return "base64" if all(re.search(p, part) for p in ("[a-z]", "[A-Z]", "[0-9]")) else None
+
+
 def spans(text):
     text = text or ""
     assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     base = [(m.start(), 0, m.end()) for m in re.finditer(assign, text, re.I | re.A) if len(m[2]) >= 6]
     base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
-    added = []
+    hot = []
     for m in re.finditer(CANDIDATE, text):
-        value = m[0]
-        mixed = all(re.search(p, value) for p in ("[a-z]", "[A-Z]", "[0-9]"))
-        kind = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) else "base64" if mixed else None
-        if kind is None or re.search(ALLOW, value):
-            continue
-        most, table = most_sum(THRESHOLDS[kind]), weights()
-        hot = [
-            k
-            for k in range(len(value) - WINDOW + 1)
-            if sum(table[n] for n in Counter(value[k : k + WINDOW]).values()) <= most
-        ]
-        if hot:
-            a, b = m.start() + hot[0], m.start() + hot[-1] + WINDOW
-            if not any(s <= a and b <= e for s, _, e in base):
-                added.append((a, 3, b))
+        for start, part in parts(m[0], m.start()):
+            if (kind := classed(part)) is None:
+                continue
+            most, table = most_sum(THRESHOLDS[kind]), weights()
+            found = [
+                k
+                for k in range(len(part) - WINDOW + 1)
+                if sum(table[n] for n in Counter(part[k : k + WINDOW]).values()) <= most
+            ]
+            if found:
+                hot.append((start + found[0], start + found[-1] + WINDOW))
+    joined = []
+    for a, b in sorted(hot):
+        if joined and a < joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], b)
+        else:
+            joined.append([a, b])
+    added = [(a, 3, b) for a, b in joined if not any(s <= a and b <= e for s, _, e in base)]
     return sorted(base + added)
 
 
@@ -83,6 +107,42 @@ def test_secrets_glued_to_names_and_of_one_case(docs_of):
         masks = " ".join(s.value for s in found[doc_id].spans)
         assert masks == secret, doc_id
     assert found[50].spans == []
-    assert [s.value for s in found[51].spans] == [f"AKIA{lower}"]
+    # A placeholder beside a secret takes only the windows over it.
+    assert [s.value for s in found[51].spans] == [lower, f"AKIA{lower}"]
     table = docs_of([(i, t, "en", "a") for i, t, _ in hidden])
     assert [r.text for r in masked(table).orderBy("doc_id").collect()][:2] == ["AWS_KEY=[SECRET]", "a [SECRET]."]
+
+
+def planted(seed=5, n=300):
+    """Texts of words, placeholders, secrets of each class, and names glued to them."""
+    rng = random.Random(seed)
+    classes = ("0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz0123456789",
+               "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDabcdefghijklmnopqrstuvwxyz0123456789+/_-=")
+    fixed = ("example", "EXAMPLE", "placeholder", "xxxxxxxxx", "aaaaAAAAaa", "0123456789", "word", "Two_words", "token=", "AKIA",
+             "--------", " ", " ", " ", ".", "ñ", "/", "_")
+
+    def piece():
+        if rng.random() < 0.6:
+            return rng.choice(fixed)
+        return "".join(rng.choices(rng.choice(classes), k=rng.choice((5, 12, 19, 20, 21, 24, 33, 60))))
+
+    return [(1000 + k, "".join(piece() for _ in range(rng.randrange(1, 25))), "en", "a") for k in range(n)]
+
+
+def test_planted_texts_equal_brute_force(docs_of):
+    rows = planted()
+    found = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in secrets(docs_of(rows)).collect()}
+    expected = {i: spans(text) for i, text, *_ in rows}
+    assert found == expected
+    assert sum(k == 3 for s in expected.values() for _, k, _ in s) > 200
+
+
+def test_query_and_sql_agree_on_planted_texts(spark, docs_of, tmp_path):
+    docs_of(planted(6, 200) + ROWS + EDGES).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    result = con.execute(secret_scan())
+    names = [c[0] for c in result.description]
+    found = op6_secret_scan(spark, str(tmp_path)).select(names).collect()
+    assert Counter(map(str, map(tuple, found))) == Counter(map(str, result.fetchall()))
+    assert any("entropy" in r.spans for r in found)

@@ -5,8 +5,9 @@ base64 with lower case, upper case and digits) over a window that slides along a
 candidate, and along each run of hexadecimal digits, or of digits and letters of one
 case, inside it, so that a name glued to a secret does not hide it. The window's symbol
 counts change by the symbol that enters and the one that leaves, and so does the sum
-of ``c * log2(c)``, in integers, so that every engine decides alike. Candidates that
-match an allow-list are suppressed. DataFrame functions only.
+of ``c * log2(c)``, in integers, so that every engine decides alike. Matches of an
+allow-list are cut out of candidates, so that windows over them are suppressed and the
+parts on both sides are scanned. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 20
 # Bits of entropy from which a window of a class is suspicious.
 THRESHOLDS = {"hex": 3.0, "case": 3.2, "base64": 3.7}
-# Candidates with these are no secrets: placeholders, counting and repeated characters.
-ALLOW = r"(?i)example|placeholder|changeme|0123456789|abcdefgh|x{8}|(.)\1{7}"
+# Parts of candidates that are no secrets: placeholders, counting and repeated characters.
+ALLOW = r"(?i)example|placeholder|changeme|0123456789|abcdefgh|x{8,}|(.)\1{7,}"
 MASK = "[SECRET]"
 
 UNIT = 1_000_000
@@ -68,12 +69,26 @@ def _located(kind: int, pattern: str, keep: str, group: int | None = None, text:
         a -> a.found)"""
 
 
+def _between(pattern: str, window: int) -> str:
+    """The pieces of the candidate ``c`` on both sides of the matches of a pattern, of those
+    that hold a window.
+    """
+    return f"""if(NOT c.value RLIKE r'{pattern}', array(c), filter(aggregate(
+        arrays_zip(regexp_extract_all(c.value, r'{pattern}', 0), split(c.value, r'{pattern}', -1)),
+        named_struct('found', cast(array() AS array<{SPAN}>), 'at', c.start),
+        (a, x) -> named_struct(
+            'found', concat(a.found, array(named_struct('start', a.at, 'kind', c.kind,
+                'end', a.at + length(x.`1`), 'value', x.`1`))),
+            'at', a.at + length(x.`1`) + coalesce(length(x.`0`), 0)),
+        a -> a.found), p -> length(p.value) >= {window}))"""
+
+
 def _entropy(window: int) -> str:
     """The suspicious parts of ``candidates`` and of the runs in them, overlapping ones joined."""
     kind = KINDS.index("entropy")
     runs = ", ".join(_located(kind, run, "true", text="c.value", start="c.start") for run in RUNS)
-    parts = f"""array_distinct(flatten(transform(
-        filter(candidates, c -> NOT c.value RLIKE r'{ALLOW}'), c -> concat(array(c), {runs}))))"""
+    pieces = f"flatten(transform(candidates, c -> {_between(ALLOW, window)}))"
+    parts = f"array_distinct(flatten(transform({pieces}, c -> concat(array(c), {runs}))))"
     table = f"array({', '.join(f'{w}L' for w in weights(window))})"
     hexadecimal = "(c.value RLIKE '^[0-9a-f]+$' OR c.value RLIKE '^[0-9A-F]+$')"
     # Digits on both sides of letters: words with a number before or behind are no secrets.

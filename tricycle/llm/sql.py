@@ -9,6 +9,7 @@ from tricycle.llm.secrets import (
     ASSIGN_LENGTH,
     CANDIDATE,
     HEX_LENGTH,
+    RUNS,
     THRESHOLDS,
     WINDOW,
     most_sum,
@@ -109,12 +110,17 @@ def filter_audit() -> str:
 
 
 def secret_scan() -> str:
-    pattern = r"(?i)(?:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)"
+    # RE2's (?i) would take letters beyond ASCII too.
+    names = "|".join(
+        "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name)
+        for name in ("password", "passwd", "secret", "token", "api_?key")
+    )
+    pattern = rf"(?:{names})[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)"
     table = f"[{', '.join(map(str, weights()))}]"
     # RE2 has no back-references: repeated characters are spelled out.
     symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-    repeats = "|".join(f"[{c}]{{8}}" if c != "-" else "-{8}" for c in symbols)
-    allow = ALLOW.replace(r"(.)\1{7}", repeats)
+    repeats = "|".join(f"[{c}]{{8,}}" if c != "-" else "-{8,}" for c in symbols)
+    allow = ALLOW.replace(r"(.)\1{7,}", repeats)
     kinds = [
         ("assign", 0, pattern, f"len(regexp_extract(m, '{pattern}', 1)) >= {ASSIGN_LENGTH}"),
         ("access", 1, f"AKIA[A-Z0-9]{{{ACCESS_LENGTH - 4},}}", "true"),
@@ -129,20 +135,43 @@ def secret_scan() -> str:
                 WHERE len(ms) > 0)) WHERE {keep}"""
         for name, order, p, keep in kinds
     )
+    runs = " UNION ".join(
+        f"""SELECT r, (p + stop - len(m))::BIGINT, m FROM (
+            SELECT r, p, m, sum(len(m) + len(b)) OVER (PARTITION BY r, p ORDER BY i) AS stop FROM (
+                SELECT r, p, unnest(ms) AS m, unnest(bs[:len(ms)]) AS b, unnest(generate_series(1, len(ms))) AS i FROM (
+                    SELECT r, s AS p, regexp_extract_all(m, '{run}') AS ms, regexp_split_to_array(m, '{run}') AS bs FROM pieces)
+                WHERE len(ms) > 0))"""
+        for run in RUNS
+    )
     return f"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
     found AS ({located}),
     base AS (SELECT * FROM found WHERE o < 3),
-    cand AS (SELECT r, s, m, CASE WHEN regexp_full_match(m, '[0-9a-f]+|[0-9A-F]+') THEN {most_sum(THRESHOLDS['hex'])}
+    split AS (SELECT r, s, unnest(regexp_split_to_array(m, '{allow}')) AS b,
+            unnest(list_concat(regexp_extract_all(m, '{allow}', 0), [''])) AS x,
+            unnest(generate_series(1, len(regexp_split_to_array(m, '{allow}')))) AS i FROM found WHERE o = 3),
+    pieces AS (SELECT r, b AS m, (s + sum(len(b) + len(x)) OVER (PARTITION BY r, s ORDER BY i) - len(b) - len(x))::BIGINT AS s
+        FROM split),
+    parts AS (SELECT r, s, m FROM pieces UNION {runs}),
+    cand AS (SELECT r, s, m, row_number() OVER () AS part, CASE
+            WHEN regexp_full_match(m, '[0-9a-f]+|[0-9A-F]+') THEN {most_sum(THRESHOLDS['hex'])}
+            WHEN regexp_full_match(m, '[0-9a-z]+|[0-9A-Z]+') AND regexp_matches(m, '[0-9][A-Za-z]+[0-9]')
+            THEN {most_sum(THRESHOLDS['case'])}
             WHEN regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')
             THEN {most_sum(THRESHOLDS['base64'])} END AS t
-        FROM found WHERE o = 3 AND NOT regexp_matches(m, '{allow}')),
-    win AS (SELECT r, s, t, k, substr(m, k, {WINDOW}) AS w
+        FROM parts WHERE len(m) >= {WINDOW}),
+    win AS (SELECT r, part, s, t, k, substr(m, k, {WINDOW}) AS w
         FROM (SELECT *, unnest(generate_series(1, len(m) - {WINDOW} + 1)) AS k FROM cand WHERE t IS NOT NULL)),
-    sums AS (SELECT r, s, t, k, sum({table}[n + 1]) AS total
-        FROM (SELECT r, s, t, k, ch, count(*) AS n FROM (SELECT r, s, t, k, unnest(string_split(w, '')) AS ch FROM win)
-            GROUP BY r, s, t, k, ch) GROUP BY r, s, t, k),
-    hot AS (SELECT r, s + min(k) - 1 AS s0, s + max(k) - 1 + {WINDOW} AS e0 FROM sums WHERE total <= t GROUP BY r, s),
+    sums AS (SELECT r, part, s, t, k, sum({table}[n + 1]) AS total
+        FROM (SELECT r, part, s, t, k, ch, count(*) AS n
+            FROM (SELECT r, part, s, t, k, unnest(string_split(w, '')) AS ch FROM win) GROUP BY ALL)
+        GROUP BY r, part, s, t, k),
+    warm AS (SELECT r, s + min(k) - 1 AS s0, s + max(k) - 1 + {WINDOW} AS e0 FROM sums WHERE total <= t GROUP BY r, part, s),
+    -- Overlapping ones are one.
+    apart AS (SELECT *, s0 >= coalesce(max(e0) OVER (PARTITION BY r ORDER BY s0, e0
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS opens FROM warm),
+    hot AS (SELECT r, min(s0) AS s0, max(e0) AS e0 FROM (
+        SELECT *, sum(opens::INT) OVER (PARTITION BY r ORDER BY s0, e0 ROWS UNBOUNDED PRECEDING) AS g FROM apart) GROUP BY r, g),
     added AS (SELECT r, 'entropy' AS kind, 3 AS o, s0 AS s, e0 AS e FROM hot
         WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.r = hot.r AND b.s <= s0 AND e0 <= b.e)),
     spans AS (SELECT r, kind, o, s, e FROM base UNION ALL SELECT * FROM added),
