@@ -134,3 +134,25 @@ def test_edges(known, clashing, nothing, spark, module, score):
     ):
         model = module.fit(docs, spark.createDataFrame(labels, schema))
         assert {r.score for r in score(clashing, model).collect()} == {expected}
+
+
+def test_quality_is_fitted_on_all_pairs_of_all_labels(spark, known):
+    """With some wrong labels, the loss over every pair is flat at the weights, and the cut is
+    the quantile of all.
+    """
+    docs, _, labels = known
+    rng = random.Random(3)
+    labels = [(i, q if rng.random() < 0.8 else 1 - q, t) for i, q, t in labels]
+    model = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    free = [(texts[i], q) for i, q, _ in labels if zlib.crc32(str(i).encode()) % 5]
+    x = quality.features(pa.array([t for t, _ in free]))
+    assert model.mean == pytest.approx(x.mean(axis=0)) and model.scale == pytest.approx(x.std(axis=0) + 1e-6, abs=1e-6)
+    x = np.clip((x - model.mean) / model.scale, -8, 8)
+    good, bad = (x[[q == kind for _, q in free]] for kind in (1, 0))
+    missed = 1 / (1 + np.exp((good @ model.weights)[:, None] - (bad @ model.weights)[None, :]))
+    assert missed.size > 100_000
+    gradient = (missed.sum(axis=0) @ bad - missed.sum(axis=1) @ good) / missed.size + 1e-4 * model.weights
+    assert np.abs(gradient).max() < 2e-4
+    below = np.sort(x @ model.weights)
+    assert model.cut == pytest.approx((below[len(bad) - 1] + below[len(bad)]) / 2, abs=1e-6)

@@ -1,4 +1,4 @@
-"""Bounded samples of labelled documents, for fitting classifiers."""
+"""Labelled documents, and sums over them, for fitting classifiers on all of them."""
 
 from __future__ import annotations
 
@@ -6,12 +6,15 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tricycle.llm.words import slices
+from tricycle.plans.bitmap import bits_for, key_bitmap, maybe_among
 
 READ_TEXTS = 64  # reduced at a time
+CHUNK = 8_192  # numbers of a sum that a task adds up
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -31,39 +34,37 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def labelled_sample(
-    docs: DataFrame,
-    labels: DataFrame,
-    label: str,
-    folds: int,
-    held: int,
-    per_class: int,
-    reduced: Callable[[pa.Array], Iterable[np.ndarray]],
-) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """What ``reduced`` makes of the whole texts of at most ``per_class`` documents with each
-    label, one array of a fixed type for each text: the arrays' bytes compressed
-    (``unpacked`` restores them), the labels, and the languages (null as empty).
+def known_labels(labels: DataFrame, label: str, folds: int, held: int) -> DataFrame:
+    """``(doc_id, label)`` of every labelled document that is not held out.
 
     Labels of held-out documents (``fold`` is ``held``) are never looked at, nor are
-    null labels; a doc_id with several labels has the largest. The sample is the
-    documents whose hashed ids are smallest, in order of their ids, so that reruns agree; of
-    several rows with an id the one whose array and language are smallest as bytes. The
-    language is empty where ``docs`` has no such column. Texts are reduced by the executors,
-    and no text comes to the driver.
+    null labels; a doc_id with several labels has the largest.
     """
-    known = (
+    return (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (fold("doc_id", folds) != held))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.col(label).cast("int")).alias("label"))
     )
-    of_label = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
-    ids = F.broadcast(of_label[0].union(of_label[1]))  # at most per_class of each
+
+
+def labelled(docs: DataFrame, known: DataFrame, reduced: Callable[[pa.Array], Iterable[np.ndarray]]) -> DataFrame:
+    """``(doc_id, label, lang, found)``: what ``reduced`` makes of the whole text of each
+    document of ``known``, one array of a fixed type for each text, packed (``unpacked``
+    restores it), with its language (null as empty).
+
+    Of several rows with an id it is the one whose text and language are smallest. The
+    language is empty where ``docs`` has no such column. A bitmap of the ids drops most
+    other documents where they are; texts are reduced by the executors.
+    """
     language = F.col("lang").cast("string") if "lang" in docs.columns else F.lit("")
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.coalesce(language, F.lit("")).alias("lang"),
-    ).join(ids, "doc_id")
+    ).where("doc_id IS NOT NULL")
+    if bits := bits_for(known.count()):
+        texts = maybe_among(texts, ["doc_id"], key_bitmap(known, ["doc_id"], bits), bits)
+    one = texts.join(known, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("text", "lang")).alias("one"))
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, READ_TEXTS):
@@ -74,7 +75,51 @@ def labelled_sample(
                     ["doc_id", "label", "lang", "found"],
                 )
 
-    rows = texts.mapInArrow(reduce, "doc_id long, label int, lang string, found binary")
-    one = rows.groupBy("doc_id", "label").agg(F.min(F.struct("found", "lang")).alias("one"))
-    table = one.select("doc_id", "label", "one.found", "one.lang").toArrow().sort_by("doc_id")
+    whole = one.select("doc_id", "label", "one.text", "one.lang")
+    return whole.mapInArrow(reduce, "doc_id long, label int, lang string, found binary")
+
+
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    folds: int,
+    held: int,
+    per_class: int,
+    reduced: Callable[[pa.Array], Iterable[np.ndarray]],
+) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """``labelled`` rows of at most ``per_class`` documents with each label, to look at: their
+    packed arrays, labels and languages. The documents are those whose hashed ids are
+    smallest, in order of their ids, so that reruns agree. Nothing is fitted on it.
+    """
+    known = known_labels(labels, label, folds, held)
+    of_label = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
+    table = labelled(docs, of_label[0].union(of_label[1]), reduced).toArrow().sort_by("doc_id")
     return table["found"].to_pylist(), table["label"].to_numpy().astype(np.float64), np.array(table["lang"].to_pylist(), object)
+
+
+def summed(rows: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
+    """The sum of what ``partial`` makes of the rows of each task, a vector of floats of one
+    length. Vectors are cut into chunks, which executors add up in the order of tasks; the
+    driver gets one vector.
+    """
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vector = partial(batches)
+        parts = [vector[a : a + CHUNK].tobytes() for a in range(0, len(vector), CHUNK)]
+        task = [TaskContext.get().partitionId()] * len(parts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(task, pa.int32()), pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())],
+            ["task", "chunk", "part"],
+        )
+
+    def added(table: pa.Table) -> pa.Table:
+        table = table.sort_by("task")
+        total = np.zeros(len(table["part"][0].as_py()) // 8)
+        for part in table["part"]:
+            total += np.frombuffer(part.as_py())
+        return pa.table({"chunk": table["chunk"][:1], "part": pa.array([total.tobytes()], pa.binary())})
+
+    parts = rows.mapInArrow(of_task, "task int, chunk int, part binary").groupBy("chunk")
+    total = parts.applyInArrow(added, "chunk int, part binary").toArrow().sort_by("chunk")
+    return np.concatenate([np.empty(0), *(np.frombuffer(p.as_py()) for p in total["part"])])

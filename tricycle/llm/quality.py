@@ -3,8 +3,10 @@
 A document's score is linear in features of its bytes, words and lines. Preference
 pairs (a document labelled good over one labelled bad) fit it by logistic loss on
 feature differences, and the quantile of the bad share among the fitted scores is
-the threshold. Fitted in numpy on a bounded sample of labelled documents, with whole
-texts; documents are scored in Arrow batches.
+the threshold. All pairs of all labelled documents count, with whole texts: the loss of
+a document depends on the other kind's scores only, so that a histogram of these stands
+for all its pairs, and each Newton step takes two passes that executors sum up.
+Documents are scored in Arrow batches.
 """
 
 from __future__ import annotations
@@ -18,13 +20,20 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tricycle.llm.labelled import fold, labelled_sample, unpacked
+from tricycle.llm.labelled import fold, known_labels, labelled, summed, unpacked
 from tricycle.llm.words import slices, text_bytes, word_hashes
+from tricycle.plans.order import numbered
+from tricycle.plans.shared import materialize
 
 FOLDS, HELD = 5, 0
-SAMPLE = 4_000  # documents with each label that are fitted on
-PAIRS = 60_000  # preference pairs that are fitted on
-STEPS = 400
+STEPS = 15  # of Newton's method at most
+CONVERGED = 1e-4  # of the loss: a step that should lower it by less is taken whole, as the last
+RIDGE = 1e-4
+LENGTHS = (1.0, 0.5, 0.25, 0.125, 1 / 64)  # of a step that are tried
+# Scores at which the loss of a pair is tabulated; a score counts for the two beside it.
+GRID = np.linspace(-64, 64, 1025)
+COARSE = 8  # scores of the grid that share a sum of features, for the curvature only
+READ_ROWS = 2_000  # features in memory at a time
 CUT = 0.3  # the score of the threshold
 
 # Byte classes: space, line end, a-z, A-Z, digits, sentence marks, other ASCII, other.
@@ -104,47 +113,144 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def preference_weights(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, steps: int = STEPS, seed: int = 1) -> np.ndarray:
-    """Weights ``w`` that maximise the likelihood ``sigmoid(w . (good - bad))`` of random
-    preference pairs, with a small ridge, by Adam on all pairs at once.
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and labels of ``labelled`` rows, some at a time."""
+    for batch in slices(batches, READ_ROWS):
+        if batch.num_rows:
+            x = np.array([unpacked(row.as_py(), np.float64) for row in batch.column("found")])
+            yield x, batch.column("label").to_numpy(zero_copy_only=False)
+
+
+def _standardised(batches: Iterator[pa.RecordBatch], mean: np.ndarray, scale: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for x, label in _read(batches):
+        yield np.clip((x - mean) / scale, -8, 8), label
+
+
+def _on_grid(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of the grid below each score, and how much of the way to the next it is."""
+    at = np.clip((scores - GRID[0]) / (GRID[1] - GRID[0]), 0, len(GRID) - 1 - 1e-9)
+    return at.astype(np.int64), at - np.floor(at)
+
+
+def _histogram(scores: np.ndarray) -> np.ndarray:
+    at, part = _on_grid(scores)
+    return np.bincount(at, 1 - part, len(GRID)) + np.bincount(at + 1, part, len(GRID))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+def preference_weights(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, counts: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """Weights ``w`` that maximise the likelihood ``sigmoid(w . (good - bad))`` of all pairs
+    of ``labelled`` rows, with a small ridge, by Newton's method. ``counts`` has the number
+    of bad and of good ones.
     """
-    rng = np.random.default_rng(seed)
-    count = min(pairs, len(good) * len(bad))
-    first, second = rng.integers(0, len(good), count), rng.integers(0, len(bad), count)
-    w = np.zeros(good.shape[1])
-    mean, square = np.zeros_like(w), np.zeros_like(w)
-    for step in range(1, steps + 1):
-        better, worse = good @ w, bad @ w
-        missed = 1 / (1 + np.exp(np.clip(better[first] - worse[second], -40, 40)))
-        # Gradients of pairs add up at their documents.
-        gradient = (
-            np.bincount(second, missed, len(bad)) @ bad - np.bincount(first, missed, len(good)) @ good
-        ) / count + 1e-4 * w
-        mean = 0.9 * mean + 0.1 * gradient
-        square = 0.999 * square + 0.001 * gradient**2
-        w -= 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+    size, n_grid = len(mean), len(GRID)
+    apart = GRID[:, None] - GRID[None, :]  # of a bad score (row) from a good one
+    missed, loss = _sigmoid(apart), np.logaddexp(0, apart)
+    curve = missed * (1 - missed)
+    cells = n_grid // COARSE + 1
+
+    def histograms(tried: list[np.ndarray]) -> np.ndarray:
+        """By weights, label and place of the grid, as shares of the label's documents."""
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            total = np.zeros((len(tried), 2, n_grid))
+            for x, label in _standardised(batches, mean, scale):
+                for k, w in enumerate(tried):
+                    scores = x @ w
+                    for kind in (0, 1):
+                        total[k, kind] += _histogram(scores[label == kind])
+            return total.ravel()
+
+        return summed(rows, partial).reshape(len(tried), 2, n_grid) / counts[:, None]
+
+    def slopes(w: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and curvature of the loss at ``w``, whose scores have these shares."""
+        push = [missed @ shares[1], -(shares[0] @ missed)]  # on a bad, on a good document, by score
+        bend = [curve @ shares[1], shares[0] @ curve]
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            gradient, own, sums = np.zeros(size), np.zeros((size, size)), np.zeros((2, cells, size))
+            for x, label in _standardised(batches, mean, scale):
+                at, part = _on_grid(x @ w)
+                for kind in (0, 1):
+                    which = label == kind
+                    k, r, some = at[which], part[which], x[which]
+                    between = lambda f: (f[k] * (1 - r) + f[k + 1] * r) / counts[kind]  # noqa: B023, E731
+                    gradient += between(push[kind]) @ some
+                    own += (some * between(bend[kind])[:, None]).T @ some
+                    np.add.at(sums[kind], np.rint((k + r) / COARSE).astype(np.int64), some / counts[kind])
+            return np.concatenate((gradient, own.ravel(), sums.ravel()))
+
+        found = summed(rows, partial)
+        gradient, own, sums = np.split(found, (size, size + size * size))
+        bad, good = sums.reshape(2, cells, size)
+        crossed = bad.T @ curve[::COARSE, ::COARSE] @ good
+        return gradient + RIDGE * w, own.reshape(size, size) - crossed - crossed.T + RIDGE * np.eye(size)
+
+    def cost(w: np.ndarray, shares: np.ndarray) -> float:
+        return float(shares[0] @ loss @ shares[1] + RIDGE / 2 * w @ w)
+
+    w = np.zeros(size)
+    (shares,) = histograms([w])
+    for _ in range(steps):
+        gradient, bent = slopes(w, shares)
+        values, axes = np.linalg.eigh(bent)
+        step = -axes @ ((axes.T @ gradient) / np.maximum(values, RIDGE / 10))
+        if -(gradient @ step) < 2 * CONVERGED:
+            return w + step
+        tried = [w + length * step for length in LENGTHS]
+        found = histograms(tried)
+        costs = [cost(t, f) for t, f in zip(tried, found, strict=True)]
+        best = int(np.argmin(costs))
+        if costs[best] >= cost(w, shares):
+            break
+        w, shares = tried[best], found[best]
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HELD, sample: int = SAMPLE) -> QualityModel:
-    """A model from at most ``2 * sample`` labelled documents that are not held out.
-    With labels of one kind, or none, every text's score is that label (or 0).
+def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HELD) -> QualityModel:
+    """A model from all labelled documents that are not held out. With labels of one kind,
+    or none, every text's score is that label (or 0).
     """
-    found, known, _ = labelled_sample(docs, labels, "quality", folds, held, sample, features)
-    if len(set(known)) < 2:
-        return QualityModel(None, np.zeros(0), np.ones(0), 0.0, 1.0, float(known.mean()) if len(known) else 0.0)
-    x = np.array([unpacked(row, np.float64) for row in found])
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    x = np.clip((x - mean) / scale, -8, 8)
-    weights = preference_weights(x[known == 1], x[known == 0])
-    ranks = x @ weights
-    good, bad = ranks[known == 1], ranks[known == 0]
-    # The quantile at the bad share of the sample; between its two scores.
-    below = np.sort(ranks)
-    place = len(bad)
-    cut = float(below[place - 1] + below[min(place, len(below) - 1)]) / 2
-    slope = 4.0 / max(float(np.median(good) - np.median(bad)), 1e-6)
-    return QualityModel(weights, mean, scale, cut, slope, float(known.mean()))
+    rows = materialize(labelled(docs, known_labels(labels, "quality", folds, held), features), "quality")
+    size = len(features(pa.array([""]))[0])
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(2 + 2 * size)
+        for x, label in _read(batches):
+            total += np.concatenate((np.bincount(label, minlength=2), x.sum(axis=0), (x * x).sum(axis=0)))
+        return total
+
+    found = summed(rows, moments) if rows.head(1) else np.zeros(2 + 2 * size)
+    counts, n = found[:2], found[:2].sum()
+    if not counts.all():
+        return QualityModel(None, np.zeros(0), np.ones(0), 0.0, 1.0, float(counts[1] / n) if n else 0.0)
+    mean = found[2 : 2 + size] / n
+    scale = np.sqrt(np.maximum(found[2 + size :] / n - mean**2, 0)) + 1e-6
+    weights = preference_weights(rows, mean, scale, counts)
+
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x, label in _standardised(batches, mean, scale):
+            yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(x @ weights, pa.float64())], ["label", "rank"])
+
+    ranks = materialize(rows.mapInArrow(ranked, "label int, rank double"), "ranks")
+    n_bad, n_good = (int(c) for c in counts)
+    # The quantile at the bad share; between its two scores.
+    cut = np.mean(_at_places(ranks, ("rank",), [n_bad - 1, n_bad]))
+    middle = [(n_bad - 1) // 2, n_bad // 2, n_bad + (n_good - 1) // 2, n_bad + n_good // 2]
+    ends = _at_places(ranks, ("label", "rank"), middle)
+    slope = 4.0 / max(float(np.mean(ends[2:]) - np.mean(ends[:2])), 1e-6)
+    return QualityModel(weights, mean, scale, float(cut), slope, float(counts[1] / n))
+
+
+def _at_places(ranks: DataFrame, order: tuple[str, ...], places: list[int]) -> list[float]:
+    """The ranks at these places of the whole table in that order."""
+    rows = numbered(ranks, *order).where(F.col("place").isin(places)).collect()
+    at = {r.place: r.rank for r in rows}
+    return [at[p] for p in places]
 
 
 def quality(docs: DataFrame, model: QualityModel) -> DataFrame:
