@@ -175,3 +175,40 @@ def test_unknown_names(edges_of):
         tc.triangle_count(edges, "bag", strategy="RS_X")
     with pytest.raises(ValueError):
         tc.close_two_paths(edges, edges, how="inner")
+
+
+@pytest.mark.parametrize("small_edges", [0, 1_000_000])
+def test_path_ends_are_the_ends_of_two_paths(edges_of, small_edges):
+    raw = graphs.random_edges(17) + [(0, 1)] * 300
+    edges = edges_of([*raw, (None, 0), (0, None)])
+    for keep in (False, True):
+        expected = Counter()
+        for (x, _, z), n in graphs.paths(raw, keep).items():
+            expected[(z, x)] += n
+        ends, found = tc.two_path_ends(edges, keep, small_edges).collect(), Counter()
+        for r in ends:
+            found[(r.z, r.x)] += r.n_paths
+        assert found == expected and (not small_edges or len(ends) == len(expected))
+    assert tc.two_path_ends(edges.limit(0)).collect() == []
+
+
+def test_folded_ends_are_stored_once_and_count_as_their_paths(spark, edges_of, tmp_path):
+    raw = [(1, 2)] * 70 + [(2, 3)] * 30 + [(3, 1)] * 2
+    edges = edges_of(raw)
+    path, stored = str(tmp_path / "text"), str(tmp_path / "buckets")
+    tc.write_two_paths(tc.two_path_ends(edges), path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ["1,2,60", "2,3,140", "3,1,2100"]
+    ends = tc.read_two_paths(spark, path, "FAILFAST", counted=True)
+    assert tuple(tc.stored_path_count(ends, edges, "bag").first()) == (3 * 4200, 4200)
+    tc.write_two_paths(tc.two_path_ends(edges), stored, buckets=3)
+    closed = tc.bucketed_closing_counts(tc.read_two_paths(spark, stored, buckets=3, counted=True), edges)
+    assert graphs.bag(closed) == Counter([(1, 2, 70, 60), (2, 3, 30, 140), (3, 1, 2, 2100)])
+
+
+def test_paths_that_no_edge_closes_are_dropped_before_they_are_counted(spark, edges_of):
+    """100 * 100 two-paths through one node, of which one is closed."""
+    raw = [(k, 0) for k in range(1, 101)] + [(0, k) for k in range(101, 201)] + [(200, 1)]
+    closed = tc.close_two_paths(tc.two_paths(edges_of(raw)), edges_of(raw))
+    assert graphs.bag(closed) == Counter([(1, 0, 200), (0, 200, 1), (200, 1, 0)])
+    (kept,) = {f.rsplit("/", 1)[0] for f in closed.inputFiles() if "candidates-" in f}
+    assert spark.read.parquet(kept).count() < 500

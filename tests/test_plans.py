@@ -255,3 +255,10 @@ def test_counters_of_steps_that_were_left_out(spark, edges_of):
     assert counters.done(tc.cycle_list(edges_of([(1, 1)]), plain_paths=0, counters=counters)).count() == 0
     values = counters.values
     assert values["n_rows"] == 0 and not values["closing_hits"] and not values["wedges"]
+
+
+def test_parts_follow_the_number_of_paths(spark):
+    n = 3000
+    star = spark.range(n).selectExpr("explode(array(struct(id + 1 AS follower, 0L AS user), struct(0L AS follower, -id - 1 AS user))) AS e")
+    assert tc.path_parts(star.select("e.*")) == 10
+    assert tc.path_parts(star.select("e.*").limit(0)) == 1

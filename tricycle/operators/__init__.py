@@ -10,7 +10,9 @@ from tricycle.operators.two_paths import (
     bucketed_closing_counts,
     close_two_paths,
     closing_counts,
+    path_parts,
     stored_path_count,
+    two_path_ends,
     two_path_count,
     two_paths,
 )
@@ -25,6 +27,8 @@ __all__ = [
     "closed_paths_bag",
     "closed_paths_semi",
     "closing_counts",
+    "path_parts",
+    "two_path_ends",
     "cycle_list",
     "follower_count",
     "follower_count_all",

@@ -30,7 +30,10 @@ def parsed_lines(lines: DataFrame, names: tuple[str, ...], mode: str = "PERMISSI
     if mode.upper() not in MODES:
         raise ValueError(f"unknown read mode {mode!r}, expected one of {MODES}")
     value = F.col("value")
-    fields = F.split(value, "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E", -1)
+    # One escaped character is split at as it is; any other pattern is compiled for each line.
+    quoted = "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    one = len(sep) == 1 and sep.isascii() and not sep.isalnum()
+    fields = F.split(value, "\\" + sep if one else quoted, -1)
     columns = [F.btrim(F.get(fields, F.lit(k)), F.lit(" \t\r")).try_cast("long") for k in range(len(names))]
     lines = lines.where(F.btrim(value, F.lit(" \t\r")) != "")
     if mode.upper() != "PERMISSIVE":
@@ -58,17 +61,19 @@ def read_nodes(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> Data
 
 
 def read_two_paths(
-    spark: SparkSession, path: str, mode: str = "PERMISSIVE", buckets: int | None = None
+    spark: SparkSession, path: str, mode: str = "PERMISSIVE", buckets: int | None = None, counted: bool = False
 ) -> DataFrame:
     """Stored two-path ends ``(z, x)``, in text form ``z,x`` per line, or with ``buckets`` in
-    so many Parquet buckets. Those become a table of the session's catalog.
+    so many Parquet buckets. Those become a table of the session's catalog. Ends that were
+    written ``counted`` have their number of paths, ``n_paths``, besides.
     """
+    columns = ("z", "x", "n_paths") if counted else ("z", "x")
     if buckets is not None:
         name = f"two_paths_{uuid.uuid4().hex}"
         location = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE {name} (z LONG, x LONG) USING parquet CLUSTERED BY (z, x) SORTED BY (z, x)"
+            f"CREATE TABLE {name} ({', '.join(f'{c} LONG' for c in columns)}) USING parquet CLUSTERED BY (z, x) SORTED BY (z, x)"
             f" INTO {int(buckets)} BUCKETS LOCATION '{location}'"
         )
         return spark.table(name)
-    return parsed_lines(spark.read.text(path), ("z", "x"), mode)
+    return parsed_lines(spark.read.text(path), columns, mode)

@@ -45,8 +45,11 @@ def write_two_paths(
     With ``buckets`` the ends are kept as Parquet in so many buckets by ``(z, x)``, so that
     closing them later shuffles the edges only. Read them with the same number of buckets.
     They are shuffled once here, so that a bucket is one file.
+
+    Where ``paths`` has a column ``n_paths`` (``two_path_ends``), it is kept as a third
+    field or column: how many paths the row stands for. Such ends are read ``counted``.
     """
-    ends = paths.select("z", "x")
+    ends = paths.select("z", "x", *(c for c in paths.columns if c == "n_paths"))
     if buckets is None:
         write_counts(ends, path, "csv", mode=mode)
         return
