@@ -25,7 +25,7 @@ MAX_ID = {"events": 49, "orders": 700}
 SMALL = {"cell_rows": 50, "limit": 60}
 RANKED = {"plain_paths": 0}  # cycles from nodes of lowest degree, however small the graph
 SMALL_BLOCK = 7
-BUCKETS = 8  # of stored two-paths
+BUCKETS = 8  # of stored two-paths, at least
 TEXT_SEP = "\t\t :"  # key/value separator of the text count sink
 
 
@@ -103,14 +103,15 @@ def _edges_lines(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 def _stored_two_paths(spark: SparkSession, edges: DataFrame) -> DataFrame:
     path = shared_path(spark, "two-paths")
-    tc.write_two_paths(tc.two_paths(edges), path)
-    return tc.closing_counts(tc.read_two_paths(spark, path), edges).where("n_edges > 0 AND n_paths > 0")
+    tc.write_two_paths(tc.two_path_ends(edges), path)
+    return tc.closing_counts(tc.read_two_paths(spark, path, counted=True), edges).where("n_edges > 0 AND n_paths > 0")
 
 
 def _bucketed_two_paths(spark: SparkSession, edges: DataFrame) -> DataFrame:
     path = shared_path(spark, "two-paths")
-    tc.write_two_paths(tc.two_paths(edges), path, buckets=BUCKETS)
-    return tc.bucketed_closing_counts(tc.read_two_paths(spark, path, buckets=BUCKETS), edges)
+    buckets = max(BUCKETS, tc.path_parts(edges))
+    tc.write_two_paths(tc.two_path_ends(edges), path, buckets=buckets)
+    return tc.bucketed_closing_counts(tc.read_two_paths(spark, path, buckets=buckets, counted=True), edges)
 
 
 def _prepared_counts(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -149,8 +150,8 @@ def _with_place(rows: DataFrame) -> DataFrame:
 
 def _stored_count(spark: SparkSession, edges: DataFrame, how: str) -> DataFrame:
     path = shared_path(spark, "two-paths")
-    tc.write_two_paths(tc.two_paths(edges), path)
-    return tc.stored_path_count(tc.read_two_paths(spark, path, "FAILFAST"), edges, how)
+    tc.write_two_paths(tc.two_path_ends(edges), path)
+    return tc.stored_path_count(tc.read_two_paths(spark, path, "FAILFAST", counted=True), edges, how)
 
 
 ON_EDGES: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
