@@ -50,11 +50,9 @@ def two_path_ends(edges: DataFrame, keep_degenerate: bool = False, small_edges:
     pair has a row for each middle node (and slice of duplicates).
     """
     folded = weighted_edges(edges)
-    out = folded.groupBy("follower").agg(F.expr("count(*) AS n_out"))
-    middles = folded.groupBy("user").agg(F.expr("count(*) AS n_in")).withColumnRenamed("user", "follower")
-    widest = out.agg(F.max("n_out")).first()[0] or 0
-    n_second = out.join(middles, "follower", "left_semi").agg(F.sum("n_out")).first()[0] or 0
-    if n_second <= small_edges and widest <= CELL_ROWS:
+    size = _middle_degrees(folded).selectExpr("max(n_out) AS widest", "sum(if(n_in > 0, n_out, 0)) AS n_second").first()
+    if (size.n_second or 0) <= small_edges and (size.widest or 0) <= CELL_ROWS:
+        middles = folded.selectExpr("user AS follower").distinct()
         second = folded.join(middles, "follower", "left_semi").toDF("y", "z", "n_second")
         first = folded.toDF("x", "y", "n_first").repartition(path_parts(edges), "x")
         hops = first.join(F.broadcast(second), "y").selectExpr("x", "z", "n_first * n_second AS copies")
