@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import EDGES
+from pyspark.sql import functions as F
 
 from tricycle.llm import quality, toxicity
 from tricycle.llm.labelled import labelled_sample, unpacked
@@ -156,3 +157,41 @@ def test_quality_is_fitted_on_all_pairs_of_all_labels(spark, known):
     assert np.abs(gradient).max() < 2e-4
     below = np.sort(x @ model.weights)
     assert model.cut == pytest.approx((below[len(bad) - 1] + below[len(bad)]) / 2, abs=1e-6)
+
+
+def test_toxicity_is_fitted_on_every_label(spark, docs_of):
+    """A word of the 100 toxic documents whose hashed ids are largest, of 2,000, and of no other
+    is known to the model.
+    """
+    rng = random.Random(9)
+    free = [i for i in range(3600) if zlib.crc32(str(i).encode()) % 4 != 2]
+    toxic = free[:2000]
+    late = {r.i for r in spark.createDataFrame([(i,) for i in toxic], "i long").orderBy(F.xxhash64("i")).collect()[-100:]}
+    rows = []
+    for i in free:
+        w = [f"w{rng.randrange(300)}" for _ in range(12)]
+        if i in set(toxic):
+            w[rng.randrange(12)] = "grumblefoot" if i in late else "snarkwort"
+        rows.append((i, " ".join(w), "en", "s"))
+    labels = [(i, 1, int(i in set(toxic))) for i in free]
+    model = toxicity.fit(docs_of(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    found = model.scores(pa.array(["w1 w2 grumblefoot w3 w4", "w1 w2 snarkwort w3 w4", "w1 w2 w5 w3 w4"]))
+    assert found[0] >= 0.3 and found[1] >= 0.3 and found[2] < 0.3
+
+
+def test_toxicity_of_many_shards(known):
+    """Shards that are averaged, and added up in two turns, find the same; reruns agree."""
+    docs, table, labels = known
+    model = toxicity.fit(docs, table, shard=12)
+    assert accuracy(toxicity.toxicity(docs, model), labels, 1, toxicity.held_out) >= 0.95
+    again = toxicity.fit(docs.repartition(5), table.repartition(3), shard=12)
+    assert again.network.vector().tobytes() == model.network.vector().tobytes()
+    assert (again.cut, again.by_language) == (model.cut, model.by_language)
+
+
+def test_scores_counted_have_the_cut_of_scores_listed():
+    rng = np.random.default_rng(4)
+    scores, labels = rng.integers(0, 40, 500) / 8.0, (rng.random(500) < 0.4) * 1.0
+    pairs, n = np.unique(np.stack([scores, labels]), axis=1, return_counts=True)
+    assert toxicity.best_cut(pairs[0], pairs[1], n) == toxicity.best_cut(scores, labels)
+    assert toxicity.language_shift(pairs[0], pairs[1], 1.0, n) == toxicity.language_shift(scores, labels, 1.0)

@@ -15,6 +15,7 @@ from tricycle.plans.bitmap import bits_for, key_bitmap, maybe_among
 
 READ_TEXTS = 64  # reduced at a time
 CHUNK = 8_192  # numbers of a sum that a task adds up
+FAN = 64  # shards whose vectors a task adds up at a time
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -123,3 +124,42 @@ def summed(rows: DataFrame, partial: Callable[[Iterator[pa.RecordBatch]], np.nda
     parts = rows.mapInArrow(of_task, "task int, chunk int, part binary").groupBy("chunk")
     total = parts.applyInArrow(added, "chunk int, part binary").toArrow().sort_by("chunk")
     return np.concatenate([np.empty(0), *(np.frombuffer(p.as_py()) for p in total["part"])])
+
+
+def summed_shards(rows: DataFrame, shards: int, partial: Callable[[pa.Table], np.ndarray]) -> np.ndarray:
+    """The sum of what ``partial`` makes of the rows of each ``shard`` (0 to ``shards`` - 1),
+    in order of their ids: vectors of one length and type. At least one row is expected.
+
+    Vectors are cut into packed chunks, which executors add up, ``FAN`` shards at a time
+    and in their order, so that the sum does not depend on how rows lie in tasks; the
+    driver gets one vector.
+    """
+
+    def of_shard(table: pa.Table) -> pa.Table:
+        vector = partial(table.sort_by("doc_id"))
+        starts = range(0, len(vector), CHUNK)
+        return pa.table(
+            {
+                "shard": pa.array([table["shard"][0].as_py()] * len(starts), pa.int32()),
+                "chunk": pa.array(range(len(starts)), pa.int32()),
+                "kind": pa.array([vector.dtype.str] * len(starts)),
+                "part": pa.array([packed(vector[a : a + CHUNK]) for a in starts], pa.binary()),
+            }
+        )
+
+    def added(table: pa.Table) -> pa.Table:
+        table = table.sort_by("shard")
+        kind = np.dtype(table["kind"][0].as_py())
+        total = np.sum([unpacked(p.as_py(), kind).astype(np.float64) for p in table["part"]], axis=0).astype(kind)
+        first = table.slice(0, 1).set_column(0, "shard", pa.array([table["shard"][0].as_py() // FAN], pa.int32()))
+        return first.set_column(3, "part", pa.array([packed(total)], pa.binary()))
+
+    schema = "shard int, chunk int, kind string, part binary"
+    parts = rows.groupBy("shard").applyInArrow(of_shard, schema)
+    while True:
+        parts = parts.groupBy("chunk", F.expr(f"shard div {FAN}")).applyInArrow(added, schema)
+        shards = -(-shards // FAN)
+        if shards == 1:
+            break
+    total = parts.toArrow().sort_by("chunk")
+    return np.concatenate([unpacked(p.as_py(), np.dtype(k.as_py())) for p, k in zip(total["part"], total["kind"], strict=True)])
