@@ -195,3 +195,18 @@ def test_scores_counted_have_the_cut_of_scores_listed():
     pairs, n = np.unique(np.stack([scores, labels]), axis=1, return_counts=True)
     assert toxicity.best_cut(pairs[0], pairs[1], n) == toxicity.best_cut(scores, labels)
     assert toxicity.language_shift(pairs[0], pairs[1], 1.0, n) == toxicity.language_shift(scores, labels, 1.0)
+
+
+def test_the_driver_gets_no_labelled_texts(spark, docs_of, monkeypatch):
+    """What a fit collects does not follow the labelled documents, here 14 MB of texts."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"{rng.randrange(10**9):x}" for _ in range(4500)) + (" snarkwort" if i % 3 else ""), "en", "s") for i in range(400)]
+    table = spark.createDataFrame([(i, 1, int(i % 3 > 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    docs, got = docs_of(rows), []
+    kind = type(docs)
+    arrow, collect = kind.toArrow, kind.collect
+    monkeypatch.setattr(kind, "toArrow", lambda self: got.append(arrow(self)) or got[-1])
+    monkeypatch.setattr(kind, "collect", lambda self: got.append(collect(self)) or got[-1])
+    toxicity.fit(docs, table)
+    sizes = [x.nbytes if isinstance(x, pa.Table) else 100 * len(x) for x in got]
+    assert got and sum(sizes) < 14_000_000 and max(sizes) < 5_000_000
